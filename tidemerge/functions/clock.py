@@ -59,8 +59,8 @@ def micros(col: Column) -> Column:
     """Microseconds since 1970 of a wall-clock time, free of any zone."""
     return (
         F.unix_date(col.cast("date")).cast("bigint") * 86_400_000_000
-        + F.hour(col) * F.lit(3_600_000_000)
-        + F.minute(col) * F.lit(60_000_000)
+        + F.hour(col).cast("bigint") * 3_600_000_000
+        + F.minute(col).cast("bigint") * 60_000_000
         + (F.extract(F.lit("SECOND"), col) * 1_000_000).cast("bigint")
     )
 

@@ -67,8 +67,8 @@ def between_years(df: DataFrame, first: int, last: int) -> DataFrame:
     if first > last:
         return df.filter(F.lit(False))
     return df.filter(
-        (F.col("Date") >= F.lit(datetime.date(first, 1, 1)))
-        & (F.col("Date") <= F.lit(datetime.date(last, 12, 31)))
+        (F.col("Date") >= F.lit(f"{first:04d}-01-01").cast("date"))
+        & (F.col("Date") <= F.lit(f"{last:04d}-12-31").cast("date"))
     )
 
 
