@@ -283,7 +283,7 @@ p AS (SELECT s.*, StationCode AS Station, CAST({stamp('SampleDate')} AS DATE) AS
 n AS (SELECT *, {SUISUN_ID} AS id FROM p),
 g AS (SELECT d, Station, id, min(Temperature) AS Temperature, min(Secchi) AS Secchi, min(ec) AS ec, min("DO") AS do_, min(PctSaturation) AS pct,
   avg(Depth) AS Depth, make_timestamp((sum(epoch_us(t)) // count(t))::BIGINT) AS t FROM n GROUP BY d, Station, id),
-m AS (SELECT d, Station, id, tide, count(*) AS c, min(_row) AS f FROM n WHERE tide IS NOT NULL GROUP BY ALL
+m AS (SELECT d, Station, id, tide, count(*) AS c, min(_row) AS f FROM n WHERE tide IS NOT NULL GROUP BY d, Station, id, tide
   QUALIFY row_number() OVER (PARTITION BY d, Station, id ORDER BY count(*) DESC, min(_row)) = 1),
 j AS (SELECT g.*, m.tide FROM g JOIN m ON g.d = m.d AND g.Station = m.Station AND g.id = m.id),
 k AS (SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY Station, d, t ORDER BY id) = 1)
