@@ -105,8 +105,8 @@ FROM (
     keep="code", source="SELECT code, maybe_result / 10 AS c FROM readings"
 ))
 def practical_salinity(readings):
-    salinity = units.practical_salinity(F.col("maybe_result") / 10)
-    return readings.select("code", F.round(salinity, 6).alias("salinity"))
+    made = units.add_practical_salinity(readings, F.col("maybe_result") / 10, "salinity")
+    return made.select("code", F.round("salinity", 6).alias("salinity"))
 
 
 @query("tows", sql="""
@@ -218,11 +218,7 @@ def multi_format_dates(clocked):
     written = F.col("written")
     return clocked.select(
         "code",
-        F.coalesce(
-            clock.parse_date(written, "M/d/yyyy"),
-            clock.parse_date_two_digit_year(written, "M/d/yy"),
-            clock.parse_date(written, "yyyy-MM-dd"),
-        ).alias("day"),
+        clock.parse_date(clock.whole_year(written), "M/d/yyyy", "yyyy-MM-dd").alias("day"),
     )
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.core import query
 from tidemerge.functions import clock, nulls
-from tidemerge.operators import dedup, depth, reshape
+from tidemerge.operators import dedup, depth, joins, reshape
 from tidemerge.operators.spread import attach_group
 
 ALL = "sample, station, gear, tow, depth, measure, rate, share, flag, status, time"
@@ -120,10 +120,7 @@ def collapse_visits_mode(readings):
     visit = ["maybe_station", "day"]
     modal = dedup.modal_value(readings, visit, "maybe_analyte", F.col("code"), "modal_analyte")
     means = readings.groupBy(*visit).agg(F.round(F.avg("maybe_result"), 6).alias("mean_result"))
-    both = reshape.stack([means, modal]).groupBy(*visit).agg(
-        F.max("mean_result").alias("mean_result"), F.max("modal_analyte").alias("modal_analyte")
-    )
-    return both.filter(F.col("modal_analyte").isNotNull()).withColumnRenamed("maybe_station", "station")
+    return joins.merge_unique([means, modal], visit).filter(F.col("modal_analyte").isNotNull()).withColumnRenamed("maybe_station", "station")
 
 
 @query("readings", sql="""
@@ -166,7 +163,8 @@ FROM gappy_tows WINDOW w AS (PARTITION BY sample)
 def strict_group_mean(tows):
     attached = attach_group(
         tows, ["sample"], hot_rows=4,
-        mean_depth=F.round(nulls.strict_mean(F.col("depth")), 6), deepest=nulls.strict_max(F.col("depth")),
+        mean_depth=lambda over: F.round(nulls.strict_mean(F.col("depth"), over), 6),
+        deepest=lambda over: nulls.strict_max(F.col("depth"), over),
     )
     return attached.select("sample", "gear", "tow", "mean_depth", "deepest")
 

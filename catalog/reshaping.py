@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.core import query
 from tidemerge.operators import depth, reshape
-from tidemerge.operators.joins import natural_join
+from tidemerge.operators.joins import merge_unique
 
 KINDS = ["click", "view", "purchase", "error", "signup"]
 
@@ -80,7 +80,7 @@ def split_event_nutrient(tows):
         {"depth": "depth_{name}", "measure": "measure_{name}"}, order=F.col(depth.BIN),
     )
     nutrient = tows.filter("tow = 3").groupBy("station", "day").agg(F.max("share").alias("share"))
-    return natural_join(water, nutrient, "full")
+    return merge_unique([water, nutrient], ["station", "day"])
 
 
 @query("events", sql="""

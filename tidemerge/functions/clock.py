@@ -7,7 +7,7 @@ timestamp and back, which is the identity for every time that exists.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOCAL_ZONE = "America/Los_Angeles"
@@ -25,10 +25,10 @@ def parse_date(col: Column, *formats: str) -> Column:
     return parse(col, *formats).cast("date")
 
 
-def parse_date_two_digit_year(col: Column, fmt: str) -> Column:
-    """Two-digit years: 69-99 are 19xx, 00-68 are 20xx."""
-    day = parse_date(col, fmt)
-    return F.when(F.year(day) > 2068, F.add_months(day, -1200)).otherwise(day)
+def whole_year(col: Column) -> Column:
+    """Text such as ``3/7/98`` with four year digits: 69-99 are 19xx, 00-68 are 20xx."""
+    late = F.regexp_replace(col, r"^(\d+/\d+)/(69|[789]\d)$", "$1/19$2")
+    return F.regexp_replace(late, r"^(\d+/\d+)/(\d\d)$", "$1/20$2")
 
 
 def at(day: Column, time: Column, *, seconds: bool = False) -> Column:
@@ -45,10 +45,21 @@ def to_local(col: Column, zone: str) -> Column:
 
 
 def existing_local(col: Column) -> Column:
-    """NULL for wall-clock times that daylight saving skips."""
+    """NULL for wall-clock times that daylight saving skips, which all lie past two o'clock."""
     there = F.convert_timezone(F.lit(LOCAL_ZONE), F.lit(UTC), col)
     back = F.convert_timezone(F.lit(UTC), F.lit(LOCAL_ZONE), there)
-    return F.when(back == col, col)
+    return F.when((F.hour(col) != 2) | (back == col), col)
+
+
+def add_local_time(df: DataFrame, day: Column, time: Column) -> DataFrame:
+    """Add Date and Datetime from a day and a time of day, in steps so that each text is read once."""
+    df = df.withColumns({"_time": time, "Date": day}).withColumn("Datetime", at(F.col("Date"), F.col("_time")))
+    return df.withColumns({"Datetime": existing_local(F.col("Datetime")), "Date": F.col("Date").cast("date")}).drop("_time")
+
+
+def add_local_stamp(df: DataFrame, stamp: Column) -> DataFrame:
+    """Add Datetime read from one text."""
+    return df.withColumn("Datetime", stamp).withColumn("Datetime", existing_local(F.col("Datetime")))
 
 
 def add_hours(col: Column, hours: int) -> Column:

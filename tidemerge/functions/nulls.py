@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Over = Callable[[Column], Column]
+
 
 def if_else(condition: Column, yes, no) -> Column:
     """``yes`` where true, ``no`` where false, NULL where the condition is NULL."""
@@ -39,18 +41,23 @@ def drop_any_null(df: DataFrame, names: Iterable[str] | None = None) -> DataFram
     return df.dropna(how="any", subset=None if names is None else list(names))
 
 
-def _strict(col: Column, value: Column) -> Column:
-    return F.when(F.count(F.lit(1)) == F.count(col), value)
+def same(col: Column) -> Column:
+    """An aggregate as it is; in its place a caller passes the aggregate over a window."""
+    return col
+
+
+def _strict(col: Column, value: Column, over: Over) -> Column:
+    return F.when(over(F.count(F.lit(1))) == over(F.count(col)), over(value))
 
 
-def strict_min(col: Column) -> Column:
+def strict_min(col: Column, over: Over = same) -> Column:
     """Minimum of the group, NULL if any member is NULL."""
-    return _strict(col, F.min(col))
+    return _strict(col, F.min(col), over)
 
 
-def strict_max(col: Column) -> Column:
-    return _strict(col, F.max(col))
+def strict_max(col: Column, over: Over = same) -> Column:
+    return _strict(col, F.max(col), over)
 
 
-def strict_mean(col: Column) -> Column:
-    return _strict(col, F.avg(col))
+def strict_mean(col: Column, over: Over = same) -> Column:
+    return _strict(col, F.avg(col), over)

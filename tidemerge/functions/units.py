@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Conversion factors and molar masses (g/mol).
@@ -44,27 +44,31 @@ def specific_conductance(measured: Column, electrical: Column, temperature: Colu
     return F.coalesce(measured, corrected)
 
 
-def practical_salinity(conductivity: Column, temperature: float = 25.0) -> Column:
-    """Practical salinity of a conductivity in mS/cm at the surface.
+def add_practical_salinity(
+    df: DataFrame, conductivity: Column, name: str, temperature: float = 25.0
+) -> DataFrame:
+    """Add the practical salinity of a conductivity in mS/cm at the surface.
 
     Below salinity 2 the low-salinity extension of Hill, Dauphinee and Woods
-    (1986) applies. NULL or negative conductivity gives NULL.
+    (1986) applies. NULL or negative conductivity gives NULL. The steps are
+    columns of their own, so that no step is computed twice.
     """
     t = temperature
     rt = sum(c * t**i for i, c in enumerate(PSS_RT))
     ft = (t - 15) / (1 + 0.0162 * (t - 15))
-    ratio = conductivity / (PSS_REFERENCE_CONDUCTIVITY * rt)
-    root = F.sqrt(ratio)
-
-    def series(coefficients):
-        total = F.lit(coefficients[-1])
-        for c in reversed(coefficients[:-1]):
-            total = total * root + c
-        return total
-
-    salinity = series(PSS_A) + ft * series(PSS_B)
+    # the two series share their powers of the root, and ft is a constant
+    weights = [a + ft * b for a, b in zip(PSS_A, PSS_B)]
+    ratio, root, full = (F.col(f"_{name}_{step}") for step in ("ratio", "root", "full"))
+    total = F.lit(weights[-1])
+    for w in reversed(weights[:-1]):
+        total = total * root + w
     x, y = 400 * ratio, 100 * ratio
-    fresh = PSS_A[0] / (1 + 1.5 * x + x * x) + PSS_B[0] * ft / (1 + F.sqrt(y) + y + y * F.sqrt(y))
-    return F.when(
-        conductivity >= 0, F.when(salinity < 2, salinity - fresh).otherwise(salinity)
+    # the square root of 100 times the ratio is ten times the root
+    fresh = PSS_A[0] / (1 + 1.5 * x + x * x) + PSS_B[0] * ft / (1 + 10 * root + y + y * 10 * root)
+    steps = df.withColumn(
+        f"_{name}_ratio", F.when(conductivity >= 0, conductivity / (PSS_REFERENCE_CONDUCTIVITY * rt))
+    )
+    steps = steps.withColumn(f"_{name}_root", F.sqrt(ratio)).withColumn(f"_{name}_full", total)
+    return steps.withColumn(name, full - F.when(full < 2, fresh).otherwise(0.0)).drop(
+        f"_{name}_ratio", f"_{name}_root", f"_{name}_full"
     )

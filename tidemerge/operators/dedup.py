@@ -33,9 +33,9 @@ def keep_extreme(
     """
     if len(columns) == 1:
         col = F.col(columns[0])
-        best = strict_max(col) if largest else strict_min(col)
+        best = strict_max if largest else strict_min
         return (
-            attach_group(df, keys, hot_rows=hot_rows, _best=best)
+            attach_group(df, keys, hot_rows=hot_rows, _best=lambda over: best(col, over))
             .filter(col == F.col("_best"))
             .drop("_best")
         )
@@ -46,14 +46,14 @@ def keep_extreme(
     for c in columns:
         known = known & F.col(f"_best.{c}").isNotNull()
     return (
-        attach_group(df, keys, hot_rows=hot_rows, _best=F.min(key))
+        attach_group(df, keys, hot_rows=hot_rows, _best=lambda over: over(F.min(key)))
         .filter(key.eqNullSafe(F.col("_best")) & known)
         .drop("_best")
     )
 
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "n", *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return attach_group(df, keys, hot_rows=hot_rows, **{name: F.count(F.lit(1))})
+    return attach_group(df, keys, hot_rows=hot_rows, **{name: lambda over: over(F.count(F.lit(1)))})
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -23,9 +23,10 @@ def bin_daily(
     With ``time``, every row of the group gets the midpoint of the group's times.
     """
     d = F.col(depth)
-    stats = {"_top": strict_min(d), "_deep": strict_max(d)}
+    stats = {"_top": lambda over: strict_min(d, over), "_deep": lambda over: strict_max(d, over)}
     if time is not None:
-        stats |= {"_from": strict_min(F.col(time)), "_to": strict_max(F.col(time))}
+        t = F.col(time)
+        stats |= {"_from": lambda over: strict_min(t, over), "_to": lambda over: strict_max(t, over)}
     out = attach_group(df, keys, hot_rows=hot_rows, **stats).withColumn(
         BIN,
         F.when((d == F.col("_top")) & (d < threshold), "surface").when(
@@ -57,7 +58,8 @@ def bin_by_parameter(
     """
     d, p = F.col(depth), F.col(parameter)
     binned = attach_group(
-        long, [*keys, parameter], hot_rows=hot_rows, _top=strict_min(d), _deep=strict_max(d)
+        long, [*keys, parameter], hot_rows=hot_rows,
+        _top=lambda over: strict_min(d, over), _deep=lambda over: strict_max(d, over),
     ).withColumn(
         BIN,
         F.when(p.isin(*water) & (d < water_limit) & (d == F.col("_top")), "surface")

@@ -55,6 +55,16 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "left", **options
     return spread_join(left, right, shared, how, **options)
 
 
+def merge_unique(tables: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
+    """Full join of tables that each hold a key at most once and share only the key columns."""
+    rows = None
+    for table in tables:
+        rows = table if rows is None else rows.unionByName(table, allowMissingColumns=True)
+    return rows.groupBy(*on).agg(
+        *[F.any_value(c, True).alias(c) for c in rows.columns if c not in on]
+    )
+
+
 def fill_from(df: DataFrame, table: DataFrame, on: Sequence, columns: Sequence[str]) -> DataFrame:
     """Fill missing values of ``columns`` from a second table."""
     pairs = on_pairs(on)

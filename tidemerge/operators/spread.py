@@ -11,11 +11,13 @@ from further columns. Both are the same when a lost task runs again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemerge.functions.nulls import Over, same
+
 HOT_ROWS = 1_000_000
 
 _SALT = "_spread"
@@ -51,17 +53,21 @@ def spread_join(
     *,
     hot_rows: int = HOT_ROWS,
     spread_by: Sequence[str] = (),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Null-safe join of two large tables (left, inner, left_semi or left_anti).
 
     Only the right rows of hot keys are repeated, once per share of that key.
+    ``counted`` may name a table with the same key columns that holds no fewer
+    rows per key than ``left`` and is cheaper to count, such as the raw feed.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot run a {how} join")
     pairs = on_pairs(on)
     names = [l for l, _ in pairs]
     hot = (
-        left.groupBy(*names)
+        (left if counted is None else counted)
+        .groupBy(*names)
         .agg(F.count(F.lit(1)).alias(_ROWS))
         .filter(F.col(_ROWS) > hot_rows)
         .select(*names, F.ceil(F.col(_ROWS) / hot_rows).alias(_COPIES))
@@ -86,35 +92,27 @@ def full_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, hot_rows:
 
 
 def attach_group(
-    df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, **values: Column
+    df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, **values: Callable[[Over], Column]
 ) -> DataFrame:
-    """Add group aggregates to every row of the group.
+    """Add group values to every row of the group.
 
-    The aggregates are combined map-side first. Rows of hot keys take theirs
-    from a broadcast of the hot groups only; the others join on the key.
+    A value is a function of ``over``, which it applies to each aggregate it is
+    made of. Groups are first aggregated map-side; the hot ones are broadcast
+    with their values, and their rows are spread. The rest, whose groups are
+    small, take the values from a window.
     """
-    names = list(values)
     stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(_ROWS), *[v.alias(n) for n, v in values.items()]
+        F.count(F.lit(1)).alias(_ROWS), *[v(same).alias(f"_hot_{n}") for n, v in values.items()]
     )
-    is_hot = F.col(_ROWS) > hot_rows
-    hot = stats.filter(is_hot).withColumnsRenamed({n: f"_hot_{n}" for n in names})
-    marked = null_safe_join(df, F.broadcast(hot), keys)
-    marked = marked.withColumn(
-        _SALT,
-        F.when(F.col(_ROWS).isNull(), 0).otherwise(
-            1 + _spread_number(F.ceil(F.col(_ROWS) / hot_rows), ())
-        ),
-    ).withColumnRenamed(_ROWS, "_hot_rows")
-    cold = stats.filter(~is_hot).drop(_ROWS).withColumn(_SALT, F.lit(0).cast("bigint"))
-    cold = cold.withColumnsRenamed({n: f"_cold_{n}" for n in names})
-    joined = null_safe_join(marked, cold, [*keys, _SALT])
-    return joined.select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in names],
+    hot = stats.filter(F.col(_ROWS) > hot_rows)
+    is_hot = F.col(_ROWS).isNotNull()
+    share = 1 + _spread_number(F.ceil(F.col(_ROWS) / hot_rows), ())
+    marked = null_safe_join(df, F.broadcast(hot), keys).withColumn(_SALT, F.when(is_hot, share).otherwise(0))
+    group = Window.partitionBy(*keys, _SALT)
+    return marked.select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in values],
         *[
-            F.when(F.col("_hot_rows").isNotNull(), F.col(f"_hot_{n}"))
-            .otherwise(F.col(f"_cold_{n}"))
-            .alias(n)
-            for n in names
+            F.when(is_hot, F.col(f"_hot_{n}")).otherwise(v(lambda agg: agg.over(group))).alias(n)
+            for n, v in values.items()
         ],
     )

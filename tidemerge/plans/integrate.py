@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemerge.functions.clock import month_start, season
 from tidemerge.functions.text import paste
-from tidemerge.functions.units import practical_salinity
+from tidemerge.functions.units import add_practical_salinity
 
 # The sources, in the order they are combined.
 SOURCES = (
@@ -75,10 +75,12 @@ def between_years(df: DataFrame, first: int, last: int) -> DataFrame:
 def fill_salinity(df: DataFrame, suffix: str = "") -> DataFrame:
     """Salinity from conductivity at 25 degrees where missing; the column always exists afterwards."""
     salinity, conductivity = "Salinity" + suffix, "Conductivity" + suffix
-    have = F.col(salinity) if salinity in df.columns else F.lit(None).cast("double")
-    if conductivity in df.columns:
-        have = F.coalesce(have, practical_salinity(F.col(conductivity) / 1000))
-    return df.withColumn(salinity, have)
+    if conductivity not in df.columns:
+        return df if salinity in df.columns else df.withColumn(salinity, F.lit(None).cast("double"))
+    made = "_made" + suffix
+    df = add_practical_salinity(df, F.col(conductivity) / 1000, made)
+    have = F.coalesce(salinity, made) if salinity in df.columns else F.col(made)
+    return df.withColumn(salinity, have).drop(made)
 
 
 def integrate(

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import at, existing_local, parse
+from tidemerge.functions.clock import add_local_time, parse
 from tidemerge.functions.coords import degree_minute_text, packed_degrees, prefer_station_coords
 from tidemerge.functions.text import number_text, recode
 from tidemerge.operators.dedup import keep_extreme, keep_first
@@ -52,20 +52,20 @@ def clean(feeds: Feeds) -> DataFrame:
         degree_minute_text(F.col("Longitude"), west=True).alias("Longitude"),
     )
     boat_stations = feeds["boat_station"].drop("_row").withColumn("Date", parse(F.col("Date"), STAMP).cast("date"))
-    visits = spread_join(
-        _with_tide(boat_stations, codes, "Tidestation"), feeds["salin_temp"].drop("_row"), VISIT
-    )
+    visits = spread_join(boat_stations, feeds["salin_temp"].drop("_row"), VISIT)
+    visits = _with_tide(visits, codes, "Tidestation")
     tows = feeds["boat_tow"].withColumn("Time", parse(F.col("Time"), STAMP))
     tows = _with_tide(keep_extreme(tows, VISIT, "Time"), codes, "Tidetow")
 
     decimal = F.col("Date") >= F.lit(FIRST_DECIMAL_DAY)
-    towed = spread_join(tows, visits, VISIT).select(
+    towed = spread_join(tows, visits, VISIT, counted=feeds["boat_tow"])
+    towed = add_local_time(towed, F.col("Date"), F.col("Time")).select(
         F.lit("Baystudy").alias("Source"),
         "Station",
         packed_degrees(number_text(F.col("StartLat")), 2, decimal).alias("Latitude"),
         packed_degrees(number_text(F.col("StartLong")), 3, decimal, -1).alias("Longitude"),
         "Date",
-        existing_local(at(F.col("Date"), F.col("Time"))).alias("Datetime"),
+        "Datetime",
         "Depth",
         F.coalesce("Tidetow", "Tidestation").alias("Tide"),
         "Secchi",

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import existing_local, parse, parse_date
+from tidemerge.functions.clock import add_local_stamp, parse, parse_date
 from tidemerge.functions.units import metres_to_centimetres
 from tidemerge.operators.dedup import keep_first
 from tidemerge.operators.joins import lookup
@@ -38,13 +38,13 @@ def clean(feeds: Feeds) -> DataFrame:
         .withColumns(
             {
                 "Station": F.col("StationCode"),
-                "Datetime": existing_local(time),
                 "Secchi": metres_to_centimetres(F.col("Secchi")),
                 "Conductivity": null_before(F.col("Date"), FIRST_STANDARD_DAY, F.col("SpecificConductance")),
             }
         )
     )
     sites = feeds["sites"].select(F.col("StationCode").alias("Station"), "Latitude", "Longitude")
+    trawls = add_local_stamp(trawls, time)
     return lookup(keep_first(trawls, ["Station", "Datetime"]), sites, ["Station"]).select(
         F.lit("DJFMP").alias("Source"), "Station", "Latitude", "Longitude", "Date", "Datetime", "Secchi",
         F.col("WaterTemp").alias("Temperature"), "Conductivity", F.col("DO").alias("DissolvedOxygen"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import existing_local, parse, parse_date
+from tidemerge.functions.clock import add_local_stamp, parse, parse_date
 from tidemerge.functions.nulls import not_in
 from tidemerge.functions.text import paste
 from tidemerge.functions.units import feet_to_metres
@@ -31,14 +31,15 @@ MEASURES = (
 
 def clean(feeds: Feeds) -> DataFrame:
     time = parse(F.concat_ws(" ", "Date", "Start_Time"), "yyyy-MM-dd H:mm:ss")
-    tows = feeds["tow"].filter(not_in(F.col("Habitat"), LEFT_OUT)).select(
+    included = feeds["tow"].filter(not_in(F.col("Habitat"), LEFT_OUT))
+    tows = add_local_stamp(included, time).select(
         F.lit("DOP").alias("Source"),
         paste(F.col("Station_Code"), F.col("Habitat")).alias("Station"),
         "Latitude",
         "Longitude",
         F.lit(True).alias("Field_coords"),
         parse_date(F.col("Date"), "yyyy-MM-dd").alias("Date"),
-        existing_local(time).alias("Datetime"),
+        "Datetime",
         feet_to_metres(F.col("Start_Depth")).alias("Depth"),
         "Secchi",
         "Temperature",

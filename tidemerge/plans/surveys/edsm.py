@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import existing_local, parse, parse_date
+from tidemerge.functions.clock import add_local_stamp, parse, parse_date
 from tidemerge.functions.text import paste, recode
 from tidemerge.functions.units import feet_to_metres, metres_to_centimetres
 from tidemerge.operators.dedup import keep_first
@@ -57,7 +57,6 @@ def clean(feeds: Feeds) -> DataFrame:
                 "Latitude": F.col("LatitudeStart"),
                 "Longitude": F.col("LongitudeStart"),
                 "Field_coords": F.lit(True),
-                "Datetime": F.when(F.col("SampleTime").isNotNull(), existing_local(time)),
                 "Tide": recode(F.col("Tide"), TIDES),
                 "Secchi": metres_to_centimetres(F.col("Secchi")),
                 "Conductivity": null_before(F.col("Date"), FIRST_STANDARD_DAY, F.col("Conductivity")),
@@ -65,6 +64,7 @@ def clean(feeds: Feeds) -> DataFrame:
             }
         )
     )
+    tows = add_local_stamp(tows, time)
     place_and_time = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime"]
     return keep_first(tows, place_and_time).select(
         "Source", "Station", "Latitude", "Longitude", "Field_coords", "Date", "Datetime", "Depth", "Tide", "Secchi",

@@ -45,8 +45,9 @@ FEEDS = {
 
 def clean(feeds: Feeds) -> DataFrame:
     clock = parse(F.concat_ws(" ", "Date", "Time"), "yyyy-MM-dd H:mm:ss")
-    timed = F.when(F.col("Time").isNotNull() & (F.hour(clock) != 0), to_local(clock, PST))
-    visits = feeds["measures"].withColumnsRenamed(RENAMES).withColumns(
+    # midnight stands for an unknown time
+    timed = F.when(F.hour("_clock") != 0, to_local(F.col("_clock"), PST))
+    visits = feeds["measures"].withColumnsRenamed(RENAMES).withColumn("_clock", clock).withColumns(
         {
             "Source": F.lit("EMP"),
             "Datetime": timed,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import at, existing_local, parse
+from tidemerge.functions.clock import add_local_time, parse
 from tidemerge.functions.codes import trawl_tide
 from tidemerge.functions.nulls import drop_all_null, drop_any_null, if_else
 from tidemerge.functions.units import feet_to_metres, metres_to_centimetres
@@ -33,13 +33,13 @@ HOTTEST_BOTTOM = 40.0
 
 def clean(feeds: Feeds) -> DataFrame:
     day, clock = parse(F.col("SampleDate"), STAMP), parse(F.col("SampleTimeStart"), STAMP)
-    clock = F.when(F.hour(clock) != 0, clock)
+    clock = F.when(F.hour(clock) != 0, clock)  # midnight stands for an unknown time
     zero = F.lit(0.0)
-    samples = feeds["sample"].select(
+    samples = add_local_time(feeds["sample"], day, clock).select(
         F.lit("FMWT").alias("Source"),
         F.col("StationCode").alias("Station"),
-        day.cast("date").alias("Date"),
-        existing_local(at(day, clock)).alias("Datetime"),
+        "Date",
+        "Datetime",
         feet_to_metres(F.col("DepthBottom")).alias("Depth"),
         trawl_tide(F.col("TideCode"), keep_unmatched=False).alias("Tide"),
         if_else(F.col("Microcystis") == 6, F.lit(2.0), F.col("Microcystis")).alias("Microcystis"),

@@ -11,10 +11,9 @@ from tidemerge.functions.codes import microcystis_index
 from tidemerge.functions.nulls import drop_all_null, drop_any_null
 from tidemerge.functions.units import metres_to_centimetres, ug_to_mg_per_l
 from tidemerge.operators.dedup import ROW, resolve_replicates
-from tidemerge.operators.joins import by_change_date, drop_listed, fill_from, literal_table, lookup
+from tidemerge.operators.joins import by_change_date, drop_listed, literal_table, lookup
 from tidemerge.operators.repair import assign_ids, overlay_corrections
 from tidemerge.operators.reshape import long_to_wide, stack
-from tidemerge.operators.spread import null_safe_join, spread_join
 from tidemerge.sources.registry import Feeds
 
 _RESULTS = {
@@ -95,19 +94,15 @@ SIGNED = (
 
 
 def station_table(feeds: Feeds) -> DataFrame:
-    """Stations with positions filled from the portal and change dates parsed."""
+    """Stations with change dates parsed; those without a latitude take the portal's position."""
     portal = feeds["portal_stations"].select(
-        F.col("station_number").alias("StationNumber"),
-        F.col("latitude").alias("Latitude"),
-        F.col("longitude").alias("Longitude"),
+        "station_number", F.lit(True).alias("_gap"), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon")
     )
-    stations = feeds["stations"].drop(ROW).withColumns(
-        {c: parse_date(F.col(c), "M/d/yyyy") for c in ("LastDate_NTU", "FirstDate_FNU")}
-    )
-    # the portal speaks only for stations without a latitude
-    no_latitude = stations.filter(F.col("Latitude").isNull()).select("StationNumber").distinct()
-    portal = null_safe_join(portal, no_latitude, ["StationNumber"], "left_semi")
-    return fill_from(stations, portal, ["StationNumber"], ["Latitude", "Longitude"])
+    stations = feeds["stations"].drop(ROW).withColumn("_gap", F.col("Latitude").isNull())
+    joined = lookup(stations, portal, [("StationNumber", "station_number"), "_gap"])
+    dates = {c: parse_date(F.col(c), "M/d/yyyy") for c in ("LastDate_NTU", "FirstDate_FNU")}
+    position = {"Latitude": F.coalesce("Latitude", "_lat"), "Longitude": F.coalesce("Longitude", "_lon")}
+    return joined.withColumns({**dates, **position}).drop("_gap", "_lat", "_lon")
 
 
 def observations(feeds: Feeds) -> DataFrame:
@@ -122,14 +117,14 @@ def observations(feeds: Feeds) -> DataFrame:
         "StationNumber",
         "SampleCode",
         clock.alias("PstTime"),
-        to_local(clock, PST).alias("Datetime"),
         F.col("AnalyteStd").alias("Analyte"),
         "Result",
         F.col("RptLimit").alias("RL"),
         "Units",
         "Notes",
         ROW,
-    ).withColumn("Date", F.col("Datetime").cast("date"))
+    )
+    long = long.withColumn("Datetime", to_local(F.col("PstTime"), PST)).withColumn("Date", F.col("Datetime").cast("date"))
     calcium = ug_to_mg_per_l(F.col("Result"), F.col("Units"))
     value = F.when(F.col("Analyte") == "DissCalcium", calcium).otherwise(F.col("Result"))
     return split_censored(long).withColumn("Result", value).drop("RL", "Units")
@@ -191,7 +186,8 @@ def clean(feeds: Feeds) -> DataFrame:
     wide = long_to_wide(
         long, event, "Analyte", [*UNSIGNED, *SIGNED], {"Result": "{name}", "Sign": "{name}_Sign"}
     )
-    wide = spread_join(wide, visit_observations(feeds, stations), ["StationName", "StationNumber", "Date"])
+    # the pivot left one row per moment, so a station and day hold few rows: a plain join
+    wide = lookup(wide, visit_observations(feeds, stations), ["StationName", "StationNumber", "Date"])
     places = stations.select("StationNumber", "StationName", "Latitude", "Longitude")
     return lookup(wide, places, ["StationName", "StationNumber"]).select(
         F.lit("NCRO").alias("Source"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import at, existing_local, parse
+from tidemerge.functions.clock import add_local_time, parse
 from tidemerge.functions.codes import TRAWL_TIDES
 from tidemerge.functions.coords import dirty_dms, prefer_station_coords
 from tidemerge.functions.text import recode
@@ -43,13 +43,13 @@ def clean(feeds: Feeds) -> DataFrame:
     def unless_cdec(name):
         return null_when_noted(F.col("SampleComments"), "from CDEC", F.col(name), missing_notes_too=False)
 
-    samples = feeds["sample"].select(
+    samples = add_local_time(feeds["sample"], day, clock).select(
         F.lit("SKT").alias("Source"),
         F.col("StationCode").alias("Station"),
         dirty_dms(F.nullif(F.col("Latitude"), F.lit("0"))).alias("Latitude"),
         dirty_dms(longitude, -1).alias("Longitude"),
-        day.cast("date").alias("Date"),
-        existing_local(at(day, clock)).alias("Datetime"),
+        "Date",
+        "Datetime",
         feet_to_metres(F.col("DepthBottom")).alias("Depth"),
         recode(F.col("TideCode").cast("string"), TIDES).alias("Tide"),
         "Secchi",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import at, existing_local, parse
+from tidemerge.functions.clock import add_local_time, parse
 from tidemerge.functions.codes import trawl_tide
 from tidemerge.functions.units import feet_to_metres
 from tidemerge.operators.joins import lookup
@@ -31,13 +31,14 @@ def clean(feeds: Feeds) -> DataFrame:
     tows = feeds["tow_info"].drop("_row")
     visits = spread_join(feeds["water_info"], tows, ["Date", "Station"])
     day, clock = parse(F.col("Date"), STAMP), parse(F.col("Time"), STAMP)
-    return lookup(visits, dms_stations(feeds["stations"]), ["Station"]).select(
+    timed = add_local_time(visits, day, clock)
+    return lookup(timed, dms_stations(feeds["stations"]), ["Station"]).select(
         F.lit("SLS").alias("Source"),
         "Station",
         "Latitude",
         "Longitude",
-        day.cast("date").alias("Date"),
-        existing_local(at(day, clock)).alias("Datetime"),
+        "Date",
+        "Datetime",
         feet_to_metres(F.col("BottomDepth")).alias("Depth"),
         trawl_tide(F.col("Tide")).alias("Tide"),
         "Secchi",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import at, existing_local, parse
+from tidemerge.functions.clock import add_local_time, parse
 from tidemerge.functions.codes import trawl_tide
 from tidemerge.functions.nulls import drop_all_null, drop_any_null
 from tidemerge.functions.units import feet_to_metres
@@ -36,11 +36,12 @@ def clean(feeds: Feeds) -> DataFrame:
     )
     first_tow = tows.groupBy("SampleRowID").agg(F.min("Time").alias("Time"))
     day = parse(F.col("SampleDate"), STAMP)
-    samples = spread_join(feeds["sample"], first_tow, ["SampleRowID"]).select(
+    timed = add_local_time(spread_join(feeds["sample"], first_tow, ["SampleRowID"]), day, F.col("Time"))
+    samples = timed.select(
         F.lit("STN").alias("Source"),
         F.col("StationCode").alias("Station"),
-        day.cast("date").alias("Date"),
-        existing_local(at(day, F.col("Time"))).alias("Datetime"),
+        "Date",
+        "Datetime",
         feet_to_metres(F.col("DepthBottom")).alias("Depth"),
         trawl_tide(F.col("TideCode")).alias("Tide"),
         "Microcystis",

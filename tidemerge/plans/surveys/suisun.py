@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemerge.functions.clock import (
-    at, exact_sum, existing_local, from_micros, micros, parse, whole_ratio,
+    add_local_time, exact_sum, from_micros, micros, parse, whole_ratio,
 )
 from tidemerge.functions.nulls import drop_any_null
 from tidemerge.functions.text import number_text, paste, recode
@@ -71,10 +71,10 @@ def clean(feeds: Feeds) -> DataFrame:
     conductivity = specific_conductance(
         F.col("SpecificConductance"), F.col("ElecCond"), F.col("WaterTemperature")
     )
-    samples = spread_join(feeds["sample"], depths, ["SampleRowID"]).select(
+    samples = add_local_time(spread_join(feeds["sample"], depths, ["SampleRowID"]), day, clock).select(
         F.col("StationCode").alias("Station"),
-        day.cast("date").alias("Date"),
-        existing_local(at(day, clock)).alias("Datetime"),
+        "Date",
+        "Datetime",
         recode(F.col("TideCode"), TIDES).alias("Tide"),
         F.col("WaterTemperature").alias("Temperature"),
         "Salinity",

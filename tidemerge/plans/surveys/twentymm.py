@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import add_hours, at, existing_local, parse
+from tidemerge.functions.clock import add_hours, add_local_time, parse
 from tidemerge.functions.codes import trawl_tide
 from tidemerge.functions.coords import prefer_station_coords
 from tidemerge.functions.units import feet_to_metres
@@ -36,22 +36,23 @@ AFTERNOON_HOURS = (1, 2)
 def first_tows(tows: DataFrame) -> DataFrame:
     """Earliest tow of each visit; at equal times the lowest tow number."""
     clock = parse(F.col("TowTime"), STAMP)
-    shifted = F.when(F.hour(clock).isin(*AFTERNOON_HOURS), add_hours(clock, 12)).otherwise(clock)
-    timed = tows.select("StationID", shifted.alias("Time"), "Tide", "BottomDepth", "TowNum")
+    timed = tows.select("StationID", clock.alias("Time"), "Tide", "BottomDepth", "TowNum")
+    time = F.col("Time")
+    timed = timed.withColumn("Time", F.when(F.hour(time).isin(*AFTERNOON_HOURS), add_hours(time, 12)).otherwise(time))
     return keep_extreme(timed, ["StationID"], "Time", "TowNum").drop("TowNum")
 
 
 def clean(feeds: Feeds) -> DataFrame:
     dates = feeds["survey"].select("SurveyID", parse(F.col("SampleDate"), STAMP).cast("date").alias("Date"))
     visits = with_dms(feeds["visit"], _PARTS).drop(*_PARTS)
-    visits = spread_join(lookup(visits, dates, ["SurveyID"]), first_tows(feeds["tow"]), ["StationID"])
-    visits = visits.select(
+    visits = lookup(spread_join(visits, first_tows(feeds["tow"]), ["StationID"]), dates, ["SurveyID"])
+    visits = add_local_time(visits, F.col("Date"), F.col("Time")).select(
         F.lit("20mm").alias("Source"),
         "Station",
         "Latitude",
         "Longitude",
         "Date",
-        existing_local(at(F.col("Date"), F.col("Time"))).alias("Datetime"),
+        "Datetime",
         feet_to_metres(F.col("BottomDepth")).alias("Depth"),
         trawl_tide(F.col("Tide")).alias("Tide"),
         "Secchi",

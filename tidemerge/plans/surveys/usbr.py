@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import existing_local, parse, parse_date
+from tidemerge.functions.clock import add_local_stamp, parse, parse_date
 from tidemerge.functions.text import recode, remove_first
 from tidemerge.functions.units import feet_to_metres
 from tidemerge.operators.depth import BIN, bin_daily
@@ -27,10 +27,11 @@ STATION_NAMES = {"PS": "Pro"}
 
 
 def clean(feeds: Feeds) -> DataFrame:
-    profiles = feeds["profiles"].select(
+    timed = add_local_stamp(feeds["profiles"], parse(F.col("Datetime"), "yyyy-MM-dd H:mm:ss"))
+    profiles = timed.select(
         "Station",
         parse_date(F.col("Date"), "yyyy-MM-dd").alias("Date"),
-        existing_local(parse(F.col("Datetime"), "yyyy-MM-dd H:mm:ss")).alias("Datetime"),
+        "Datetime",
         F.col("Depth_feet").alias("Sample_depth"),
         "Temperature",
         "Conductivity",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemerge.functions.clock import (
-    at, exact_sum, existing_local, from_micros, micros, parse, parse_date, parse_date_two_digit_year, whole_ratio,
+    add_local_time, exact_sum, from_micros, micros, parse, parse_date, whole_ratio, whole_year,
 )
 from tidemerge.functions.nulls import number
 from tidemerge.functions.text import number_text
@@ -86,18 +86,10 @@ def first_of_day(binned: DataFrame) -> DataFrame:
 
 
 def clean(feeds: Feeds, hot_rows: int = HOT_ROWS) -> DataFrame:
-    day = F.coalesce(
-        parse_date(F.col("Date"), "M/d/yyyy"),
-        parse_date_two_digit_year(F.col("Date"), "M/d/yy"),
-        parse_date(F.col("Date"), "yyyy-MM-dd"),
-    )
+    day = parse_date(whole_year(F.col("Date")), "M/d/yyyy", "yyyy-MM-dd")
     rows = stack([feeds["early"], feeds["published"], feeds["web"]]).filter(F.col("Date").isNotNull())
-    rows = rows.withColumn("Date", day).withColumns(
-        {
-            "Station": _station_text(F.col("Station")),
-            "Datetime": existing_local(at(F.col("Date"), parse(F.col("Time"), "H:m"))),
-            "Sample_depth": F.col("Depth"),
-        }
+    rows = add_local_time(rows, day, parse(F.col("Time"), "H:m")).withColumns(
+        {"Station": _station_text(F.col("Station")), "Sample_depth": F.col("Depth")}
     )
     ids = [*DAY, "Datetime", "Sample_depth", ROW]
     long = wide_to_long(rows.select(*ids, *WATER, *NUTRIENTS), ids, [*WATER, *NUTRIENTS])

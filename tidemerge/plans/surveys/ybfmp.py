@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.clock import existing_local, parse, parse_date
+from tidemerge.functions.clock import add_local_stamp, parse, parse_date
 from tidemerge.functions.nulls import drop_all_null, if_else
 from tidemerge.functions.text import recode
 from tidemerge.functions.units import metres_to_centimetres, specific_conductance
@@ -44,9 +44,9 @@ BUT_NOTES = ["Date", "Datetime", "Station", "Tide", *MEASURES]
 
 def _feed(df: DataFrame, day: Column, time: Column, temperature: str, conductance: str, microcystis: str) -> DataFrame:
     """A feed under shared names, without empty and fully repeated records."""
-    shaped = df.select(
-        day.alias("Date"),
-        existing_local(time).alias("Datetime"),
+    shaped = add_local_stamp(df.withColumn("_day", day), time).select(
+        F.col("_day").alias("Date"),
+        "Datetime",
         F.col("StationCode").alias("Station"),
         recode(F.col("Tide"), TIDES).alias("Tide"),
         F.col(temperature).alias("Temperature"),
