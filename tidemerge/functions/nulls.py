@@ -24,7 +24,7 @@ def not_in(col: Column, values: Iterable) -> Column:
 def number(col: Column, as_type: str = "double") -> Column:
     """Text to number; text that is no number becomes NULL. NaN becomes NULL too."""
     value = col.try_cast(as_type)
-    return F.when(~F.isnan(value), value) if as_type in ("double", "float") else value
+    return F.nanvl(value, F.lit(None).cast(as_type)) if as_type in ("double", "float") else value
 
 
 def all_null(*names: str) -> Column:

@@ -26,8 +26,12 @@ def _with_row(df: DataFrame) -> DataFrame:
 
 def typed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Project the named columns and read them as the given types; unreadable values are NULL."""
+    have = dict(df.dtypes)
+
     def read(name, as_type):
         col = F.col(f"`{name}`")
+        if have[name] == as_type:
+            return F.nanvl(col, F.lit(None).cast(as_type)) if as_type == "double" else col
         if as_type == "string":
             return col.cast("string")
         if as_type == "boolean":
