@@ -87,8 +87,7 @@ def record_period(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
 
 def many_per_day(df: DataFrame, keys: Sequence[str], *, hot_rows: int | None = None) -> DataFrame:
     """All rows of the station-day-analyte keys sampled more than once."""
-    options = {} if hot_rows is None else {"hot_rows": hot_rows}
-    return spread_join(df, duplicate_keys(df, keys).drop("n"), keys, "left_semi", **options)
+    return spread_join(df, duplicate_keys(df, keys).drop("n"), keys, "left_semi", hot_rows=hot_rows)
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -147,14 +146,13 @@ def differing_values(
     left: DataFrame, right: DataFrame, keys: Sequence[str], field: str, *, hot_rows: int | None = None
 ) -> DataFrame:
     """Matched pairs whose field differs, per pair of values; records are counted before they meet."""
-    options = {} if hot_rows is None else {"hot_rows": hot_rows}
     l = left.filter(F.col(field).isNotNull()).groupBy(*keys, F.col(field).alias("left_value")).agg(
         F.count(F.lit(1)).alias("_l")
     )
     r = right.filter(F.col(field).isNotNull()).groupBy(*keys, F.col(field).alias("right_value")).agg(
         F.count(F.lit(1)).alias("_r")
     )
-    met = spread_join(l, r, keys, "inner", spread_by=["left_value"], **options)
+    met = spread_join(l, r, keys, "inner", spread_by=["left_value"], hot_rows=hot_rows)
     return met.filter("left_value <> right_value").groupBy("left_value", "right_value").agg(
         F.sum(F.col("_l") * F.col("_r")).alias("n")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemerge.functions.nulls import strict_max, strict_min
-from tidemerge.operators.spread import HOT_ROWS, attach_group
+from tidemerge.operators.spread import attach_group
 
 ROW = "_row"
 
@@ -24,7 +24,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence | None = None
 
 
 def keep_extreme(
-    df: DataFrame, keys: Sequence[str], *columns: str, largest: bool = False, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], *columns: str, largest: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Rows at the group's extreme value, ties included.
 
@@ -52,7 +52,7 @@ def keep_extreme(
     )
 
 
-def group_size(df: DataFrame, keys: Sequence[str], name: str = "n", *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def group_size(df: DataFrame, keys: Sequence[str], name: str = "n", *, hot_rows: int | None = None) -> DataFrame:
     return attach_group(df, keys, hot_rows=hot_rows, **{name: lambda over: over(F.count(F.lit(1)))})
 
 
@@ -61,7 +61,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def duplicate_rows(df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_rows(df: DataFrame, keys: Sequence[str], *, hot_rows: int | None = None) -> DataFrame:
     """All rows of the keys held by more than one row."""
     return group_size(df, keys, "_size", hot_rows=hot_rows).filter("_size > 1").drop("_size")
 
@@ -71,7 +71,7 @@ def split_repair(
     keys: Sequence[str],
     repair: Callable[[DataFrame], DataFrame],
     *,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Set the duplicated keys aside, repair them, and put them back with the rest."""
     sized = group_size(df, keys, "_size", hot_rows=hot_rows)

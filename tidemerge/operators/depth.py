@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemerge.functions.clock import midpoint
 from tidemerge.functions.nulls import strict_max, strict_min
-from tidemerge.operators.spread import HOT_ROWS, attach_group
+from tidemerge.operators.spread import attach_group
 
 BIN = "Depth_bin"
 
 
 def bin_daily(
     df: DataFrame, keys: Sequence[str], depth: str, threshold: float, time: str | None = None,
-    *, hot_rows: int = HOT_ROWS,
+    *, hot_rows: int | None = None,
 ) -> DataFrame:
     """Keep the shallowest sample above the threshold and the deepest below it.
 
@@ -49,7 +49,7 @@ def bin_by_parameter(
     water_limit: float = 2,
     nutrient_limit: float = 5,
     surface_only: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Bin per key and parameter: water samples into surface and bottom, nutrients near the surface.
 

@@ -83,3 +83,27 @@ def documented_difference(df: DataFrame, documented: Sequence[str]) -> dict[str,
         "missing": [c for c in documented if c not in df.columns],
         "undocumented": [c for c in df.columns if c not in documented],
     }
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """All checks that need no grouping, in one pass over an integrated table: each true when it holds."""
+    def within(name, low, high):
+        return F.bool_and((F.col(name) > low) & (F.col(name) < high))
+
+    def no_zero(name):
+        return ~F.bool_or(F.col(name) == 0)
+
+    near = F.abs(F.date_diff(F.col("Datetime").cast("date"), F.col("Date"))) <= 1
+    return df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[
+            F.coalesce(check, F.lit(True)).alias(name)
+            for name, check in {
+                "latitudes_inside": within("Latitude", 37, 39),
+                "longitudes_inside": within("Longitude", -123, -121),
+                "temperature_without_zero": no_zero("Temperature"),
+                "conductivity_without_zero": no_zero("Conductivity"),
+                "times_near_dates": F.bool_and(near),
+            }.items()
+        ],
+    )

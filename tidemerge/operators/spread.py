@@ -51,7 +51,7 @@ def spread_join(
     on: Sequence,
     how: str = "left",
     *,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     spread_by: Sequence[str] = (),
     counted: DataFrame | None = None,
 ) -> DataFrame:
@@ -65,6 +65,7 @@ def spread_join(
         raise ValueError(f"spread_join cannot run a {how} join")
     pairs = on_pairs(on)
     names = [l for l, _ in pairs]
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     hot = (
         (left if counted is None else counted)
         .groupBy(*names)
@@ -84,7 +85,7 @@ def spread_join(
     ).drop(_SALT)
 
 
-def full_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def full_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, hot_rows: int | None = None) -> DataFrame:
     """Null-safe full join on same-named keys: the left join, then the right rows without a match."""
     matched = spread_join(left, right, on, "left", hot_rows=hot_rows)
     rest = spread_join(right, left.select(*on).distinct(), on, "left_anti", hot_rows=hot_rows)
@@ -92,7 +93,7 @@ def full_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, hot_rows:
 
 
 def attach_group(
-    df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, **values: Callable[[Over], Column]
+    df: DataFrame, keys: Sequence[str], *, hot_rows: int | None = None, **values: Callable[[Over], Column]
 ) -> DataFrame:
     """Add group values to every row of the group.
 
@@ -101,6 +102,7 @@ def attach_group(
     with their values, and their rows are spread. The rest, whose groups are
     small, take the values from a window.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(_ROWS), *[v(same).alias(f"_hot_{n}") for n, v in values.items()]
     )

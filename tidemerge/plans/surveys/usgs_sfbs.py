@@ -17,7 +17,6 @@ from tidemerge.operators.depth import BIN, bin_by_parameter
 from tidemerge.operators.dedup import ROW
 from tidemerge.operators.joins import lookup
 from tidemerge.operators.reshape import pick_header, stack, wide_to_long
-from tidemerge.operators.spread import HOT_ROWS
 from tidemerge.sources.registry import Feeds
 
 # Measured parameters, molar masses, depth limits in metres.
@@ -85,7 +84,7 @@ def first_of_day(binned: DataFrame) -> DataFrame:
     return kept.select(*SAMPLE, "_first.*")
 
 
-def clean(feeds: Feeds, hot_rows: int = HOT_ROWS) -> DataFrame:
+def clean(feeds: Feeds, hot_rows: int | None = None) -> DataFrame:
     day = parse_date(whole_year(F.col("Date")), "M/d/yyyy", "yyyy-MM-dd")
     rows = stack([feeds["early"], feeds["published"], feeds["web"]]).filter(F.col("Date").isNotNull())
     rows = add_local_time(rows, day, parse(F.col("Time"), "H:m")).withColumns(

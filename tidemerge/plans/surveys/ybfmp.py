@@ -12,7 +12,6 @@ from tidemerge.functions.units import metres_to_centimetres, specific_conductanc
 from tidemerge.operators.dedup import ROW, group_size, keep_extreme, keep_first
 from tidemerge.operators.joins import lookup
 from tidemerge.operators.reshape import stack
-from tidemerge.operators.spread import HOT_ROWS
 from tidemerge.sources.registry import Feeds
 
 _STATIONS = {"StationCode": "string", "Latitude": "double", "Longitude": "double"}
@@ -112,7 +111,7 @@ def _merge_visits(both: DataFrame) -> DataFrame:
     )
 
 
-def clean(feeds: Feeds, hot_rows: int = HOT_ROWS) -> DataFrame:
+def clean(feeds: Feeds, hot_rows: int | None = None) -> DataFrame:
     zoop = _feed(
         feeds["zoop"], parse_date(F.col("Date"), "yyyy-MM-dd"), parse(F.col("Datetime"), "yyyy-MM-dd H:mm:ss"),
         "WaterTemperature", "SpCnd", "MicrocystisVisualRank",

@@ -1,10 +1,8 @@
-"""Session settings the library relies on, and where it may checkpoint."""
+"""Session settings the library relies on."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -25,20 +23,3 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
-
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` by writing it to the shared checkpoint folder.
-
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a folder of its own.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tidemerge-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemerge.sources.scan import scan_csv, scan_table, typed
+from tidemerge.sources.scan import FREE_TEXT, scan_csv, scan_table, typed
+from tidemerge.sources.sinks import write_table
 
 Feeds = Mapping[str, DataFrame]
 
@@ -29,5 +30,25 @@ class Survey:
 
     def read(self, spark: SparkSession, folder: str, fmt: str = "csv") -> DataFrame:
         """The cleaned table of feeds staged as ``folder/<source>/<feed>.<fmt>``."""
-        scan = {"csv": scan_csv, "parquet": scan_table}[fmt]
-        return self.build({n: scan(spark, f"{folder}/{self.name}/{n}.{fmt}") for n in self.feeds})
+        opened = {}
+        for feed, columns in self.feeds.items():
+            path = f"{folder}/{self.name}/{feed}.{fmt}"
+            if fmt == "csv":
+                opened[feed] = scan_csv(spark, path, line_breaks=any(c in FREE_TEXT for c in columns))
+            else:
+                opened[feed] = scan_table(spark, path)
+        return self.build(opened)
+
+
+def store(spark: SparkSession, surveys: Mapping[str, Survey], raw: str, cleaned: str, fmt: str = "csv") -> None:
+    """Clean every survey staged in ``raw`` and write its table to ``cleaned``.
+
+    Files are sorted by date, so that a later choice of years skips most of them.
+    """
+    for name, survey in surveys.items():
+        write_table(survey.read(spark, raw, fmt).sortWithinPartitions("Date"), f"{cleaned}/{name}")
+
+
+def stored(spark: SparkSession, cleaned: str, names: Iterable[str]) -> dict[str, Callable[[], DataFrame]]:
+    """Openers of the cleaned tables; a table is only looked at when it is opened."""
+    return {n: lambda n=n: spark.read.parquet(f"{cleaned}/{n}") for n in names}

@@ -24,6 +24,10 @@ def _with_row(df: DataFrame) -> DataFrame:
     )
 
 
+# Columns of free text, in which people break lines.
+FREE_TEXT = ("Notes", "Comments", "FieldNotes", "SampleComments", "FieldComments")
+
+
 def typed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Project the named columns and read them as the given types; unreadable values are NULL."""
     have = dict(df.dtypes)
@@ -43,14 +47,20 @@ def typed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 
 def scan_csv(
-    spark: SparkSession, paths: str | Sequence[str], columns: Mapping[str, str] | None = None, *, keep_order: bool = True
+    spark: SparkSession, paths: str | Sequence[str], columns: Mapping[str, str] | None = None, *,
+    keep_order: bool = True, line_breaks: bool = False,
 ) -> DataFrame:
     """Read CSV files that share a header.
 
     Values are read as text, empty and ``NA`` are NULL, and the columns are
-    projected by name. Without ``columns`` everything stays text.
+    projected by name. Without ``columns`` everything stays text. Files with
+    ``line_breaks`` inside quoted text are read whole, others are split.
     """
-    df = spark.read.csv(paths, header=True, nullValue="NA", enforceSchema=False, multiLine=False, escape='"')
+    df = spark.read.csv(
+        paths, header=True, nullValue="NA", emptyValue="", enforceSchema=False, multiLine=line_breaks, escape='"'
+    )
+    texts = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns]
+    df = df.select(*texts, "_metadata")
     if keep_order:
         df = _with_row(df)
     return df if columns is None else typed(df, columns)
