@@ -52,9 +52,9 @@ def as_rows(columns, rows):
     return Counter(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-def difference(spark, con, folder, name):
+def difference(spark, con, folder, name, df=None):
     """None when the results agree, else what differs."""
-    df = QUERIES[name](spark, folder)
+    df = QUERIES[name](spark, folder) if df is None else df
     got_columns, got = df.columns, [tuple(r) for r in df.collect()]
     want_columns, want, types = expected(con, name)
     if sorted(got_columns) != sorted(want_columns):

@@ -12,22 +12,15 @@ def duck(small):
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_agrees_with_sql(spark, small, duck, name):
-    if name in ORACLE:
-        problem = oracle.difference(spark, duck, small, name)
-        assert problem in (None, "no rows"), problem
-    else:
-        assert QUERIES[name](spark, small).columns
-
-
-@pytest.mark.parametrize("name", QUERIES)
-def test_plan_scales(spark, small, name):
+def test_agrees_with_sql_and_scales(spark, small, duck, name):
     df = QUERIES[name](spark, small)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
         assert operator not in plan, f"{operator} in the plan of {name}"
     # a whole table in one task: allowed only for the single row of a total
     assert plan.count("SinglePartition") == 0 or "HashAggregate(keys=[]" in plan or "SortAggregate(key=[]" in plan
+    problem = oracle.difference(spark, duck, small, name, df)
+    assert problem in (None, "no rows"), problem
 
 
 def test_every_query_has_sql():
