@@ -163,8 +163,8 @@ FROM gappy_tows WINDOW w AS (PARTITION BY sample)
 def strict_group_mean(tows):
     attached = attach_group(
         tows, ["sample"], hot_rows=4,
-        mean_depth=lambda over: F.round(nulls.strict_mean(F.col("depth"), over), 6),
-        deepest=lambda over: nulls.strict_max(F.col("depth"), over),
+        mean_depth=F.round(nulls.strict_mean(F.col("depth")), 6),
+        deepest=nulls.strict_max(F.col("depth")),
     )
     return attached.select("sample", "gear", "tow", "mean_depth", "deepest")
 

@@ -80,6 +80,16 @@ class TestClock:
         got = one(spark, *[clock.parse(F.lit(t), *formats) for t in ("4/24/1995 0:00:00", "1995-04-24", "24.4.1995")])
         assert got == (dt.datetime(1995, 4, 24), dt.datetime(1995, 4, 24), None)
 
+    @pytest.mark.parametrize("fmt, fits, fails", [
+        ("M/d/yyyy", ["1/5/1997", "12/31/2020"], ["1/5/97", "1/5/1997 8:00", "a/b/cdef"]),
+        ("yyyy-MM-dd", ["1997-01-05"], ["1997-1-5", "97-01-05"]),
+        ("M/d/yyyy HHmm", ["1/5/1997 0930"], ["1/5/1997 930"]),
+    ])
+    def test_shape_admits_what_the_format_reads(self, spark, fmt, fits, fails):
+        for text_, wanted in [(t, True) for t in fits] + [(t, False) for t in fails]:
+            got = one(spark, F.lit(text_).rlike(clock.shape(fmt)), F.try_to_timestamp(F.lit(text_), F.lit(fmt)).isNotNull())
+            assert got == (wanted, wanted)
+
     @pytest.mark.parametrize("written, year", [("3/7/69", 1969), ("3/7/98", 1998), ("3/7/00", 2000), ("3/7/68", 2068), ("3/7/2011", 2011)])
     def test_two_digit_years(self, spark, written, year):
         assert one(spark, clock.parse_date(clock.whole_year(F.lit(written)), "M/d/yyyy")) == (dt.date(year, 3, 7),)

@@ -65,13 +65,13 @@ class TestSpread:
             groups[k].append(v)
         least = {k: None if None in g else min(g) for k, g in groups.items()}
         got = attach_group(
-            facts, ["k"], hot_rows=hot_rows, n=lambda over: over(F.count(F.lit(1))), low=lambda over: strict_min(F.col("v"), over)
+            facts, ["k"], hot_rows=hot_rows, n=F.count(F.lit(1)), low=strict_min(F.col("v"))
         )
         assert {r.i: (r.n, r.low) for r in got.collect()} == {i: (len(groups[k]), least[k]) for k, _, i in skewed}
         assert got.count() == len(skewed)
 
     def test_group_value_may_replace_a_column(self, facts):
-        got = attach_group(facts, ["k"], v=lambda over: over(F.max(F.col("v"))))
+        got = attach_group(facts, ["k"], v=F.max("v"))
         assert got.columns == ["k", "i", "v"]
 
     def test_other_joins_are_refused(self, facts, dims):

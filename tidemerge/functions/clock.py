@@ -7,6 +7,8 @@ timestamp and back, which is the identity for every time that exists.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +17,26 @@ PST = "Etc/GMT+8"
 UTC = "UTC"
 
 
+def shape(fmt: str) -> str:
+    """A pattern of the texts a format can read, digits only: cheaper to test than a failed parse."""
+    def digits(run: str) -> str:
+        return r"\d{1,2}" if len(run) == 1 else rf"\d{{{len(run)}}}"
+
+    runs = re.findall(r"([a-zA-Z])(\1*)|([^a-zA-Z]+)", fmt)
+    return "^" + "".join(re.escape(other) if other else digits(first + rest) for first, rest, other in runs) + "$"
+
+
 def parse(col: Column, *formats: str) -> Column:
     """First format that fits, as wall-clock time; NULL when none does."""
-    tries = [F.try_to_timestamp(col, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*tries)
+    def read(fmt: str) -> Column:
+        return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+
+    if len(formats) == 1:
+        return read(formats[0])
+    fitting = F.when(col.rlike(shape(formats[0])), read(formats[0]))
+    for fmt in formats[1:]:
+        fitting = fitting.when(col.rlike(shape(fmt)), read(fmt))
+    return fitting
 
 
 def parse_date(col: Column, *formats: str) -> Column:

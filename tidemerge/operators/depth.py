@@ -23,10 +23,10 @@ def bin_daily(
     With ``time``, every row of the group gets the midpoint of the group's times.
     """
     d = F.col(depth)
-    stats = {"_top": lambda over: strict_min(d, over), "_deep": lambda over: strict_max(d, over)}
+    stats = {"_top": strict_min(d), "_deep": strict_max(d)}
     if time is not None:
         t = F.col(time)
-        stats |= {"_from": lambda over: strict_min(t, over), "_to": lambda over: strict_max(t, over)}
+        stats |= {"_from": strict_min(t), "_to": strict_max(t)}
     out = attach_group(df, keys, hot_rows=hot_rows, **stats).withColumn(
         BIN,
         F.when((d == F.col("_top")) & (d < threshold), "surface").when(
@@ -59,7 +59,7 @@ def bin_by_parameter(
     d, p = F.col(depth), F.col(parameter)
     binned = attach_group(
         long, [*keys, parameter], hot_rows=hot_rows,
-        _top=lambda over: strict_min(d, over), _deep=lambda over: strict_max(d, over),
+        _top=strict_min(d), _deep=strict_max(d),
     ).withColumn(
         BIN,
         F.when(p.isin(*water) & (d < water_limit) & (d == F.col("_top")), "surface")

@@ -11,13 +11,11 @@ from further columns. Both are the same when a lost task runs again.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.nulls import Over, same
-
 HOT_ROWS = 1_000_000
 
 _SALT = "_spread"
@@ -93,28 +91,29 @@ def full_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, hot_rows:
 
 
 def attach_group(
-    df: DataFrame, keys: Sequence[str], *, hot_rows: int | None = None, **values: Callable[[Over], Column]
+    df: DataFrame, keys: Sequence[str], *, hot_rows: int | None = None, **values: Column
 ) -> DataFrame:
-    """Add group values to every row of the group.
+    """Add group aggregates to every row of the group.
 
-    A value is a function of ``over``, which it applies to each aggregate it is
-    made of. Groups are first aggregated map-side; the hot ones are broadcast
-    with their values, and their rows are spread. The rest, whose groups are
-    small, take the values from a window.
+    Groups are aggregated map-side first. Rows of hot keys take the values from
+    a broadcast of the hot groups and are spread; the others join on the key.
+    Where the groups turn out few, adaptive execution broadcasts them all and
+    the rows are not shuffled.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    names = list(values)
     stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(_ROWS), *[v(same).alias(f"_hot_{n}") for n, v in values.items()]
+        F.count(F.lit(1)).alias(_ROWS), *[v.alias(f"_of_{n}") for n, v in values.items()]
+    )
+    hot = stats.filter(F.col(_ROWS) > hot_rows).withColumnsRenamed({f"_of_{n}": f"_hot_{n}" for n in names})
+    is_hot = F.col("_hot_rows").isNotNull()
+    share = 1 + _spread_number(F.ceil(F.col("_hot_rows") / hot_rows), ())
+    marked = null_safe_join(df, F.broadcast(hot.withColumnRenamed(_ROWS, "_hot_rows")), keys)
+    marked = marked.withColumn(_SALT, F.when(is_hot, share).otherwise(0))
+    joined = null_safe_join(
+        marked, stats.drop(_ROWS).withColumn(_SALT, F.lit(0).cast("bigint")), [*keys, _SALT]
     )
-    hot = stats.filter(F.col(_ROWS) > hot_rows)
-    is_hot = F.col(_ROWS).isNotNull()
-    share = 1 + _spread_number(F.ceil(F.col(_ROWS) / hot_rows), ())
-    marked = null_safe_join(df, F.broadcast(hot), keys).withColumn(_SALT, F.when(is_hot, share).otherwise(0))
-    group = Window.partitionBy(*keys, _SALT)
-    return marked.select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in values],
-        *[
-            F.when(is_hot, F.col(f"_hot_{n}")).otherwise(v(lambda agg: agg.over(group))).alias(n)
-            for n, v in values.items()
-        ],
+    return joined.select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in names],
+        *[F.when(is_hot, F.col(f"_hot_{n}")).otherwise(F.col(f"_of_{n}")).alias(n) for n in names],
     )

@@ -33,9 +33,10 @@ HOTTEST_BOTTOM = 40.0
 
 def clean(feeds: Feeds) -> DataFrame:
     day, clock = parse(F.col("SampleDate"), STAMP), parse(F.col("SampleTimeStart"), STAMP)
-    clock = F.when(F.hour(clock) != 0, clock)  # midnight stands for an unknown time
     zero = F.lit(0.0)
-    samples = add_local_time(feeds["sample"], day, clock).select(
+    # midnight stands for an unknown time
+    timed = feeds["sample"].withColumn("Clock", clock)
+    samples = add_local_time(timed, day, F.when(F.hour("Clock") != 0, F.col("Clock"))).select(
         F.lit("FMWT").alias("Source"),
         F.col("StationCode").alias("Station"),
         "Date",
