@@ -20,12 +20,11 @@ from catalog import QUERIES  # noqa: E402
 from tidemerge.session import local_session  # noqa: E402
 
 HEADLINE = (
-    "integrate_surveys", "integrate_year_range", "integrate_cleaned_surveys", "season_counts", "practical_salinity",
-    "keep_first", "keep_extreme_ties", "first_tow_two_stage", "split_repair_union", "resolve_replicates",
-    "replicate_dedup", "collapse_visits_mode", "group_size", "strict_group_mean", "depth_bin_daily",
-    "pivot_value_sign", "unpivot_drop_null", "skewed_fact_join", "left_lookup_null_safe", "natural_full_join",
-    "field_equivalence", "feeds_compared", "effort_matrix", "null_profile", "survey_fmwt", "survey_usbr",
-    "survey_usgs_sfbs", "survey_ncro",
+    "integrate_surveys", "integrate_year_range", "season_counts", "practical_salinity", "keep_first",
+    "keep_extreme_ties", "first_tow_two_stage", "split_repair_union", "resolve_replicates", "replicate_dedup",
+    "collapse_visits_mode", "group_size", "strict_group_mean", "depth_bin_daily", "pivot_value_sign",
+    "unpivot_drop_null", "skewed_fact_join", "left_lookup_null_safe", "field_equivalence", "effort_matrix",
+    "null_profile", "survey_fmwt", "survey_usgs_sfbs", "survey_ncro",
 )
 
 
