@@ -37,7 +37,7 @@ def run(spark, folder: str, name: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, **{"spark.driver.memory": "8g"})
     seconds = {}
     for name in HEADLINE:

@@ -27,15 +27,21 @@ def on_pairs(on: Sequence) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in on]
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence, how: str = "left") -> DataFrame:
-    """Equi-join in which NULL keys match each other; the left key columns survive."""
-    pairs = on_pairs(on)
+def null_safe_join(
+    left: DataFrame, right: DataFrame, on: Sequence, how: str = "left", *, plain: Sequence[str] = ()
+) -> DataFrame:
+    """Equi-join in which NULL keys match each other; the left key columns survive.
+
+    ``plain`` names further keys that are never NULL.
+    """
+    pairs = on_pairs(on) + on_pairs(plain)
     renamed = {r: f"_key_{i}" for i, (_, r) in enumerate(pairs)}
     right = right.withColumnsRenamed(renamed)
-    condition = F.lit(True)
+    condition = None
     for i, (l, _) in enumerate(pairs):
-        match = F.col(l).eqNullSafe(F.col(f"_key_{i}"))
-        condition = match if i == 0 else condition & match
+        key = F.col(f"_key_{i}")
+        match = F.col(l) == key if l in plain else F.col(l).eqNullSafe(key)
+        condition = match if condition is None else condition & match
     return left.join(right, condition, how).drop(*renamed.values())
 
 
@@ -79,7 +85,7 @@ def spread_join(
         _SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(_COPIES), F.lit(1)) - 1))
     )
     return null_safe_join(
-        spread.drop(_COPIES), repeated.drop(_COPIES), [*pairs, _SALT], how
+        spread.drop(_COPIES), repeated.drop(_COPIES), pairs, how, plain=[_SALT]
     ).drop(_SALT)
 
 
@@ -110,9 +116,9 @@ def attach_group(
     share = 1 + _spread_number(F.ceil(F.col("_hot_rows") / hot_rows), ())
     marked = null_safe_join(df, F.broadcast(hot.withColumnRenamed(_ROWS, "_hot_rows")), keys)
     marked = marked.withColumn(_SALT, F.when(is_hot, share).otherwise(0))
-    joined = null_safe_join(
-        marked, stats.drop(_ROWS).withColumn(_SALT, F.lit(0).cast("bigint")), [*keys, _SALT]
-    )
+    # the rows of hot keys have no partner here: their numbers start at 1
+    partner = F.when(F.col(_ROWS) > hot_rows, -1).otherwise(0).cast("bigint")
+    joined = null_safe_join(marked, stats.withColumn(_SALT, partner).drop(_ROWS), keys, plain=[_SALT])
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in names],
         *[F.when(is_hot, F.col(f"_hot_{n}")).otherwise(F.col(f"_of_{n}")).alias(n) for n in names],
