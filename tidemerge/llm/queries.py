@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemerge.llm import mixing, packing, pii, quality, simhash
-from tidemerge.llm.common import table
+from tidemerge.llm import html_crf, mixing, packing, pii, quality, rp_forest, secret_scan, simhash, vector_graph, warc
+from tidemerge.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: What SQL can express of these; the tests hold the others against brute force.
@@ -25,22 +25,48 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"), shared_folder(spark))
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
 
 
+@query
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return rp_forest.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The domains are languages, learnt from the documents that ``labels`` lists, at weights that lift the rare ones."""
