@@ -81,26 +81,27 @@ SELECT code, maybe_station, day, analyte FROM readings
 QUALIFY count(*) OVER (PARTITION BY maybe_station, day, analyte) > 1
 """)
 def many_per_day(readings):
-    rows = audit.many_per_day(readings, ["maybe_station", "day", "analyte"], hot_rows=50)
+    rows = audit.many_per_day(readings, ["maybe_station", "day", "analyte"])
     return rows.select("code", "maybe_station", "day", "analyte")
 
 
 @query("documents", "labels", sql="""
 SELECT coalesce(d.doc_id, l.doc_id) AS doc_id,
        CASE WHEN d.doc_id IS NULL THEN 'right' WHEN l.doc_id IS NULL THEN 'left' ELSE 'both' END AS found_in
-FROM (SELECT DISTINCT doc_id FROM documents WHERE n_chars > 200) d
+FROM (SELECT DISTINCT CASE WHEN n_chars > 200 THEN doc_id ELSE -1 - doc_id END AS doc_id FROM documents) d
 FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id
 """)
 def reconcile_feeds(documents, labels):
-    return audit.reconcile(documents.filter("n_chars > 200"), labels, ["doc_id"])
+    short = documents.selectExpr("CASE WHEN n_chars > 200 THEN doc_id ELSE -1 - doc_id END AS doc_id")
+    return audit.reconcile(short, labels, ["doc_id"])
 
 
 ALTERED = """
 SELECT o_custkey AS k, o_orderstatus AS a, CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_orderpriority END AS b FROM orders
 """
 OTHER = """
-SELECT o_custkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS a, o_orderpriority AS b FROM orders
-WHERE o_orderkey % 3 <> 0
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN -1 - o_custkey ELSE o_custkey END AS k, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS a,
+       o_orderpriority AS b FROM orders
 """
 
 
@@ -110,8 +111,9 @@ def _two_feeds(orders):
         F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("a"),
         F.when(key % 8 != 0, F.col("o_orderpriority")).alias("b"),
     )
-    right = orders.filter(key % 3 != 0).select(
-        F.col("o_custkey").alias("k"), F.when(key % 5 == 0, "X").otherwise(F.col("o_orderstatus")).alias("a"),
+    customer = F.col("o_custkey")
+    right = orders.select(
+        F.when(key % 3 == 0, -1 - customer).otherwise(customer).alias("k"), F.when(key % 5 == 0, "X").otherwise(F.col("o_orderstatus")).alias("a"),
         F.col("o_orderpriority").alias("b"),
     )
     return left, right
@@ -135,7 +137,7 @@ WHERE l.a <> r.a GROUP BY ALL
 """)
 def differing_values(orders):
     left, right = _two_feeds(orders)
-    return audit.differing_values(left, right, ["k"], "a", hot_rows=2)
+    return audit.differing_values(left, right, ["k"], "a")
 
 
 @query("readings", sql="""

@@ -31,7 +31,7 @@ QUALIFY depth = min(depth) OVER (PARTITION BY station, flag)
 """)
 def keep_extreme_ties(tows):
     """All tows at the least depth of their station; every group is treated as hot."""
-    kept = dedup.keep_extreme(tows, ["station", "flag"], "depth", hot_rows=100)
+    kept = dedup.keep_extreme(tows, ["station", "flag"], "depth")
     return kept.select("sample", "station", "gear", "tow", "depth")
 
 
@@ -51,7 +51,7 @@ WINDOW w AS (PARTITION BY sample)
 QUALIFY depth = CASE WHEN count(*) OVER w = count(depth) OVER w THEN max(depth) OVER w END
 """)
 def keep_deepest_strict(tows):
-    kept = dedup.keep_extreme(tows, ["sample"], "depth", largest=True, hot_rows=4)
+    kept = dedup.keep_extreme(tows, ["sample"], "depth", largest=True)
     return kept.select("sample", "station", "gear", "tow", "depth")
 
 
@@ -150,7 +150,7 @@ SELECT sample, gear, tow, count(*) OVER (PARTITION BY maybe_flag, status) AS n F
 """)
 def group_size(tows):
     """Few, large groups: all of them take the hot path."""
-    sized = dedup.group_size(tows, ["maybe_flag", "status"], "n", hot_rows=500)
+    sized = dedup.group_size(tows, ["maybe_flag", "status"], "n")
     return sized.select("sample", "gear", "tow", "n")
 
 
@@ -162,7 +162,7 @@ FROM gappy_tows WINDOW w AS (PARTITION BY sample)
 """)
 def strict_group_mean(tows):
     attached = attach_group(
-        tows, ["sample"], hot_rows=4,
+        tows, ["sample"],
         mean_depth=F.round(nulls.strict_mean(F.col("depth")), 6),
         deepest=nulls.strict_max(F.col("depth")),
     )
@@ -189,7 +189,7 @@ SELECT sample, gear, tow, depth, CASE WHEN depth = top AND depth < 25 THEN 'surf
 FROM t WHERE (depth = top AND depth < 25) OR (depth = deep AND depth > 25)
 """)
 def depth_bin_daily(tows):
-    binned = depth.bin_daily(tows, ["station", "day"], "depth", 25, hot_rows=20)
+    binned = depth.bin_daily(tows, ["station", "day"], "depth", 25)
     return binned.select("sample", "gear", "tow", "depth", F.col(depth.BIN).alias("depth_bin"))
 
 
@@ -218,6 +218,6 @@ def depth_bin_by_param(tows):
     long = reshape.wide_to_long(gaps, ids, ["water", "nutrient", "algae"], "parameter", "value")
     binned = depth.bin_by_parameter(
         long, ["station", "day"], "parameter", "depth", ["water", "algae"], ["nutrient"],
-        water_limit=20, nutrient_limit=30, surface_only=["algae"], hot_rows=20,
+        water_limit=20, nutrient_limit=30, surface_only=["algae"],
     )
     return binned.select("sample", "gear", "tow", "parameter", "value", F.col(depth.BIN).alias("depth_bin"))

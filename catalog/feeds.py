@@ -122,15 +122,16 @@ FROM {lineitem}
 VIEWS["stn_stations"] = f"SELECT concat('ST', s_suppkey) AS StationCodeSTN, {DMS} FROM {{supplier}}"
 # --- SLS
 VIEWS["sls_water_info"] = f"""
-SELECT {midnight(mdy())} AS Date, {STATION} AS Station, {real('o_orderkey % 30')} AS Temp, o_totalprice AS TopEC,
+SELECT {midnight(mdy())} AS Date, concat(CASE WHEN o_orderkey % 2 = 0 THEN 'ST' ELSE 'W' END, o_custkey) AS Station,
+       {real('o_orderkey % 30')} AS Temp, o_totalprice AS TopEC,
        {real('o_custkey % 90')} AS Secchi,
        CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'EC from CDEC gauge' ELSE 'calm' END AS Comments
-FROM {{orders}} WHERE o_orderkey % 2 = 0
+FROM {{orders}}
 """
 VIEWS["sls_tow_info"] = f"""
-SELECT {midnight(mdy())} AS Date, {STATION} AS Station, {gap(7, DUMMY)} AS Time, {gap(9, real('o_orderkey % 6'))} AS Tide,
+SELECT {midnight(mdy())} AS Date, concat(CASE WHEN o_orderkey % 3 = 0 THEN 'T' ELSE 'ST' END, o_custkey) AS Station, {gap(7, DUMMY)} AS Time, {gap(9, real('o_orderkey % 6'))} AS Tide,
        {real('o_orderkey % 45')} AS BottomDepth
-FROM {{orders}} WHERE o_orderkey % 3 <> 0
+FROM {{orders}}
 """
 VIEWS["sls_stations"] = f"SELECT concat('ST', s_suppkey) AS Station, {DMS} FROM {{supplier}}"
 # --- SKT
@@ -161,8 +162,8 @@ SELECT CASE WHEN l_suppkey % 30 = 0 THEN 'Pro' ELSE CAST(l_suppkey % 30 AS STRIN
 FROM {lineitem}
 """
 VIEWS["usbr_sites"] = """
-SELECT CASE WHEN s_suppkey = 0 THEN 'PS' ELSE concat('NL ', s_suppkey) END AS Station, 38 + s_acctbal / 100000 AS Latitude,
-       -121 - s_acctbal / 100000 AS Longitude, CAST(s_suppkey AS DOUBLE) AS Depth_m FROM {supplier} WHERE s_suppkey < 20
+SELECT CASE WHEN s_suppkey = 0 THEN 'PS' WHEN s_suppkey % 9 = 4 THEN concat('other ', s_suppkey) ELSE concat('NL ', s_suppkey) END AS Station,
+       38 + s_acctbal / 100000 AS Latitude, -121 - s_acctbal / 100000 AS Longitude, CAST(s_suppkey AS DOUBLE) AS Depth_m FROM {supplier}
 """
 # --- EMP
 _EMP = ["Pheophytin", "TotAlkalinity", "TotAmmonia", "DissAmmonia", "DissBromide", "DissCalcium", "TotChloride",
@@ -194,7 +195,7 @@ SELECT {mdy()} AS Date, CASE o_orderkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '111'
        CASE o_orderkey % 4 WHEN 0 THEN 'present' WHEN 1 THEN 'absent' WHEN 2 THEN '2.5' ELSE '3' END AS Microcystis,
        {gap(2, real('o_orderkey % 12'))} AS DOSurface, {gap(2, real('o_orderkey % 11'))} AS DOBottom,
        {gap(2, real('o_orderkey % 8'))} AS pHSurface, {gap(2, real('o_orderkey % 7'))} AS pHBottom
-FROM {{orders}} WHERE o_orderkey % 3 <> 0
+FROM {{orders}}
 """
 VIEWS["sdo_by_depth"] = """
 SELECT CASE user_id % 6 WHEN 0 THEN 'Turning Basin' WHEN 1 THEN 'P8' WHEN 2 THEN 'Light 41' WHEN 3 THEN 'Light 43'
@@ -213,7 +214,7 @@ SELECT CASE s_suppkey WHEN 0 THEN 'tb' WHEN 1 THEN 'lt40' WHEN 2 THEN 'lt41' ELS
 # --- 20mm
 VIEWS["twentymm_stations"] = VIEWS["sls_stations"]
 VIEWS["twentymm_visit"] = f"""
-SELECT CAST(o_orderkey AS STRING) AS StationID, CAST(o_custkey % 500 AS STRING) AS SurveyID, {STATION} AS Station,
+SELECT CAST(o_orderkey AS STRING) AS StationID, CAST(o_custkey AS STRING) AS SurveyID, {STATION} AS Station,
        {gap(5, 'CAST(38 AS DOUBLE)')} AS LatDeg, {real('o_custkey % 60')} AS LatMin, {real('o_orderkey % 60')} AS LatSec,
        CAST(121 AS DOUBLE) AS LonDeg, {real('o_custkey % 60')} AS LonMin, {gap(4, real('o_orderkey % 60'))} AS LonSec,
        {real('o_orderkey % 30')} AS Temp, o_totalprice AS TopEC, o_totalprice * 2 AS BottomEC, {real('o_custkey % 90')} AS Secchi,
@@ -221,9 +222,9 @@ SELECT CAST(o_orderkey AS STRING) AS StationID, CAST(o_custkey % 500 AS STRING)
 FROM {{orders}}
 """
 VIEWS["twentymm_survey"] = """
-SELECT CAST(c_custkey AS STRING) AS SurveyID,
+SELECT concat(CASE WHEN c_custkey % 10 = 9 THEN 'X' ELSE '' END, c_custkey) AS SurveyID,
        concat(1 + c_custkey % 12, '/', 1 + c_custkey % 28, '/', 1995 + c_custkey % 20, ' 0:00:00') AS SampleDate
-FROM {customer} WHERE c_custkey < 450
+FROM {customer}
 """
 VIEWS["twentymm_tow"] = """
 SELECT CAST(l_orderkey AS STRING) AS StationID,
@@ -235,28 +236,36 @@ FROM {lineitem}
 """
 # --- Baystudy
 VIEWS["baystudy_stations"] = """
-SELECT CASE s_suppkey WHEN 0 THEN '211E' WHEN 1 THEN '211W' ELSE CAST(s_suppkey AS STRING) END AS Station,
+SELECT CASE WHEN s_suppkey = 0 THEN '211E' WHEN s_suppkey = 1 THEN '211W' WHEN s_suppkey % 3 = 2 THEN concat('X', s_suppkey)
+            ELSE CAST(s_suppkey AS STRING) END AS Station,
        concat('37°', s_suppkey % 60, '.25') AS Latitude, concat('-122°', s_suppkey * 3 % 60, '.5') AS Longitude
-FROM {supplier} WHERE s_suppkey % 3 <> 2
+FROM {supplier}
 """
 VIEWS["baystudy_tide_codes"] = """
 SELECT CAST(r_regionkey + 1 AS INT) AS Tide,
-       CASE r_regionkey WHEN 0 THEN 'Flood' WHEN 1 THEN 'Ebb' WHEN 2 THEN 'Low Slack' ELSE 'High Slack' END AS Description
-FROM {region} WHERE r_regionkey < 4
+       CASE r_regionkey WHEN 0 THEN 'Flood' WHEN 1 THEN 'Ebb' WHEN 2 THEN 'Low Slack' WHEN 3 THEN 'High Slack' END AS Description
+FROM {region}
 """
-_BAY_VISIT = "CAST(o_orderkey % 7 AS INT) AS Year, CAST(o_custkey % 200 AS INT) AS Survey, CAST(o_orderkey % 60 AS STRING) AS Station"
+_BAY_SURVEY = {every: f"CAST(CASE WHEN o_orderkey % {every} = 0 THEN o_custkey ELSE -1 - o_custkey END AS INT)" for every in (1, 3, 6)}
+
+
+def _bay_visit(every: int = 1) -> str:
+    """One order in ``every`` names the survey that its tow names."""
+    return f"CAST(o_orderkey % 7 AS INT) AS Year, {_BAY_SURVEY[every]} AS Survey, CAST(o_orderkey % 60 AS STRING) AS Station"
+
+
 VIEWS["baystudy_boat_station"] = f"""
-SELECT {_BAY_VISIT}, {midnight(mdy(-8))} AS Date, {real('o_orderkey % 30')} AS Depth, {real('o_custkey % 90')} AS Secchi,
+SELECT {_bay_visit(3)}, {midnight(mdy(-8))} AS Date, {real('o_orderkey % 30')} AS Depth, {real('o_custkey % 90')} AS Secchi,
        CAST(o_orderkey % 6 AS INT) AS Tide
-FROM {{orders}} WHERE o_orderkey % 3 = 0
+FROM {{orders}}
 """
 VIEWS["baystudy_salin_temp"] = f"""
-SELECT {_BAY_VISIT}, max(o_totalprice) AS ECSurf, min(o_totalprice) AS ECBott, CAST(max(o_orderkey % 30) AS DOUBLE) AS TempSurf,
+SELECT {_bay_visit(6)}, max(o_totalprice) AS ECSurf, min(o_totalprice) AS ECBott, CAST(max(o_orderkey % 30) AS DOUBLE) AS TempSurf,
        CAST(min(o_orderkey % 30) AS DOUBLE) AS TempBott
-FROM {{orders}} WHERE o_orderkey % 6 = 0 GROUP BY CAST(o_orderkey % 7 AS INT), CAST(o_custkey % 200 AS INT), CAST(o_orderkey % 60 AS STRING)
+FROM {{orders}} GROUP BY CAST(o_orderkey % 7 AS INT), {_BAY_SURVEY[6]}, CAST(o_orderkey % 60 AS STRING)
 """
 VIEWS["baystudy_boat_tow"] = f"""
-SELECT {_BAY_VISIT}, {gap(30, DUMMY, 'o_custkey')} AS Time, CAST(o_orderkey % 5 AS INT) AS Tide,
+SELECT {_bay_visit()}, {gap(30, DUMMY, 'o_custkey')} AS Time, CAST(o_orderkey % 5 AS INT) AS Tide,
        {gap(4, real('370000 + (o_orderkey % 60) * 100 + o_custkey % 60'))} AS StartLat,
        {gap(5, real('12200000 + (o_orderkey % 60) * 1000 + o_custkey % 60'))} AS StartLong, o_orderkey AS _row
 FROM {{orders}}
@@ -275,8 +284,8 @@ VIEWS["suisun_depth"] = """
 SELECT CAST(l_orderkey AS STRING) AS SampleRowID, CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_quantity END AS Depth FROM {lineitem}
 """
 VIEWS["suisun_stations"] = """
-SELECT concat('ST', s_suppkey) AS StationCode, -121 - s_acctbal / 10000 AS x_WGS84, 38 + s_acctbal / 100000 AS y_WGS84
-FROM {supplier} WHERE s_suppkey < 6
+SELECT concat(CASE WHEN s_suppkey % 7 = 6 THEN 'X' ELSE 'ST' END, s_suppkey) AS StationCode, -121 - s_acctbal / 10000 AS x_WGS84,
+       38 + s_acctbal / 100000 AS y_WGS84 FROM {supplier}
 """
 # --- YBFMP
 _YB = """concat('Y', user_id % 5) AS StationCode, CASE event_id % 4 WHEN 0 THEN 'High' WHEN 1 THEN 'Low' WHEN 2 THEN 'Flood' END AS Tide,
@@ -296,12 +305,12 @@ SELECT concat(month(ts), '/', day(ts), '/', year(ts), ' ', {_YB_HOUR}, ':00') AS
        {_YB.format(t='WaterTemp', c='SpecificConductance', m='MicrocystisRank')} FROM {{events}} WHERE event_id % 3 <> 2
 """
 VIEWS["ybfmp_zoop_stations"] = """
-SELECT concat('Y', n_nationkey) AS StationCode, CAST(38.5 AS DOUBLE) AS Latitude, CAST(-121.5 AS DOUBLE) AS Longitude
-FROM {nation} WHERE n_nationkey < 3
+SELECT concat(CASE WHEN n_nationkey % 5 > 2 THEN 'Z' ELSE 'Y' END, n_nationkey) AS StationCode, CAST(38.5 AS DOUBLE) AS Latitude,
+       CAST(-121.5 AS DOUBLE) AS Longitude FROM {nation}
 """
 VIEWS["ybfmp_fish_stations"] = """
-SELECT concat('Y', n_nationkey) AS StationCode, CAST(38.5 AS DOUBLE) AS Latitude, CAST(-121.5 AS DOUBLE) AS Longitude
-FROM {nation} WHERE n_nationkey < 4
+SELECT concat(CASE WHEN n_nationkey % 5 > 3 THEN 'Z' ELSE 'Y' END, n_nationkey) AS StationCode, CAST(38.5 AS DOUBLE) AS Latitude,
+       CAST(-121.5 AS DOUBLE) AS Longitude FROM {nation}
 """
 # --- USGS_CAWSC
 VIEWS["cawsc_results"] = f"""
@@ -339,8 +348,8 @@ VIEWS["sfbs_published"] = _SFBS.format(
 VIEWS["sfbs_web"] = _SFBS.format(
     day=ymd(), where="o_orderkey % 3 = 2", extra=", o_totalprice / 4000 AS DissolvedOxygenPercent")
 VIEWS["sfbs_stations"] = """
-SELECT CAST(s_suppkey AS STRING) AS Station, 37 + s_acctbal / 10000 AS Latitude, -121 - s_acctbal / 10000 AS Longitude
-FROM {supplier} WHERE s_suppkey < 9
+SELECT concat(CASE WHEN s_suppkey % 12 > 8 THEN 'X' ELSE '' END, s_suppkey) AS Station, 37 + s_acctbal / 10000 AS Latitude,
+       -121 - s_acctbal / 10000 AS Longitude FROM {supplier}
 """
 # --- NCRO
 _ANALYTE_CASE = """CASE event_id % 9 WHEN 0 THEN 'Chlorophyll a' WHEN 1 THEN 'Dissolved Ammonia' WHEN 2 THEN 'Field Turbidity'
@@ -370,25 +379,25 @@ SELECT CASE n_nationkey WHEN 0 THEN 'B9D75841349' WHEN 1 THEN 'B9D75011230' WHEN
        concat('Station ', n_nationkey) AS StationName,
        CASE WHEN n_nationkey % 2 = 0 THEN NULL ELSE CAST(37.5 AS DOUBLE) END AS Latitude,
        CASE WHEN n_nationkey % 2 = 0 THEN NULL ELSE CAST(-121.5 AS DOUBLE) END AS Longitude,
-       CASE WHEN n_nationkey < 8 THEN concat('W', n_nationkey) END AS WQES_StationCode,
+       CASE WHEN n_nationkey % 9 <> 8 THEN concat('W', n_nationkey) END AS WQES_StationCode,
        concat('1/', 1 + n_nationkey, '/2024') AS LastDate_NTU, concat('1/', 4 + n_nationkey, '/2024') AS FirstDate_FNU
-FROM {nation} WHERE n_nationkey < 9
+FROM {nation}
 """
 VIEWS["ncro_portal_stations"] = """
 SELECT concat('N', n_nationkey) AS station_number, CAST(38 AS DOUBLE) AS latitude, CAST(-122 AS DOUBLE) AS longitude FROM {nation}
 """
 VIEWS["ncro_secchi"] = """
-SELECT concat('W', user_id % 12) AS StationCode, CASE event_id % 7 WHEN 0 THEN 'Not Visible' WHEN 1 THEN 'Absent' WHEN 2 THEN 'Low'
+SELECT concat(CASE WHEN event_type = 'signup' THEN 'W' ELSE 'V' END, user_id % 12) AS StationCode, CASE event_id % 7 WHEN 0 THEN 'Not Visible' WHEN 1 THEN 'Absent' WHEN 2 THEN 'Low'
             WHEN 3 THEN 'Medium' WHEN 4 THEN 'High' WHEN 5 THEN 'Extreme' END AS FldObsWaterHabs,
        CASE WHEN event_id % 2 = 0 THEN NULL ELSE CAST(event_id % 3 AS DOUBLE) / 2 END AS FldObsSecchi, ts AS DeploymentEnd
-FROM {events} WHERE event_type = 'signup'
+FROM {events}
 """
 VIEWS["ncro_same_day"] = """
-SELECT concat('C', event_id) AS SampleCode, CASE WHEN event_id % 5 = 0 THEN 'no' ELSE 'yes' END AS KeepRecord FROM {events} WHERE event_type = 'click'
+SELECT concat('C', event_id) AS SampleCode, CASE WHEN event_type = 'click' AND event_id % 5 = 0 THEN 'no' ELSE 'yes' END AS KeepRecord FROM {events}
 """
 VIEWS["ncro_questionable"] = """
-SELECT concat('C', event_id) AS SampleCode, CASE event_id % 3 WHEN 0 THEN 'pH' WHEN 1 THEN 'Temperature' ELSE 'Conductivity' END AS Analyte,
+SELECT concat(CASE WHEN event_type = 'view' THEN 'C' ELSE 'Q' END, event_id) AS SampleCode, CASE event_id % 3 WHEN 0 THEN 'pH' WHEN 1 THEN 'Temperature' ELSE 'Conductivity' END AS Analyte,
        CASE event_id % 4 WHEN 0 THEN 'Unknown' WHEN 1 THEN 'Yes' ELSE 'No' END AS MeasVerified,
        CASE WHEN event_id % 6 = 1 THEN NULL ELSE value * 3 END AS ResultVerified
-FROM {events} WHERE event_type = 'view'
+FROM {events}
 """

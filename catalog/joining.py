@@ -13,25 +13,24 @@ from tidemerge.plans.integrate import combine
 
 @query("gappy_tows", "supplier", sql="""
 SELECT sample, gear, tow, maybe_station, s_name
-FROM gappy_tows LEFT JOIN (SELECT CASE WHEN s_suppkey % 21 = 20 THEN NULL ELSE s_suppkey END AS k, s_name
-                           FROM supplier WHERE s_suppkey < 21) s
+FROM gappy_tows LEFT JOIN (SELECT CASE WHEN s_suppkey = 20 THEN NULL ELSE s_suppkey END AS k, s_name FROM supplier) s
   ON maybe_station IS NOT DISTINCT FROM k
 """)
 def left_lookup_null_safe(tows, supplier):
     """Stations by number; the one nameless station belongs to the tows without a number."""
     key = F.col("s_suppkey")
-    stations = supplier.filter(key < 21).select(F.when(key % 21 != 20, key).alias("k"), "s_name")
+    stations = supplier.select(F.when(key != 20, key).alias("k"), "s_name")
     joined = joins.lookup(tows, stations, [("maybe_station", "k")])
     return joined.select("sample", "gear", "tow", "maybe_station", "s_name")
 
 
 @query("tows", sql="""
 SELECT t.sample, t.gear, t.tow, d.deepest, d.n FROM tows t
-LEFT JOIN (SELECT station, flag, max(depth) AS deepest, count(*) AS n FROM tows WHERE flag <> 'R' GROUP BY ALL) d
+LEFT JOIN (SELECT station, CASE WHEN flag = 'R' THEN 'r' ELSE flag END AS flag, max(depth) AS deepest, count(*) AS n FROM tows GROUP BY ALL) d
   ON t.station = d.station AND t.flag = d.flag
 """)
 def composite_lookup(tows):
-    daily = tows.filter("flag <> 'R'").groupBy("station", "flag").agg(
+    daily = tows.groupBy("station", F.when(F.col("flag") == "R", "r").otherwise(F.col("flag")).alias("flag")).agg(
         F.max("depth").alias("deepest"), F.count(F.lit(1)).alias("n")
     )
     return joins.lookup(tows, daily, ["station", "flag"]).select("sample", "gear", "tow", "deepest", "n")
@@ -39,13 +38,13 @@ def composite_lookup(tows):
 
 @query("gappy_tows", sql="""
 SELECT t.sample, t.gear, t.tow, t.maybe_flag, d.n FROM gappy_tows t
-LEFT JOIN (SELECT maybe_flag, status, count(*) AS n FROM gappy_tows WHERE tow > 2 GROUP BY ALL) d
+LEFT JOIN (SELECT maybe_flag, status, count(*) AS n FROM gappy_tows GROUP BY ALL) d
   ON t.maybe_flag IS NOT DISTINCT FROM d.maybe_flag AND t.status = d.status
 """)
 def skewed_fact_join(tows):
     """Two tables of the survey's own size; a few keys hold most rows and are spread."""
-    counted = tows.filter("tow > 2").groupBy("maybe_flag", "status").agg(F.count(F.lit(1)).alias("n"))
-    joined = spread_join(tows, counted, ["maybe_flag", "status"], hot_rows=500)
+    counted = tows.groupBy("maybe_flag", "status").agg(F.count(F.lit(1)).alias("n"))
+    joined = spread_join(tows, counted, ["maybe_flag", "status"])
     return joined.select("sample", "gear", "tow", "maybe_flag", "n")
 
 
@@ -61,12 +60,12 @@ def exclusion_list(orders, customer):
 
 @query("gappy_tows", "supplier", sql="""
 SELECT sample, gear, tow, maybe_station FROM gappy_tows
-WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey < 12 AND s_suppkey IS NOT DISTINCT FROM maybe_station)
+WHERE NOT EXISTS (SELECT 1 FROM supplier
+                  WHERE CASE WHEN s_nationkey % 2 = 0 THEN s_suppkey ELSE -1 - s_suppkey END IS NOT DISTINCT FROM maybe_station)
 """)
 def anti_join_null_safe(tows, supplier):
-    kept = spread_join(
-        tows, supplier.filter("s_nationkey < 12"), [("maybe_station", "s_suppkey")], "left_anti", hot_rows=500
-    )
+    listed = supplier.selectExpr("CASE WHEN s_nationkey % 2 = 0 THEN s_suppkey ELSE -1 - s_suppkey END AS listed")
+    kept = spread_join(tows, listed, [("maybe_station", "listed")], "left_anti")
     return kept.select("sample", "gear", "tow", "maybe_station")
 
 
@@ -80,18 +79,19 @@ def semi_lookup(lineitem, part):
 
 
 @query("gappy_tows", sql="""
-WITH a AS (SELECT maybe_flag, station, count(*) AS n_first FROM gappy_tows WHERE tow = 1 GROUP BY ALL),
-     b AS (SELECT maybe_flag, station, count(*) AS n_seventh FROM gappy_tows WHERE tow = 7 AND depth > 40 GROUP BY ALL)
-SELECT coalesce(a.maybe_flag, b.maybe_flag) AS maybe_flag, coalesce(a.station, b.station) AS station, n_first, n_seventh
+WITH a AS (SELECT maybe_flag, station, count(*) AS n_odd FROM gappy_tows WHERE tow % 2 = 1 GROUP BY ALL),
+     b AS (SELECT maybe_flag, CASE WHEN gear % 7 = 0 THEN -1 - station ELSE station END AS station, count(*) AS n_even
+           FROM gappy_tows WHERE tow % 2 = 0 GROUP BY ALL)
+SELECT coalesce(a.maybe_flag, b.maybe_flag) AS maybe_flag, coalesce(a.station, b.station) AS station, n_odd, n_even
 FROM a FULL JOIN b ON a.maybe_flag IS NOT DISTINCT FROM b.maybe_flag AND a.station = b.station
 """)
 def natural_full_join(tows):
     def counted(rows, name):
         return rows.groupBy("maybe_flag", "station").agg(F.count(F.lit(1)).alias(name))
 
-    first = counted(tows.filter("tow = 1"), "n_first")
-    seventh = counted(tows.filter("tow = 7 AND depth > 40"), "n_seventh")
-    return joins.natural_join(first, seventh, "full", hot_rows=20)
+    odd = counted(tows.filter("tow % 2 = 1"), "n_odd")
+    shifted = tows.withColumn("station", F.expr("CASE WHEN gear % 7 = 0 THEN -1 - station ELSE station END"))
+    return joins.natural_join(odd, counted(shifted.filter("tow % 2 = 0"), "n_even"), "full")
 
 
 @query("supplier", "nation", sql="""

@@ -1,9 +1,11 @@
 """Group values and joins that survive a key holding a large share of all rows.
 
 Both operators find the keys with more than ``hot_rows`` rows by a partial
-aggregation. There are at most ``rows / hot_rows`` such keys, so that list is
-small enough to broadcast however large the table is. The rows of a hot key are
-then spread over several join partitions instead of landing in one.
+aggregation. The ``HOT_KEYS`` largest of them are broadcast, a list of bounded
+size however large the table is, and their rows are spread over several join
+partitions instead of landing in one. Any key beyond these has less than
+``1 / HOT_KEYS`` of all rows and joins like the others, so the bound changes the
+way of some rows, never the result.
 
 The spreading number comes from the partition a row is read in, and optionally
 from further columns. Both are the same when a lost task runs again.
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 _SALT = "_spread"
 _COPIES = "_copies"
@@ -45,6 +48,11 @@ def null_safe_join(
     return left.join(right, condition, how).drop(*renamed.values())
 
 
+def largest(counts: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """The keys of more than ``hot_rows`` rows, ``HOT_KEYS`` of the largest at most; ties go by key, so every use sees the same list."""
+    return counts.filter(F.col(_ROWS) > hot_rows).orderBy(F.desc(_ROWS), *[F.col(k) for k in keys]).limit(HOT_KEYS)
+
+
 def _spread_number(copies: Column, spread_by: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in spread_by]), copies)
 
@@ -70,13 +78,8 @@ def spread_join(
     pairs = on_pairs(on)
     names = [l for l, _ in pairs]
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    hot = (
-        (left if counted is None else counted)
-        .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias(_ROWS))
-        .filter(F.col(_ROWS) > hot_rows)
-        .select(*names, F.ceil(F.col(_ROWS) / hot_rows).alias(_COPIES))
-    )
+    counts = (left if counted is None else counted).groupBy(*names).agg(F.count(F.lit(1)).alias(_ROWS))
+    hot = largest(counts, names, hot_rows).select(*names, F.ceil(F.col(_ROWS) / hot_rows).alias(_COPIES))
     spread = null_safe_join(left, F.broadcast(hot), names).withColumn(
         _SALT,
         F.when(F.col(_COPIES).isNull(), 0).otherwise(_spread_number(F.col(_COPIES), spread_by)),
@@ -111,14 +114,14 @@ def attach_group(
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(_ROWS), *[v.alias(f"_of_{n}") for n, v in values.items()]
     )
-    hot = stats.filter(F.col(_ROWS) > hot_rows).withColumnsRenamed({f"_of_{n}": f"_hot_{n}" for n in names})
+    hot = largest(stats, keys, hot_rows).withColumnsRenamed({f"_of_{n}": f"_hot_{n}" for n in names})
     is_hot = F.col("_hot_rows").isNotNull()
     share = 1 + _spread_number(F.ceil(F.col("_hot_rows") / hot_rows), ())
     marked = null_safe_join(df, F.broadcast(hot.withColumnRenamed(_ROWS, "_hot_rows")), keys)
     marked = marked.withColumn(_SALT, F.when(is_hot, share).otherwise(0))
     # the rows of hot keys have no partner here: their numbers start at 1
-    partner = F.when(F.col(_ROWS) > hot_rows, -1).otherwise(0).cast("bigint")
-    joined = null_safe_join(marked, stats.withColumn(_SALT, partner).drop(_ROWS), keys, plain=[_SALT])
+    others = stats.withColumn(_SALT, F.lit(0).cast("bigint")).drop(_ROWS)
+    joined = null_safe_join(marked, others, keys, plain=[_SALT])
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in names],
         *[F.when(is_hot, F.col(f"_hot_{n}")).otherwise(F.col(f"_of_{n}")).alias(n) for n in names],
