@@ -6,6 +6,7 @@ from catalog.core import query
 from tidemerge.operators import audit, quality
 from tidemerge.plans import publish
 
+#: Years with a column of their own; visits of all others count in the last column.
 YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 
 
@@ -64,7 +65,8 @@ def sampling_effort(visits):
 
 @query("visits", sql="SELECT concat(status, ' - ', priority) AS \"Station\", " + ", ".join(
     f"nullif(count(DISTINCT time) FILTER (year(time) = {y}), 0) AS \"{y}\"" for y in YEARS
-) + " FROM visits GROUP BY status, priority")
+) + f", nullif(count(DISTINCT time) FILTER (year(time) NOT IN ({', '.join(map(str, YEARS))})), 0) AS \"Other\""
+  " FROM visits GROUP BY status, priority")
 def effort_matrix(visits):
     return audit.effort_matrix(visits, ["status", "priority"], "time", YEARS)
 

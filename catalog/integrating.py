@@ -6,6 +6,7 @@ from catalog.core import VIEWS, query
 from tidemerge.plans.integrate import integrate
 from tidemerge.plans.publish import published
 from tidemerge.operators import quality
+from tidemerge.sources.vocabulary import CANONICAL, PUBLISHED
 
 VIEWS["trawl"] = """
 SELECT 'Trawl' AS Source, CAST(o_custkey AS STRING) AS Station, CAST(o_orderdate AS DATE) AS Date,
@@ -105,14 +106,33 @@ def integrate_summary(profile, trawl, lab):
     )
 
 
-@query("trawl", sql="""
-SELECT concat('Trawl ', "Station") AS "Station", strftime("Date", '%Y-%m-%d') AS "Date",
-       strftime("Datetime", '%Y-%m-%d %H:%M:%S') AS "Datetime", replace("Notes", '"', '''') AS "Notes", "Tide"
-FROM trawl
+SQL_TYPES = {
+    "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "int": "INTEGER", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+PUBLISHED_SQL = {
+    "Station": """concat(coalesce("Source", 'NA'), ' ', coalesce("Station", 'NA'))""",
+    "Date": """strftime("Date", '%Y-%m-%d')""",
+    "Datetime": """strftime("Datetime", '%Y-%m-%d %H:%M:%S')""",
+    "Notes": """replace("Notes", '"', '''')""",
+    "Field_coords": 'coalesce("Field_coords", FALSE)',
+    "Salinity": 'round(coalesce("Salinity", made), 6)',
+    "Salinity_bottom": "round(made_bottom, 6)",
+    **{c: f'"{c}"' for c in (
+        "Source", "Depth", "Conductivity", "Conductivity_bottom", "Temperature", "Tide", "Chlorophyll", "Chlorophyll_Sign",
+    )},
+}
+
+
+def published_sql(name: str) -> str:
+    return PUBLISHED_SQL.get(name, f"CAST(NULL AS {SQL_TYPES[CANONICAL[name].simpleString()]})") + f' AS "{name}"'
+
+
+@query("profile", "trawl", "lab", sql=f"""
+SELECT {', '.join(map(published_sql, PUBLISHED))} FROM {MADE} WHERE year("Date") BETWEEN 0 AND 2100
 """)
-def published_table(trawl):
-    whole = integrate({"Trawl": trawl}, ["Trawl"], end_year=2100, known=KNOWN)
-    return published(whole).select("Station", "Date", "Datetime", "Notes", "Tide")
+def published_table(profile, trawl, lab):
+    """All published columns of the integrated table."""
+    return published(integrate_surveys(profile, trawl, lab))
 
 
 @query("profile", "trawl", "lab", sql="""

@@ -72,10 +72,11 @@ def sampling_effort(df: DataFrame, station: Sequence[str], time: str) -> DataFra
 
 
 def effort_matrix(df: DataFrame, station: Sequence[str], time: str, years: Sequence[int], sep: str = " - ") -> DataFrame:
-    """Sampling effort with one row per station and one column per listed year."""
+    """Sampling effort with one row per station, one column per listed year and one, ``Other``, for all else."""
     effort = sampling_effort(df, station, time)
     return effort.groupBy(paste(*[F.col(c) for c in station], sep=sep).alias("Station")).agg(
-        *[F.sum(F.when(F.col("Year") == y, F.col("NumSamples"))).alias(str(y)) for y in years]
+        *[F.sum(F.when(F.col("Year") == y, F.col("NumSamples"))).alias(str(y)) for y in years],
+        F.sum(F.when(~F.coalesce(F.col("Year").isin(*years), F.lit(False)), F.col("NumSamples"))).alias("Other"),
     )
 
 
