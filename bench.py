@@ -24,7 +24,7 @@ HEADLINE = (
     "keep_extreme_ties", "first_tow_two_stage", "split_repair_union", "resolve_replicates", "replicate_dedup",
     "collapse_visits_mode", "group_size", "strict_group_mean", "depth_bin_daily", "pivot_value_sign",
     "unpivot_drop_null", "skewed_fact_join", "left_lookup_null_safe", "field_equivalence", "effort_matrix",
-    "null_profile", "survey_fmwt", "survey_usgs_sfbs", "survey_ncro",
+    "null_profile", "survey_fmwt", "survey_usgs_sfbs", "survey_ncro", "survey_ybfmp", "survey_baystudy", "survey_20mm",
 )
 
 
@@ -37,7 +37,7 @@ def run(spark, folder: str, name: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, **{"spark.driver.memory": "8g"})
     seconds = {}
     for name in HEADLINE:
