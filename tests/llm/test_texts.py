@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tidemerge.llm import components, html_crf, mixing, packing, pii, quality, secret_scan, simhash
+from tidemerge.llm.common import apart_from
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, component_id string, spans int"
 
@@ -134,6 +135,18 @@ def test_tagger_adds_and_base_stays(tagger):
     assert pii.masked(text, base).endswith("[EMAIL], [IP]")
 
 
+def test_addresses_may_lead_with_many_zeros():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"{zeros}1.2.3.{zeros}255 and 1.2.3.{zeros}256") == [(0, 10009, "ip")]
+
+
+def test_added_spans_meet_no_base_span():
+    draw = np.random.default_rng(8)
+    for _ in range(500):
+        base, added = (sorted((int(a), int(a + n), "x") for a, n in zip(draw.integers(0, 60, k), draw.integers(1, 12, k))) for k in draw.integers(0, 7, 2))
+        assert apart_from(added, base) == [s for s in added if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
+
+
 def test_reconcile_takes_the_best_disjoint_spans():
     found = [(1.0, (0, 5, "ip")), (3.0, (4, 9, "card")), (1.5, (9, 12, "ip")), (2.5, (0, 5, "ip")), (0.4, (4, 9, "card")), (-1.0, (20, 22, "ip"))]
     assert pii.reconcile(found) == [(4, 9, "card"), (9, 12, "ip")]

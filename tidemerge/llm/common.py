@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,3 +60,10 @@ def map_rows(df: DataFrame, schema: str, function: Callable[..., list[tuple]], *
 def held_out(column: str = "doc_id") -> F.Column:
     """crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def apart_from(added: list[tuple], base: list[tuple]) -> list[tuple]:
+    """The spans (start, end, kind) of ``added`` that meet no span of ``base``, which is in order of start."""
+    starts = [b[0] for b in base]
+    reach = list(accumulate((b[1] for b in base), max, initial=-1))  # of the spans before each
+    return [s for s in added if reach[bisect_left(starts, s[1])] <= s[0]]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.llm.common import batches_of, map_rows
+from tidemerge.llm.common import apart_from, batches_of, map_rows
 
 KINDS = ("email", "ip", "card", "phone")
 #: Base patterns; possessive, as no shorter run could match where the longest one does not.
@@ -63,11 +63,17 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def is_byte(digits: str) -> bool:
+    """At most 255; of however many digits, as zeros may lead."""
+    digits = digits.lstrip("0")
+    return len(digits) < 4 and int(digits or "0") < 256
+
+
 def base_spans(text: str) -> list[Span]:
     """What the patterns find, by start, then kind. Leftmost and disjoint within a kind; matches that fail their check go."""
     spans = [(a, b, "email") for a, b in emails(text)]
     if re.search("[0-9]", text):
-        spans += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m.groups())]
+        spans += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(map(is_byte, m.groups()))]
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 14 and 14 <= len(digits := digits_of(m[0])) <= 19 and luhn(digits):
                 spans.append((m.start(), m.end(), "card"))
@@ -300,7 +306,7 @@ def sound(kind: str, piece: str) -> bool:
     if kind == "email":
         return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|@) ?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", piece))
     if kind == "ip":
-        return bool(m := IP.fullmatch(piece)) and all(len(p) < 4 and int(p) < 256 for p in m.groups())
+        return bool(m := IP.fullmatch(piece)) and all(len(p) < 4 and is_byte(p) for p in m.groups())
     if kind == "card":
         return bool(CARD.fullmatch(piece)) and 13 <= len(digits) <= 19 and luhn(digits)
     return bool(re.fullmatch(r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])(?:[0-9]{2,4}[ .-]){1,3}[0-9]{2,4}", piece)) and 10 <= len(digits) <= 15
@@ -352,7 +358,7 @@ def all_spans(texts: list[str], model: Tagger) -> list[tuple[list[Span], list[Sp
     out = []
     for text, added in zip(texts, tagged(texts, model), strict=True):
         base = base_spans(text)
-        out.append((base, ordered(base + [s for s in added if not any(s[0] < b[1] and b[0] < s[1] for b in base)])))
+        out.append((base, ordered(base + apart_from(added, base))))
     return out
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.llm.common import batches_of, map_rows
+from tidemerge.llm.common import apart_from, batches_of, map_rows
 
 KINDS = ("assign", "access", "hex", "random")
 BASE = KINDS[:3]
@@ -140,7 +140,7 @@ def all_spans(text: str, models: Models) -> tuple[list[Span], list[Span]]:
     """(base spans, base and added spans); an added span meets no base span."""
     base = base_spans(text)
     added = [(m.start(), m.end(), "random") for m in TOKEN.finditer(text) if models.secret(m[0])]
-    return base, ordered(base + [s for s in added if not any(s[0] < b[1] and b[0] < s[1] for b in base)])
+    return base, ordered(base + apart_from(added, base))
 
 
 def secrets(documents: DataFrame, models: Models | None = None) -> DataFrame:
