@@ -162,7 +162,8 @@ def test_span_operators_take_odd_rows(spark, tagger, kinds):
     assert len(rows) == len(ODD) + 1
     for r in rows:
         text = dict(ODD + [(8, hidden)])[r["doc_id"]] or ""
-        base = ",".join(f"{k}:{a}:{b}" for a, b, k in plain(text))
+        # the plain email pattern takes minutes for 300,000 letters without an @, which hold no span of any kind
+        base = "" if set(text) == {"x"} else ",".join(f"{k}:{a}:{b}" for a, b, k in plain(text))
         assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
         if r["doc_id"] != 8:
             assert r["spans"] == base
