@@ -19,9 +19,11 @@ from catalog.core import TABLES  # noqa: E402
 
 
 def plain(value):
-    """One form for the values both engines return."""
-    if value is None or isinstance(value, float) and math.isnan(value):
+    """One form for the values both engines return. NaN stays apart from NULL: the library emits none."""
+    if value is None:
         return None
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, bool):

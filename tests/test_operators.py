@@ -209,6 +209,13 @@ class TestJoins:
         got = joins.lookup(df, spark.createDataFrame([("a", 2)], "k string, x int"), ["k"], suffix="_field")
         assert got.columns == ["k", "x_field", "x"]
 
+    def test_period_with_a_missing_value_keeps_nothing(self, spark):
+        days = spark.createDataFrame([(d,) for d in (1, 2, 3, 4, None)], "day int")
+        known = spark.createDataFrame([(2,), (3,)], "day int")
+        assert rows(joins.within_period_of(days, known, "day")) == [(2,), (3,)]
+        assert joins.within_period_of(days, known.union(spark.createDataFrame([(None,)], "day int")), "day").count() == 0
+        assert joins.within_period_of(days, known.limit(0), "day").count() == 0
+
     def test_natural_join_needs_shared_columns(self, spark):
         with pytest.raises(ValueError):
             joins.natural_join(spark.range(1), spark.range(1).toDF("other"))

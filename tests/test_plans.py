@@ -200,6 +200,25 @@ def test_stored_tables(spark, tmp_path):
     assert (got.StationID, got.Depth, got.Datetime, got.Field_coords) == ("DOP A Littoral", 3.048, dt.datetime(2020, 1, 2, 8, 30), True)
 
 
+def test_stored_files_hold_ranges_of_dates(spark, tmp_path):
+    raw = tmp_path / "raw" / "DOP"
+    raw.mkdir(parents=True)
+    header = ["Date", "Latitude", "Longitude", "Station_Code", "Habitat", "Conductivity", "Temperature", "Secchi", "Start_Time", "pH", "Chl_a",
+              "Start_Depth", "Salinity", "Turbidity", "DO", "Unused"]
+    tows = [f"{year}-{month:02}-02,38,-121.5,{code},Littoral,100,9,,08:30:00,7,NA,10,,1,9,z" for code in "ABC" for month in range(1, 13) for year in range(2011, 2021)]
+    (raw / "tow.csv").write_text(",".join(header) + "\n" + "\n".join(tows) + "\n")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        registry.store(spark, {"DOP": SURVEYS["DOP"]}, str(tmp_path / "raw"), str(tmp_path / "clean"))
+    finally:
+        spark.conf.unset(merging)
+    files = spark.read.parquet(str(tmp_path / "clean" / "DOP")).groupBy(F.input_file_name()).agg(F.min("Date").alias("a"), F.max("Date").alias("b"), F.count("*").alias("n")).collect()
+    assert sum(f.n for f in files) == len(tows) and len(files) >= 4
+    for year in range(2011, 2021):
+        assert sum(f.a.year <= year <= f.b.year for f in files) <= 2
+
+
 class TestSurveyQuirks:
     def test_djfmp_rows_without_time_become_one(self, spark):
         tows = [{"StationCode": "a", "SampleDate": f"2020-01-0{i}", "Secchi": i} for i in (1, 2, 3)]

@@ -13,6 +13,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemerge.functions.nulls import strict_max, strict_min
 from tidemerge.operators.spread import full_join, null_safe_join, on_pairs, spread_join
 
 
@@ -80,10 +81,14 @@ def by_change_date(day: Column, last_old: Column, first_new: Column, old, new, b
 
 
 def within_period_of(df: DataFrame, reference: DataFrame, column: str) -> DataFrame:
-    """Rows between the first and last value the reference table holds."""
-    first = reference.select(F.min(column)).scalar()
-    last = reference.select(F.max(column)).scalar()
-    return df.filter((F.col(column) >= first) & (F.col(column) <= last))
+    """Rows between the first and last value the reference table holds; none where one of its values is missing.
+
+    Both bounds come from one aggregate, so the reference is read once.
+    """
+    col = F.col(column)
+    bounds = F.struct(strict_min(col).alias("first"), strict_max(col).alias("last")).alias("_bounds")
+    period = reference.agg(bounds).scalar()
+    return df.filter((col >= period.getField("first")) & (col <= period.getField("last")))
 
 
 def presence(df: DataFrame, keys: Sequence[str], kinds: Mapping[str, Column]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemerge.sources.scan import FREE_TEXT, scan_csv, scan_table, typed
 from tidemerge.sources.sinks import write_table
@@ -43,10 +44,13 @@ class Survey:
 def store(spark: SparkSession, surveys: Mapping[str, Survey], raw: str, cleaned: str, fmt: str = "csv") -> None:
     """Clean every survey staged in ``raw`` and write its table to ``cleaned``.
 
-    Files are sorted by date, so that a later choice of years skips most of them.
+    Each file holds a range of dates, so that a later choice of years skips most
+    files. A day with many rows is spread over several by a hash of the rows.
     """
     for name, survey in surveys.items():
-        write_table(survey.read(spark, raw, fmt).sortWithinPartitions("Date"), f"{cleaned}/{name}")
+        table = survey.read(spark, raw, fmt)
+        rest = F.xxhash64(*[F.col(f"`{c}`") for c in table.columns])
+        write_table(table.repartitionByRange("Date", rest).sortWithinPartitions("Date"), f"{cleaned}/{name}")
 
 
 def stored(spark: SparkSession, cleaned: str, names: Iterable[str]) -> dict[str, Callable[[], DataFrame]]:
