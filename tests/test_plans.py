@@ -219,6 +219,114 @@ def test_stored_files_hold_ranges_of_dates(spark, tmp_path):
         assert sum(f.a.year <= year <= f.b.year for f in files) <= 2
 
 
+# Raw headers that differ from the library's names.
+RESULTS = ["Sample Type", "Analyte", "Long Station Name", "Station Number", "Sample Code", "Collection Date", "Result", "Rpt Limit", "Units", "Notes"]
+PUBLISHED_FILE = ["Date", "Time", "Station_Number", "Depth", "Calculated_Chlorophyll", "Oxygen", "Salinity", "Temperature", "Nitrate_+_Nitrite", "Ammonium",
+                  "Phosphate", "Silicate"]
+RAW_HEADERS = {
+    ("USBR", "profiles"): ["Station", "DateTime.PT", "Depth.feet", "Temp.C", "SpCond.uS", "Chl.ug.L", "Date"],
+    ("USBR", "sites"): ["Station", "Lat", "Long", "Depth (m)"],
+    ("USGS_SFBS", "early"): ["Date", "Time", "Station", "Depth", "Discrete DO", "Calculated Chl-a", "Salinity", "Temperature", "NO32", "NH4", "PO4", "Si"],
+    ("USGS_SFBS", "published"): PUBLISHED_FILE,
+    ("USGS_SFBS", "web"): [
+        "Date", "Time", "Station", "Depth (m)", "Calculated Chlorophyll-a (micrograms/L)", "Oxygen (mg/L)", "Oxygen % Saturation", "Salinity",
+        "Temperature (Degrees Celsius)", "NO32 (Micromolar)", "NH4 (Micromolar)", "PO4 (Micromolar)", "Si (Micromolar)"],
+    ("USGS_SFBS", "stations"): ["Station", "Latitude degree", "Longitude degree"],
+    ("NCRO", "requested"): RESULTS,
+    ("NCRO", "recent"): RESULTS,
+    ("NCRO", "questionable"): ["SampleCode", "Analyte", "Measurement Verified (Yes, No, or Unknown)", "Verified Result"],
+    ("SDO", "by_depth"): [
+        "Description", "Date", "Time (PST)", "Depth (m)", "MC Score", "Secchi (cm)", "Water Temp (°C)", "Sp Cond (µS/cm)", "DO (mg/L)", "pH"],
+    ("USGS_CAWSC", "results"): [
+        "MonitoringLocationIdentifier", "ActivityStartDate", "ActivityStartDateTime", "CharacteristicName", "ResultMeasureValue",
+        "ResultDetectionConditionText", "ResultValueTypeName", "DetectionQuantitationLimitMeasure.MeasureValue", "ResultAnalyticalMethod.MethodIdentifier"],
+}
+
+
+class TestRawFiles:
+    def stage(self, folder, name, **rows_of):
+        """Every feed of a survey as a file with raw headers and a column nobody asks for."""
+        base = folder / name
+        base.mkdir()
+        for feed_name, columns in SURVEYS[name].feeds.items():
+            header = RAW_HEADERS.get((name, feed_name), list(columns))
+            lines = [",".join(f'"{c}"' for c in [*header, "Unused"])]
+            lines += [",".join(f'"{row[c]}"' if c in row else "" for c in header) + ",x" for row in rows_of.get(feed_name, ())]
+            (base / f"{feed_name}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+        return str(folder)
+
+    @pytest.mark.parametrize("name", SURVEYS)
+    def test_all_headers_are_known(self, spark, tmp_path, name):
+        got = SURVEYS[name].read(spark, self.stage(tmp_path, name))
+        assert got.columns == clean(spark, name).columns and got.count() == 0
+
+    def test_usbr(self, spark, tmp_path):
+        deep = [{"Station": "Pro", "DateTime.PT": "2020-07-01 09:00:00", "Depth.feet": d, "Temp.C": t, "SpCond.uS": 5, "Chl.ug.L": 1, "Date": "2020-07-01"}
+                for d, t in ((1, 20), (9, 18))]
+        raw = self.stage(tmp_path, "USBR", profiles=deep, sites=[{"Station": "NL PS", "Lat": 38, "Long": -121, "Depth (m)": 7}])
+        got = SURVEYS["USBR"].read(spark, raw).first()
+        assert (got.Station, got.Latitude, got.Longitude, got.Depth, got.Temperature, got.Temperature_bottom, got.Conductivity, got.Chlorophyll) == (
+            "Pro", 38.0, -121.0, 7.0, 20.0, 18.0, 5.0, 1.0)
+
+    def test_sfbs_vintages(self, spark, tmp_path):
+        early = [{"Date": "7/3/98", "Time": "8:00", "Station": "3", "Depth": 1, "Discrete DO": 7, "Calculated Chl-a": 2, "Si": 10}]
+        web = [{"Date": "7/3/2021", "Time": "8:00", "Station": "3", "Depth (m)": 1, "Oxygen (mg/L)": 8, "Oxygen % Saturation": 90, "Temperature (Degrees Celsius)": 15}]
+        raw = self.stage(tmp_path, "USGS_SFBS", early=early, web=web, stations=[{"Station": "3", "Latitude degree": 37.5, "Longitude degree": -122}])
+        # the published vintage is a folder of yearly files under two headers
+        (tmp_path / "USGS_SFBS" / "published.csv").unlink()
+        yearly = tmp_path / "USGS_SFBS" / "published.csv"
+        yearly.mkdir()
+        for year, oxygen in ((2016, "Oxygen"), (2017, "Calculated_Oxygen"), (2018, "Oxygen")):
+            header = [oxygen if c == "Oxygen" else c for c in PUBLISHED_FILE]
+            (yearly / f"{year} bay.csv").write_text(",".join(header) + f"\n1/2/{year},930,3,1,4,{year - 2010},30,9,,,,\n")
+        got = SURVEYS["USGS_SFBS"].read(spark, raw)
+        assert rows(got, "Date", "Datetime", "Latitude", "DissolvedOxygen", "DissolvedOxygenPercent", "Chlorophyll", "Temperature") == [
+            (dt.date(1998, 7, 3), dt.datetime(1998, 7, 3, 8), 37.5, 7.0, None, 2.0, None),
+            *[(dt.date(y, 1, 2), dt.datetime(y, 1, 2, 9, 30), 37.5, y - 2010.0, None, 4.0, 9.0) for y in (2016, 2017, 2018)],
+            (dt.date(2021, 7, 3), dt.datetime(2021, 7, 3, 8), 37.5, 8.0, 90.0, None, 15.0),
+        ]
+
+    def test_ncro(self, spark, tmp_path):
+        base = {"Sample Type": "Normal Sample", "Long Station Name": "Rock Slough", "Station Number": "B1", "Collection Date": "7/1/2018 9:00", "Rpt Limit": "0.1"}
+        raw = self.stage(
+            tmp_path, "NCRO", requested=[{**base, "Analyte": "Field pH", "Sample Code": "s1", "Result": "7.1"}],
+            recent=[{**base, "Analyte": "Dissolved Calcium", "Sample Code": "s2", "Result": "<5", "Units": "mg/L"}],
+            stations=[{"StationNumber": "B1", "StationName": "Rock Slough", "Latitude": 38, "Longitude": -121}],
+            questionable=[{"SampleCode": "s1", "Analyte": "pH", "Measurement Verified (Yes, No, or Unknown)": "No", "Verified Result": 7.5}])
+        got = SURVEYS["NCRO"].read(spark, raw)
+        assert rows(got, "Station", "pH", "DissCalcium_Sign", "Latitude") == [("Rock Slough", 7.5, "<", 38.0)]
+
+    def test_sdo_by_depth(self, spark, tmp_path):
+        deep = [{"Description": "P8", "Date": "2021-07-01", "Time (PST)": "1899-12-31 09:00:00", "Depth (m)": d, "MC Score": 2, "Secchi (cm)": 50,
+                 "Water Temp (°C)": 20 + d, "Sp Cond (µS/cm)": 300, "DO (mg/L)": 8, "pH": 7} for d in (1, 3, 6)]
+        got = SURVEYS["SDO"].read(spark, self.stage(tmp_path, "SDO", by_depth=deep))
+        assert rows(got, "Station", "Microcystis", "Secchi", "Temperature", "Temperature_bottom", "Conductivity", "DissolvedOxygen") == [
+            ("lt40", 2.0, 50.0, 21.0, 26.0, 300.0, 8.0)]
+
+    def test_cawsc_limits_and_methods(self, spark, tmp_path):
+        base = {"MonitoringLocationIdentifier": "USGS-1", "ActivityStartDate": "2020-07-01", "ActivityStartDateTime": "2020-07-01 17:00:00",
+                "ResultDetectionConditionText": "Not Detected"}
+        results = [{**base, "CharacteristicName": "Chlorophyll a", "DetectionQuantitationLimitMeasure.MeasureValue": 0.3},
+                   {**base, "CharacteristicName": "Inorganic nitrogen (nitrate and nitrite)", "ResultAnalyticalMethod.MethodIdentifier": "RED01"}]
+        got = SURVEYS["USGS_CAWSC"].read(spark, self.stage(tmp_path, "USGS_CAWSC", results=results))
+        assert rows(got, "Chlorophyll_Sign", "Chlorophyll", "DissNitrateNitrite") == [("<", 0.3, 0.08)]
+
+    def test_line_breaks_are_the_callers_choice(self, spark, tmp_path):
+        base = {"SampleDate": "2020-01-02", "SampleTime": "08:00:00", "LatitudeStart": 38, "LongitudeStart": -121, "StationCode": "a"}
+        raw = self.stage(tmp_path, "EDSM", KDTR=[{**base, "Comments": "two\nlines"}])
+        got = SURVEYS["EDSM"].read(spark, raw, line_breaks=["KDTR"])
+        assert rows(got, "Date", "Notes") == [(dt.date(2020, 1, 2), "two\nlines")]
+        with pytest.raises(ValueError, match="no feeds"):
+            SURVEYS["EDSM"].read(spark, raw, line_breaks=["tow"])
+
+    def test_one_scan_per_header(self, spark, tmp_path):
+        for i in range(6):
+            (tmp_path / f"{i}.csv").write_text("A,B\n" * (i % 2 == 0) + "B,C\n" * (i % 2) + f"{i},x\n")
+        assert len(scan.scan_by_header(spark, str(tmp_path))) == 2
+        got = scan.scan_ragged_csv(spark, str(tmp_path)).orderBy("_row").collect()
+        assert [r.A if i % 2 == 0 else r.B for i, r in enumerate(got)] == [str(i) for i in range(6)]
+
+
 class TestSurveyQuirks:
     def test_djfmp_rows_without_time_become_one(self, spark):
         tows = [{"StationCode": "a", "SampleDate": f"2020-01-0{i}", "Secchi": i} for i in (1, 2, 3)]

@@ -12,4 +12,7 @@ _MODULES = {
     "USGS_CAWSC": usgs_cawsc, "USGS_SFBS": usgs_sfbs, "YBFMP": ybfmp,
 }
 
-SURVEYS = {name: Survey(name, module.FEEDS, module.clean) for name, module in _MODULES.items()}
+SURVEYS = {
+    name: Survey(name, module.FEEDS, module.clean, getattr(module, "HEADERS", {}), getattr(module, "SHAPES", {}))
+    for name, module in _MODULES.items()
+}

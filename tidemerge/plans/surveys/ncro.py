@@ -13,7 +13,7 @@ from tidemerge.functions.units import metres_to_centimetres, ug_to_mg_per_l
 from tidemerge.operators.dedup import ROW, resolve_replicates
 from tidemerge.operators.joins import by_change_date, drop_listed, literal_table, lookup
 from tidemerge.operators.repair import assign_ids, overlay_corrections
-from tidemerge.operators.reshape import long_to_wide, stack
+from tidemerge.operators.reshape import long_to_wide, stack, strip_spaces
 from tidemerge.sources.registry import Feeds
 
 _RESULTS = {
@@ -41,6 +41,14 @@ FEEDS = {
     },
 }
 
+# Headers of the raw corrections; results are exported with spaces in their headers.
+HEADERS = {
+    "questionable": {
+        "Measurement Verified (Yes, No, or Unknown)": "MeasVerified", "Verified Result": "ResultVerified",
+    },
+}
+SHAPES = {"requested": strip_spaces, "recent": strip_spaces}
+
 # Analytes that are kept, and their shared names.
 ANALYTES = (
     ("Chlorophyll a", "Chlorophyll"),

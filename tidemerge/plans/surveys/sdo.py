@@ -27,6 +27,14 @@ FEEDS = {
     "sites": {"StationID": "string", "Latitude": "double", "Longitude": "double"},
 }
 
+# Headers of the raw file.
+HEADERS = {
+    "by_depth": {
+        "Time (PST)": "Time_PST", "Depth (m)": "Depth_m", "MC Score": "MC_Score", "Secchi (cm)": "Secchi_cm",
+        "Water Temp (°C)": "Temperature", "Sp Cond (µS/cm)": "Conductivity", "DO (mg/L)": "DissolvedOxygen",
+    },
+}
+
 # A time missing a digit, words that are no index, station names, coded depths.
 TIME_TYPOS = {"111": "1111"}
 NOT_AN_INDEX = {"present": None, "absent": None}

@@ -21,6 +21,15 @@ FEEDS = {
     "sites": {"Station": "string", "Latitude": "double", "Longitude": "double", "Depth_m": "double"},
 }
 
+# Headers of the raw files.
+HEADERS = {
+    "profiles": {
+        "DateTime.PT": "Datetime", "Depth.feet": "Depth_feet", "Temp.C": "Temperature",
+        "SpCond.uS": "Conductivity", "Chl.ug.L": "Chlorophyll",
+    },
+    "sites": {"Lat": "Latitude", "Long": "Longitude", "Depth (m)": "Depth_m"},
+}
+
 # The boundary between surface and bottom samples in feet, and a station's other name.
 SURFACE_FEET = 3
 STATION_NAMES = {"PS": "Pro"}

@@ -39,20 +39,44 @@ FEEDS = {
     "web": {**_TIMED, **_MEASURES, "DissolvedOxygenPercent": "double"},
     "stations": {"Station": "string", "Latitude": "double", "Longitude": "double"},
 }
+# Headers of the raw files. Those of the published vintage differ by year, see shape_published_file.
+HEADERS = {
+    "early": {
+        "Discrete DO": "DissolvedOxygen", "Calculated Chl-a": "Chlorophyll", "NO32": "DissNitrateNitrite",
+        "NH4": "DissAmmonia", "PO4": "DissOrthophos", "Si": "DissSilica",
+    },
+    "web": {
+        "Depth (m)": "Depth", "Calculated Chlorophyll-a (micrograms/L)": "Chlorophyll",
+        "Oxygen (mg/L)": "DissolvedOxygen", "Oxygen % Saturation": "DissolvedOxygenPercent",
+        "Temperature (Degrees Celsius)": "Temperature", "NO32 (Micromolar)": "DissNitrateNitrite",
+        "NH4 (Micromolar)": "DissAmmonia", "PO4 (Micromolar)": "DissOrthophos", "Si (Micromolar)": "DissSilica",
+    },
+    "stations": {"Latitude degree": "Latitude", "Longitude degree": "Longitude"},
+}
 DAY = ["Date", "Station"]
 SAMPLE = [*DAY, "Parameter", BIN]
 
 
-def shape_published(files: Sequence[DataFrame]) -> DataFrame:
-    """Yearly files of the published vintage under shared names; times read ``HHmm``."""
+def shape_published_file(file: DataFrame) -> DataFrame:
+    """Files of one header of the published vintage under shared names; times read ``HHmm``."""
+    if "Station_Number" not in file.columns:
+        return file
     names = {
         "Station_Number": "Station", "Calculated_Chlorophyll": "Chlorophyll",
         "Nitrate_+_Nitrite": "DissNitrateNitrite", "Ammonium": "DissAmmonia", "Phosphate": "DissOrthophos",
-        "Silicate": "DissSilica",
+        "Silicate": "DissSilica", pick_header(file, OXYGEN_HEADER): "DissolvedOxygen",
     }
-    shaped = [f.withColumnsRenamed({**names, pick_header(f, OXYGEN_HEADER): "DissolvedOxygen"}) for f in files]
     time = F.concat(F.expr("left(Time, length(Time) - 2)"), F.lit(":"), F.right("Time", F.lit(2)))
-    return stack([f.select(*FEEDS["published"], ROW) for f in shaped]).withColumn("Time", time)
+    shared = {new: old for old, new in names.items()}
+    return file.select(*[F.col(f"`{shared.get(c, c)}`").alias(c) for c in FEEDS["published"]], ROW).withColumn("Time", time)
+
+
+SHAPES = {"published": shape_published_file}
+
+
+def shape_published(files: Sequence[DataFrame]) -> DataFrame:
+    """Yearly files of the published vintage under shared names."""
+    return stack([shape_published_file(f) for f in files])
 
 
 def _station_text(col: Column) -> Column:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Collection, Iterable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemerge.sources.scan import FREE_TEXT, scan_csv, scan_table, typed
+from tidemerge.sources.scan import scan_by_header, scan_table, together, typed
 from tidemerge.sources.sinks import write_table
 
 Feeds = Mapping[str, DataFrame]
@@ -16,39 +16,63 @@ Feeds = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Survey:
-    """A source: its name, the raw feeds with their columns, and the plan that cleans them."""
+    """A source: its name, the raw feeds with their columns, and the plan that cleans them.
+
+    ``headers`` maps, per feed, headers of the raw files to the names of the
+    columns. ``shapes`` holds, per feed, a step that files of one header go
+    through before that. Both leave feeds that already have the library's names.
+    """
 
     name: str
     feeds: Mapping[str, Mapping[str, str]]
     clean: Callable[[Feeds], DataFrame]
+    headers: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    shapes: Mapping[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
 
     def build(self, feeds: Feeds) -> DataFrame:
         """The cleaned table of already opened feeds."""
         missing = [n for n in self.feeds if n not in feeds]
         if missing:
             raise ValueError(f"{self.name} needs the feeds {missing}")
-        return self.clean({n: typed(feeds[n], columns) for n, columns in self.feeds.items()})
+        return self.clean({n: typed(feeds[n], columns, self.headers.get(n)) for n, columns in self.feeds.items()})
 
-    def read(self, spark: SparkSession, folder: str, fmt: str = "csv") -> DataFrame:
-        """The cleaned table of feeds staged as ``folder/<source>/<feed>.<fmt>``."""
+    def read(
+        self, spark: SparkSession, folder: str, fmt: str = "csv", *, line_breaks: Collection[str] = ()
+    ) -> DataFrame:
+        """The cleaned table of feeds staged as ``folder/<source>/<feed>.<fmt>``, each a file or a folder of files.
+
+        Files of a feed may differ in their headers. CSV files are split among
+        tasks by lines; feeds listed in ``line_breaks`` have quoted text over
+        several lines and are read one task per file.
+        """
+        unknown = [n for n in line_breaks if n not in self.feeds]
+        if unknown:
+            raise ValueError(f"{self.name} has no feeds {unknown}")
         opened = {}
-        for feed, columns in self.feeds.items():
+        for feed in self.feeds:
             path = f"{folder}/{self.name}/{feed}.{fmt}"
             if fmt == "csv":
-                opened[feed] = scan_csv(spark, path, line_breaks=any(c in FREE_TEXT for c in columns))
+                scans = scan_by_header(spark, path, line_breaks=feed in line_breaks)
             else:
-                opened[feed] = scan_table(spark, path)
+                scans = [scan_table(spark, path)]
+            shape = self.shapes.get(feed)
+            opened[feed] = together([shape(s) for s in scans] if shape else scans)
         return self.build(opened)
 
 
-def store(spark: SparkSession, surveys: Mapping[str, Survey], raw: str, cleaned: str, fmt: str = "csv") -> None:
+def store(
+    spark: SparkSession, surveys: Mapping[str, Survey], raw: str, cleaned: str, fmt: str = "csv",
+    *, line_breaks: Mapping[str, Collection[str]] | None = None,
+) -> None:
     """Clean every survey staged in ``raw`` and write its table to ``cleaned``.
 
+    ``line_breaks`` names, per survey, the feeds with quoted text over several lines.
+
     Each file holds a range of dates, so that a later choice of years skips most
     files. A day with many rows is spread over several by a hash of the rows.
     """
     for name, survey in surveys.items():
-        table = survey.read(spark, raw, fmt)
+        table = survey.read(spark, raw, fmt, line_breaks=(line_breaks or {}).get(name, ()))
         rest = F.xxhash64(*[F.col(f"`{c}`") for c in table.columns])
         write_table(table.repartitionByRange("Date", rest).sortWithinPartitions("Date"), f"{cleaned}/{name}")
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemerge.functions.nulls import number
 from tidemerge.operators.dedup import ROW
-from tidemerge.operators.reshape import stack
 
 
 def _with_row(df: DataFrame) -> DataFrame:
@@ -24,15 +25,17 @@ def _with_row(df: DataFrame) -> DataFrame:
     )
 
 
-# Columns of free text, in which people break lines.
-FREE_TEXT = ("Notes", "Comments", "FieldNotes", "SampleComments", "FieldComments")
+def typed(df: DataFrame, columns: Mapping[str, str], headers: Mapping[str, str] | None = None) -> DataFrame:
+    """Project the named columns and read them as the given types; unreadable values are NULL.
 
-
-def typed(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Project the named columns and read them as the given types; unreadable values are NULL."""
+    ``headers`` maps headers of raw files to these names; a feed that has such a
+    header is read from it, any other from the name itself.
+    """
     have = dict(df.dtypes)
+    raw = {new: old for old, new in (headers or {}).items() if old in have}
 
     def read(name, as_type):
+        name = raw.get(name, name)
         col = F.col(f"`{name}`")
         if have[name] == as_type:
             return F.nanvl(col, F.lit(None).cast(as_type)) if as_type == "double" else col
@@ -66,9 +69,33 @@ def scan_csv(
     return df if columns is None else typed(df, columns)
 
 
-def scan_ragged_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Read CSV files whose headers differ, as text, and union them by name."""
-    return stack([scan_csv(spark, p) for p in paths])
+def scan_by_header(spark: SparkSession, paths: str | Sequence[str], *, line_breaks: bool = False) -> list[DataFrame]:
+    """One scan per distinct header of the CSV files at ``paths`` (files, folders or patterns).
+
+    A single file needs no look at its header. Otherwise one pass over the text
+    brings the first line of each file together, and the driver receives each
+    distinct header with its file names. A header is one line.
+    """
+    text = spark.read.text(paths)
+    if len(text.inputFiles()) < 2:
+        return [scan_csv(spark, paths, line_breaks=line_breaks)]
+    lines = text.select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    first = F.min_by("value", "line").alias("header")
+    heads = lines.filter("file_block_start = 0").groupBy(F.col("file_path").alias("file")).agg(first)
+    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    # the scan names files as URIs, the reader takes plain paths
+    found = sorted([unquote(f) for f in g.files] for g in groups)
+    return [scan_csv(spark, files, line_breaks=line_breaks) for files in found]
+
+
+def together(scans: Sequence[DataFrame]) -> DataFrame:
+    """Union of scans by name, missing columns NULL; scan positions name their file, so rows keep the order of paths."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def scan_ragged_csv(spark: SparkSession, paths: str | Sequence[str], *, line_breaks: bool = False) -> DataFrame:
+    """Read CSV files whose headers differ, as text, and union them by name: one scan per distinct header."""
+    return together(scan_by_header(spark, paths, line_breaks=line_breaks))
 
 
 def scan_json(spark: SparkSession, path: str, renames: Mapping[str, str], schema: str) -> DataFrame:
