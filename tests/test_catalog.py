@@ -27,6 +27,12 @@ def test_agrees_with_sql_and_scales(spark, small, duck, name):
     assert problem is None or problem == "no rows" and name in EMPTY_WHEN_SMALL, problem
 
 
+def test_bypass_feeds_are_read_once(spark, small):
+    """Two feeds and two station tables: a scan each."""
+    plan = QUERIES["survey_ybfmp"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 4
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 

@@ -384,6 +384,21 @@ class TestSurveyQuirks:
                 {"SampleDate": "1/24/2017", "Datetime": "1/24/2017 13:30", "StationCode": "STTD", "WaterTemp": 9, "Secchi": 0.2}]
         assert rows(clean(spark, "YBFMP", fish=fish), "Date", "Temperature", "Microcystis") == [(dt.date(2017, 1, 23), None, 1.0), (dt.date(2017, 1, 24), 9.0, None)]
 
+    def test_ybfmp_repeated_visits_and_days(self, spark):
+        def record(station, time, temp, secchi, **more):
+            return {"SampleDate": "1/24/2017", "Datetime": time and f"1/24/2017 {time}", "StationCode": station, "WaterTemp": temp, "Secchi": secchi, **more}
+
+        fish = [
+            record("alone", "8:00", 9, None),  # a single visit needs no Secchi depth
+            record("noted", "8:00", 9, None, FieldComments="x"), record("noted", "8:00", 9, None, FieldComments="y"),  # both leave
+            record("both", "8:00", 9, None), record("both", "8:00", 7, 0.2),  # the one with a depth stays
+            record("day", "9:00", 9, 0.2), record("day", "8:00", 9, 0.2), record("day", "10:00", 9, 0.2, Tide="High"),  # the earliest of a day
+            record("untimed", None, 9, 0.2), record("untimed", "8:00", 9, 0.2, Tide="Low"),  # no earliest is known
+        ]
+        got = clean(spark, "YBFMP", fish=fish)
+        assert rows(got, "Station", "Datetime", "Temperature", "Secchi") == [
+            ("alone", dt.datetime(2017, 1, 24, 8), 9.0, None), ("both", dt.datetime(2017, 1, 24, 8), 7.0, 20.0), ("day", dt.datetime(2017, 1, 24, 8), 9.0, 20.0)]
+
     def test_ybfmp_feeds_that_differ_are_averaged(self, spark):
         zoop = [{"Date": "2017-01-24", "Datetime": "2017-01-24 08:00:00", "StationCode": "a", "WaterTemperature": 9, "Secchi": 0.25}]
         fish = [{"SampleDate": "1/24/2017", "Datetime": "1/24/2017 8:00", "StationCode": "a", "WaterTemp": 10, "Secchi": 0.2, "MicrocystisRank": 2}]

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemerge.functions.clock import add_local_stamp, parse, parse_date
-from tidemerge.functions.nulls import drop_all_null, if_else
+from tidemerge.functions.nulls import drop_all_null, if_else, strict_min
 from tidemerge.functions.text import recode
 from tidemerge.functions.units import metres_to_centimetres, specific_conductance
-from tidemerge.operators.dedup import ROW, group_size, keep_extreme, keep_first
+from tidemerge.operators.dedup import ROW
 from tidemerge.operators.joins import lookup
 from tidemerge.operators.reshape import stack
 from tidemerge.sources.registry import Feeds
@@ -70,12 +70,31 @@ def _is_visit(station: str, time: str) -> Column:
     return (F.col("Station") == station) & (F.col("Datetime") == F.lit(time).cast("timestamp_ntz"))
 
 
-def _fish(fish: DataFrame, hot_rows: int) -> DataFrame:
-    """Repair repeated visits; of records with the same measures on one day keep the earliest."""
-    sized = group_size(fish, VISIT, "_size", hot_rows=hot_rows)
-    # single visits are untouched: a visit is part of the key
-    repaired = keep_first(sized, BUT_NOTES).filter("_size = 1 OR Secchi IS NOT NULL").drop("_size")
-    fish = keep_extreme(repaired, ["Date", "Station", *MEASURES], "Datetime", hot_rows=hot_rows)
+def _fish(fish: DataFrame) -> DataFrame:
+    """Repair repeated visits; of records with the same measures on one day keep the earliest.
+
+    Both steps are aggregations, so the feed is read once and a visit or day
+    with many records is combined before each shuffle.
+    """
+    # records and visits in one aggregation: a single visit stays, of others the records with a Secchi depth
+    whole = F.struct(*[F.col(c).alias(c) for c in fish.columns])
+    grouped = fish.groupingSets([BUT_NOTES, VISIT], *BUT_NOTES).agg(
+        F.grouping("Date").alias("_visit"), F.count(F.lit(1)).alias("_n"), F.min_by(whole, ROW).alias("_first")
+    )
+    known = F.col("_first.Secchi").isNotNull()
+    kept = F.when(F.col("_visit") == 0, known).otherwise((F.col("_n") == 1) & ~known)
+    repaired = grouped.filter(kept).select("_first.*")
+
+    # same measures under one tide word differ by their time; few tide words are left to compare
+    alike = ["Date", "Station", *MEASURES]
+    by_tide = repaired.groupBy(*alike, "Tide").agg(
+        strict_min(F.col("Datetime")).alias("Datetime"),
+        F.min_by(F.struct("Notes", ROW), "Datetime").alias("_kept"),
+    )
+    day = Window.partitionBy(*alike)
+    untimed = F.count_if(F.col("Datetime").isNull()).over(day)
+    ranked = by_tide.withColumns({"_untimed": untimed, "_best": F.min("Datetime").over(day)})
+    fish = ranked.filter((F.col("_untimed") == 0) & (F.col("Datetime") == F.col("_best"))).select(*BUT_NOTES, "_kept.*")
     repeated = _is_visit(*REPEATED_MEASURES)
     nothing = F.lit(None).cast("double")
     fish = fish.withColumns({c: if_else(repeated, nothing, F.col(c)) for c in WATER})
@@ -111,7 +130,7 @@ def _merge_visits(both: DataFrame) -> DataFrame:
     )
 
 
-def clean(feeds: Feeds, hot_rows: int | None = None) -> DataFrame:
+def clean(feeds: Feeds) -> DataFrame:
     zoop = _feed(
         feeds["zoop"], parse_date(F.col("Date"), "yyyy-MM-dd"), parse(F.col("Datetime"), "yyyy-MM-dd H:mm:ss"),
         "WaterTemperature", "SpCnd", "MicrocystisVisualRank",
@@ -120,7 +139,7 @@ def clean(feeds: Feeds, hot_rows: int | None = None) -> DataFrame:
         feeds["fish"], parse_date(F.col("SampleDate"), "M/d/yyyy"), parse(F.col("Datetime"), "M/d/yyyy H:mm"),
         "WaterTemp", "SpecificConductance", "MicrocystisRank",
     )
-    both = _distinct(stack([zoop, _fish(fish, hot_rows)]))
+    both = _distinct(stack([zoop, _fish(fish)]))
     visits = _merge_visits(both)
     stations = feeds["zoop_stations"].drop(ROW).unionByName(feeds["fish_stations"].drop(ROW)).distinct()
     return lookup(visits, stations.withColumnRenamed("StationCode", "Station"), ["Station"]).select(
