@@ -119,6 +119,23 @@ def test_near_duplicates_are_those_of_brute_force(spark, shard):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
 
 
+def test_a_link_missed_in_the_smallest_shared_cluster_counts(monkeypatch):
+    """Two close vectors share clusters 3 and 5; the graph search of 3 finds nothing, as if it missed."""
+    import pandas as pd
+
+    x = np.array([[1.0, 0.0], [1.0, 0.01], [0.0, 1.0]])
+    block = pd.DataFrame({
+        "c": 3, "a": 0, "b": 0, "part": 0, "cls": [10, 11, 12], "n": [1, 2, 1], "shards": [np.array(s) for s in ([3, 5], [3, 5], [3, 7])],
+        "x": [v.tobytes() for v in x], "near": [[], [], []], "medoid": [True, False, False],
+    })
+    nothing = np.empty(0, np.int64)
+    monkeypatch.setattr(vector_graph.Searcher, "within", lambda *_: (nothing, nothing))
+    got = vector_graph._search_block(0.95)(block)
+    counted = got[got.links.notna()]
+    assert dict(zip(counted.cls, counted.links, strict=True)) == {10: 2, 11: 1}
+    assert vector_graph._search_block(0.95)(block.assign(c=5, shards=[np.array([3, 5])] * 3)).links.notna().sum() == 0
+
+
 def test_no_usable_vectors(spark):
     df = spark.createDataFrame(ODD, "vec_id long, embedding array<double>")
     bad = df.where("vec_id IN (9000, 9001, 9002, 9003, 9004, 9005)")

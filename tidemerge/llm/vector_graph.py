@@ -10,9 +10,10 @@ Pairs found are verified in double precision. Brute force on sampled vectors
 audits the recall; below the wanted one, the search runs again with more overlap.
 
 A cluster beyond ``SHARD`` vectors is cut into parts; each part's vectors search
-every part, two parts to a task. A pair that shares several clusters counts in the smallest of them,
-so the number of links needs no list of pairs, and a task returns numbers and a
-spanning forest of what it linked.
+every part, two parts to a task. A pair that shares several clusters counts in
+the smallest of them, where all such pairs are compared, so a link found in any
+counts once. The number of links thus needs no list of pairs, and a task returns
+numbers and a spanning forest of what it linked.
 """
 
 from __future__ import annotations
@@ -203,11 +204,36 @@ def _build_shard(shard: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"c": shard.c.to_numpy(), "part": shard.part.to_numpy(), "cls": cls, "near": [cls[o] for o in lists], "medoid": np.arange(len(cls)) == medoid})
 
 
+def _shared(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest cluster that rows of ``p`` and ``q`` share, and how many they share."""
+    both = (p[..., :, None] == q[..., None, :]).any(axis=-1)
+    return np.where(both, p, 1 << 60).min(axis=-1), both.sum(axis=-1)
+
+
+def _owned(x: np.ndarray, shards: np.ndarray, rows: np.ndarray, asks: np.ndarray, c: int, threshold: float) -> np.ndarray:
+    """Codes of all close pairs (rows, asks) that share several clusters, ``c`` the smallest: other clusters may find them, only this one counts them."""
+    m, single, codes = len(x), x.astype(np.float32), [np.empty(0, np.int64)]
+    for lo in range(0, len(asks), TOGETHER):
+        some = asks[lo : lo + TOGETHER]
+        i, v = np.nonzero(single[some] @ single[rows].T >= threshold - 1e-4)
+        i, v = some[i], rows[v]
+        if rows is asks:
+            i, v = i[i < v], v[i < v]
+        for at in range(0, len(i), 50_000):
+            p, q = i[at : at + 50_000], v[at : at + 50_000]
+            least, many = _shared(shards[p], shards[q])
+            p, q = (z[(least == c) & (many > 1)] for z in (p, q))
+            close = cosine(x[p], x[q]) >= threshold
+            codes.append((np.minimum(p, q) * m + np.maximum(p, q))[close])
+    return np.unique(np.concatenate(codes))
+
+
 def _search_block(threshold: float):
     """Two parts of a cluster, or one with itself: (cls, links, null) with counts, and (u, null, v) of the forest.
 
     Each part's vectors search the other part's graph; a pair is linked if
-    either of its two finds the other.
+    either of its two finds the other. Pairs that this block must count for
+    other clusters too are compared without the graph.
     """
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
@@ -232,14 +258,14 @@ def _search_block(threshold: float):
                 i, v = graph.within(x[asks[lo : lo + TOGETHER]], own[lo : lo + TOGETHER], threshold)
                 i, v = asks[lo + i], rows[v]
                 codes.append((np.minimum(i, v) * m + np.maximum(i, v))[i != v])
+        shards, c = np.stack(block.shards.tolist()), int(block.c.iloc[0])
+        codes.append(_owned(x, shards, place[a], place[b], c, threshold))
         code = np.unique(np.concatenate(codes))
         i, v = code // m, code % m
-        shards = np.stack(block.shards.tolist())
         links, forest = np.zeros(m, np.int64), Forest()
         for lo in range(0, len(code), 100_000):
             p, q = i[lo : lo + 100_000], v[lo : lo + 100_000]
-            shared = (shards[p][:, :, None] == shards[q][:, None, :]).any(axis=2)
-            counts = np.where(shared, shards[p], 1 << 60).min(axis=1) == int(block.c.iloc[0])
+            counts = _shared(shards[p], shards[q])[0] == c
             links += np.bincount(p[counts], n[q[counts]], m).astype(np.int64) + np.bincount(q[counts], n[p[counts]], m).astype(np.int64)
             for one, other in zip(cls[p].tolist(), cls[q].tolist(), strict=True):
                 forest.join(one, other)
