@@ -136,6 +136,39 @@ def test_a_link_missed_in_the_smallest_shared_cluster_counts(monkeypatch):
     assert vector_graph._search_block(0.95)(block.assign(c=5, shards=[np.array([3, 5])] * 3)).links.notna().sum() == 0
 
 
+def test_the_audit_sees_small_groups_lost_beside_a_large_one(spark):
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(400, 16))
+    x[:150] = x[0] + draw.normal(size=(150, 16)) * 0.02
+    x[200:220:2] = x[201:221:2] * 2
+    links, _ = plain_links(x)
+    classes = spark.createDataFrame([(i, 1, v) for i, v in enumerate(x.tolist())], "cls long, n long, x array<double>")
+    full = [(i, int(k)) for i, k in enumerate(links) if k]
+    made = lambda rows: spark.createDataFrame(rows, "cls long, links long")
+    assert vector_graph.audit(classes, made(full), 0.95) == 1
+    assert vector_graph.audit(classes, made(full[:150]), 0.95) < vector_graph.RECALL
+
+
+def test_a_search_that_stays_below_the_bound_compares_all_pairs(spark, monkeypatch):
+    """Whatever the graph misses: all links are there."""
+    x, df = vectors(spark, n=440)
+    monkeypatch.setattr(vector_graph, "audit", lambda *_: 0.0)
+    got = {r["vec_id"]: r for r in vector_graph.near_duplicates(df.where("vec_id < 9000"), shard=100, overlap=12).collect()}
+    links, group = plain_links(x)
+    assert [got[i]["n_links"] for i in range(len(x))] == links.tolist()
+    assert [got[i]["component_id"] for i in range(len(x))] == group
+
+
+def test_a_query_from_another_part_takes_the_widest_beam(monkeypatch):
+    beams = []
+    plain = vector_graph.Searcher.greedy
+    monkeypatch.setattr(vector_graph.Searcher, "greedy", lambda self, q, own, beam: beams.append(beam) or plain(self, q, own, beam))
+    x = np.random.default_rng(9).normal(size=(200, 8))
+    graph = vector_graph.Searcher(vector_graph.unit(x), *vector_graph.build(vector_graph.unit(x)))
+    graph.within(vector_graph.unit(x[:5]), np.full(5, -1), 0.95)
+    assert beams == [vector_graph.BEAMS[-1]]
+
+
 def test_no_usable_vectors(spark):
     df = spark.createDataFrame(ODD, "vec_id long, embedding array<double>")
     bad = df.where("vec_id IN (9000, 9001, 9002, 9003, 9004, 9005)")

@@ -7,7 +7,8 @@ lists of a vector from all its shards are united. Then every vector searches the
 shards it lies in: greedily from the medoid until it meets itself, with a beam
 that widens as long as it does not, and from there through all vectors in range.
 Pairs found are verified in double precision. Brute force on sampled vectors
-audits the recall; below the wanted one, the search runs again with more overlap.
+audits the recall of vectors, groups of every size apart; below the wanted one, the
+search runs again with more overlap, and at last compares all pairs.
 
 A cluster beyond ``SHARD`` vectors is cut into parts; each part's vectors search
 every part, two parts to a task. A pair that shares several clusters counts in
@@ -147,8 +148,8 @@ class Searcher:
         found_q, found_v = [], []
         todo = np.arange(len(q))
         for beam in BEAMS:
-            # a query that is not in the shard cannot meet itself: the second beam is wide enough, as measured
-            now = todo[own[todo] >= 0] if beam != BEAMS[1] else todo
+            # a query that is not in the shard cannot meet itself: it takes the widest beam at once
+            now = todo[own[todo] >= 0] if beam != BEAMS[-1] else todo
             if len(now):
                 ids, near, met = self.greedy(single[now], own[now], beam)
                 a, b = np.nonzero((ids >= 0) & (near >= threshold - SLACK))
@@ -210,8 +211,8 @@ def _shared(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(both, p, 1 << 60).min(axis=-1), both.sum(axis=-1)
 
 
-def _owned(x: np.ndarray, shards: np.ndarray, rows: np.ndarray, asks: np.ndarray, c: int, threshold: float) -> np.ndarray:
-    """Codes of all close pairs (rows, asks) that share several clusters, ``c`` the smallest: other clusters may find them, only this one counts them."""
+def _owned(x: np.ndarray, shards: np.ndarray, rows: np.ndarray, asks: np.ndarray, c: int, threshold: float, fewest: int = 2) -> np.ndarray:
+    """Codes of all close pairs (rows, asks) that share ``fewest`` clusters or more, ``c`` the smallest: other clusters may find them, only this one counts them."""
     m, single, codes = len(x), x.astype(np.float32), [np.empty(0, np.int64)]
     for lo in range(0, len(asks), TOGETHER):
         some = asks[lo : lo + TOGETHER]
@@ -222,18 +223,18 @@ def _owned(x: np.ndarray, shards: np.ndarray, rows: np.ndarray, asks: np.ndarray
         for at in range(0, len(i), 50_000):
             p, q = i[at : at + 50_000], v[at : at + 50_000]
             least, many = _shared(shards[p], shards[q])
-            p, q = (z[(least == c) & (many > 1)] for z in (p, q))
+            p, q = (z[(least == c) & (many >= fewest)] for z in (p, q))
             close = cosine(x[p], x[q]) >= threshold
             codes.append((np.minimum(p, q) * m + np.maximum(p, q))[close])
     return np.unique(np.concatenate(codes))
 
 
-def _search_block(threshold: float):
+def _search_block(threshold: float, exact: bool = False):
     """Two parts of a cluster, or one with itself: (cls, links, null) with counts, and (u, null, v) of the forest.
 
     Each part's vectors search the other part's graph; a pair is linked if
     either of its two finds the other. Pairs that this block must count for
-    other clusters too are compared without the graph.
+    other clusters too are compared without the graph; all pairs, if ``exact``.
     """
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
@@ -241,9 +242,9 @@ def _search_block(threshold: float):
         cls, n, x = block.cls.to_numpy(), block.n.to_numpy(), unpacked(block.x)
         a, b, m = int(block.a.iloc[0]), int(block.b.iloc[0]), len(block)
         place = {p: np.flatnonzero(block.part == p) for p in (a, b)}
-        medoid, near = block.medoid.to_numpy(bool), block.near.tolist()
         codes = [np.empty(0, np.int64)]
-        for p, asking in ((a, b), (b, a))[: 1 + (a != b)]:
+        medoid, near = (None, None) if exact else (block.medoid.to_numpy(bool), block.near.tolist())
+        for p, asking in () if exact else ((a, b), (b, a))[: 1 + (a != b)]:
             rows, asks = place[p], place[asking]
             if not len(rows) or not len(asks):
                 continue
@@ -259,7 +260,7 @@ def _search_block(threshold: float):
                 i, v = asks[lo + i], rows[v]
                 codes.append((np.minimum(i, v) * m + np.maximum(i, v))[i != v])
         shards, c = np.stack(block.shards.tolist()), int(block.c.iloc[0])
-        codes.append(_owned(x, shards, place[a], place[b], c, threshold))
+        codes.append(_owned(x, shards, place[a], place[b], c, threshold, 1 if exact else 2))
         code = np.unique(np.concatenate(codes))
         i, v = code // m, code % m
         links, forest = np.zeros(m, np.int64), Forest()
@@ -277,23 +278,31 @@ def _search_block(threshold: float):
     return run
 
 
-def search(classes: DataFrame, centres: np.ndarray, overlap: int, threshold: float, shard: int) -> DataFrame:
-    """(cls, links, other) rows of all blocks."""
+def search(classes: DataFrame, centres: np.ndarray, overlap: int, threshold: float, shard: int, exact: bool = False) -> DataFrame:
+    """(cls, links, other) rows of all blocks; ``exact``: without graphs, of all pairs that share a cluster."""
     placed = _assign(classes, centres, overlap)
     sizes = placed.groupBy("c").agg(F.ceil(F.count("*") / shard).alias("parts"))  # CLUSTERS rows at most
     placed = keep(placed.join(F.broadcast(sizes), "c").withColumn("part", F.pmod(F.xxhash64("cls"), "parts")))
+    to = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    if exact:
+        met = placed.withColumn("other", to).select("c", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "cls", "n", "shards", "x")
+        return met.groupBy("c", "a", "b").applyInPandas(_search_block(threshold, exact), "cls long, links long, other long")
     graph = keep(placed.select("c", "part", "cls", "x").groupBy("c", "part").applyInPandas(_build_shard, "c long, part long, cls long, near array<long>, medoid boolean"))
     united = graph.groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     medoids = graph.where("medoid").select("c", "part", "cls", "medoid")
     nodes = placed.join(united, "cls").join(medoids, ["c", "part", "cls"], "left")
     nodes = nodes.withColumn("medoid", F.coalesce("medoid", F.lit(False)))
-    met = nodes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    met = nodes.withColumn("other", to)
     met = met.select("c", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "cls", "n", "shards", "x", "near", "medoid")
     return met.groupBy("c", "a", "b").applyInPandas(_search_block(threshold), "cls long, links long, other long")
 
 
 def audit(classes: DataFrame, found: DataFrame, threshold: float, n: int = AUDIT) -> float:
-    """Links found of sampled classes by links there are, from brute force over all classes; 1 where there are none."""
+    """The mean share that sampled classes find of their links, by brute force over all classes; 1 where there are none.
+
+    Every class weighs the same, and the least mean counts: of all, and of those
+    with as many links, by powers of two. So large groups do not hide small ones.
+    """
     ids, x = sample(classes, n, "cls")
     u = unit(x)
 
@@ -308,8 +317,9 @@ def audit(classes: DataFrame, found: DataFrame, threshold: float, n: int = AUDIT
 
     there = classes.select("cls", "n", "x").mapInArrow(run, "cls long, there long").groupBy("cls").agg(F.sum("there").alias("there"))
     both = there.join(found.groupBy("cls").agg(F.sum("links").alias("links")), "cls", "left")
-    row = both.agg(F.sum("there").alias("there"), F.sum(F.least("there", F.coalesce("links", F.lit(0)))).alias("links")).first()
-    return row["links"] / row["there"] if row["there"] else 1.0
+    both = both.where("there > 0").select(F.floor(F.log2("there")).alias("size"), (F.least("there", F.coalesce("links", F.lit(0))) / F.col("there")).alias("share"))
+    row = both.rollup("size").agg(F.avg("share").alias("share")).agg(F.min("share").alias("share")).first()
+    return 1.0 if row["share"] is None else row["share"]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD, overlap: int = OVERLAP) -> DataFrame:
@@ -331,9 +341,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard: int
     _, x = sample(classes, FIT_ROWS, "cls")
     k = int(np.clip(np.ceil(n * overlap / shard), 1, min(CLUSTERS, len(x))))
     centres = fit_clusters(unit(x), k)
-    while True:
-        found = keep(search(classes, centres, overlap, threshold, shard))
-        if audit(classes, found, threshold) >= RECALL or overlap >= min(4 * OVERLAP, k):
+    while audit(classes, found := keep(search(classes, centres, overlap, threshold, shard)), threshold) < RECALL:
+        if overlap >= min(4 * OVERLAP, k):
+            # one cluster: every part meets every other, which grows with the square of the classes
+            found = keep(search(classes, centres[:1], 1, threshold, shard, exact=True))
             break
         overlap += OVERLAP
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
