@@ -226,6 +226,24 @@ def test_fewer_candidates_than_wanted(spark):
     assert got == [(0, 1, 7), (0, 2, 50), (50, 1, 7), (50, 2, 0)]
 
 
+@pytest.mark.parametrize("other", [1.0, 0.999])
+def test_repeated_rows_take_no_places(spark, other):
+    """Every row five times, as it is or each copy a little apart: still five neighbours, those of brute force."""
+    draw = np.random.default_rng(12)
+    x = draw.normal(size=(60, 8))
+    rows = [(i, [v[0] * other**c, *v[1:]]) for i, v in enumerate(x.tolist()) for c in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(i + 1000, v) for i, v in enumerate(x[:4].tolist())], "vec_id long, embedding array<double>")
+    got = rp_forest.nearest(df, asked).collect()
+    ids, held = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    truth = rp_forest.brute_force(rp_forest.usable(df), np.arange(4) + 1000, x[:4], 5).collect()
+    for q in range(4):
+        score = held @ x[q] / (np.linalg.norm(held, axis=1) * np.linalg.norm(x[q]))
+        want = sorted(range(60), key=lambda i: (-score[ids == i].max(), i))[:5]
+        for answer in (got, truth):
+            assert [r["vec_id"] for r in sorted(answer, key=lambda r: r["rank"]) if r["query_id"] == q + 1000] == want
+
+
 # ----------------------------------------------------------------- pipeline
 
 

@@ -89,13 +89,18 @@ def fit(rows: DataFrame, n: int, trees: int = TREES, leaf: int = LEAF) -> Forest
 
 
 def best(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
-    """The ``k`` nearest of ``x`` to each query but rows of its own id, ties to the smaller id."""
+    """The ``k`` nearest ids of ``x`` to each query but its own, each by its nearest row, ties to the smaller id."""
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
     ux, uq = unit(x), unit(q)
     out = []
     for at in range(0, len(q), 256):
         near = uq[at : at + 256] @ ux.T
         near[q_ids[at : at + 256, None] == ids[None, :]] = -9
-        floor = np.partition(near, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)] - 1e-9
+        once = near if len(starts) == len(ids) else np.maximum.reduceat(near, starts, axis=1)
+        at_k = max(0, len(starts) - k)
+        floor = np.partition(once, at_k, axis=1)[:, at_k] - 1e-9
         for i, row in enumerate(near):
             c = np.flatnonzero((row >= floor[i]) & (row > -5))
             exact = cosine(x[c], np.broadcast_to(q[at + i], (len(c), q.shape[1])))
@@ -155,7 +160,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = TRE
     With fewer candidates than ``k`` all come back; without queries or vectors,
     none. Other columns are not looked at.
     """
-    rows = keep(usable(vectors))
+    rows = keep(usable(vectors).distinct())
     asked = keep(usable(queries).groupBy("vec_id").agg(F.min("x").alias("x")))
     n = rows.count()
     if not n or not asked.limit(1).count():
