@@ -135,6 +135,18 @@ def test_tagger_adds_and_base_stays(tagger):
     assert pii.masked(text, base).endswith("[EMAIL], [IP]")
 
 
+@pytest.mark.parametrize("address", [
+    "firstname.lastname (at) mail.department.example.org",
+    "alexander.montgomery.richardson (at) research.institute.northern.university.example.org",
+    "a.very.long.first.name.and.an.even.longer.last.name(at)mail.department.faculty.university.example.org",
+])
+def test_long_addresses_are_found_at_every_offset(tagger, address):
+    prose = "the meeting was held on a sunny day and everyone left after lunch so we went home again " * 2
+    for k in range(96, 128):
+        text = f"{prose[:k]} {address} and {prose}"
+        assert pii.tagged([text], tagger) == [[(k + 1, k + 1 + len(address), "email")]], k
+
+
 def test_addresses_may_lead_with_many_zeros():
     zeros = "0" * 5000
     assert pii.base_spans(f"{zeros}1.2.3.{zeros}255 and 1.2.3.{zeros}256") == [(0, 10009, "ip")]

@@ -2,8 +2,9 @@
 
 The tagger is a bidirectional LSTM over characters whose tag scores go through
 a CRF, trained here in numpy on labelled spans. It reads overlapping windows
-around every character that one of its spans must hold, so no text is cut and
-no window that could hold a span is left out. Spans that windows propose are
+around every character that one of its spans must hold. A span that a window cuts
+and none holds whole is read again in a wider one, which holds every span up to
+``LONGEST`` characters around it. Spans that windows propose are
 reconciled over the whole text: the disjoint set with the greatest total score.
 """
 
@@ -14,6 +15,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ NAME_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxy
 #: Every span of the tagger holds one of these.
 ANCHOR = re.compile(r"[0-9@]|[(\[]at[)\]]")
 WINDOW, STRIDE = 64, 32
+#: The longest span: a name of 64 characters and a host of 255, as mail permits, and " (at) " between.
+LONGEST = 64 + 255 + 6
 
 Span = tuple[int, int, str]
 
@@ -336,20 +340,53 @@ def reconcile(found: list[tuple[float, Span]]) -> list[Span]:
     return out[::-1]
 
 
-def tagged(texts: list[str], model: Tagger, block: int = 512) -> list[list[Span]]:
-    """The tagger's spans of each text; windows of many texts run together, a bounded number at a time."""
-    found: list[list[tuple[float, Span]]] = [[] for _ in texts]
-    where = [(k, start) for k, text in enumerate(texts) for start in windows(text)]
+def cut_spans(tags: np.ndarray, start: int, length: int) -> Iterator[tuple[int, int]]:
+    """What one window holds of spans that touch its inner borders."""
+    n = len(tags)
+    outside = np.flatnonzero((tags == 0) | (tags % 2 == 1))  # where a span ends before, or begins
+    if start > 0 and tags[0]:
+        end = outside[outside > 0]
+        yield start, start + (int(end[0]) if len(end) else n)
+    if start + n < length and tags[-1]:
+        yield start + (int(outside[-1]) if len(outside) and tags[outside[-1]] else 0), start + n
+
+
+def _decoded(texts: list[str], where: list[tuple[int, int, int]], model: Tagger, block: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, tags, scores) of the windows (text, start, end) that hold a tag; windows of many texts run together, a bounded number at a time."""
     for at in range(0, len(where), block):
         part = where[at : at + block]
-        x = np.full((len(part), WINDOW), SYMBOLS.index(" "), np.int64)
-        for row, (k, start) in enumerate(part):
-            piece = codes(texts[k][start : start + WINDOW])
+        x = np.full((len(part), max(end - start for _, start, end in part)), SYMBOLS.index(" "), np.int64)
+        for row, (k, start, end) in enumerate(part):
+            piece = codes(texts[k][start:end])
             x[row, : len(piece)] = piece
         tags, scores = model.decode(x)
         for row in np.flatnonzero(tags.any(axis=1)):
-            k, start = part[row]
-            found[k] += [p for p in proposals(tags[row], scores[row], start, len(texts[k])) if sound(p[1][2], texts[k][p[1][0] : p[1][1]])]
+            n = part[row][2] - part[row][1]
+            yield at + int(row), tags[row, :n], scores[row, :n]
+
+
+def tagged(texts: list[str], model: Tagger, block: int = 512) -> list[list[Span]]:
+    """The tagger's spans of each text."""
+    found: list[list[tuple[float, Span]]] = [[] for _ in texts]
+    sounds = lambda k, p: sound(p[1][2], texts[k][p[1][0] : p[1][1]])
+    where = [(k, start, start + WINDOW) for k, text in enumerate(texts) for start in windows(text)]
+    cut: list[set[tuple[int, int]]] = [set() for _ in texts]
+    for row, tags, scores in _decoded(texts, where, model, block):
+        k, start, _ = where[row]
+        found[k] += [p for p in proposals(tags, scores, start, len(texts[k])) if sounds(k, p)]
+        cut[k].update(cut_spans(tags, start, len(texts[k])))
+    again: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
+    for k, pieces in enumerate(cut):
+        whole = sorted((s[0], s[1]) for _, s in found[k])
+        starts, reach = [s[0] for s in whole], list(accumulate((s[1] for s in whole), max, initial=-1))
+        for a, b in pieces:
+            if reach[bisect_right(starts, a)] < b:
+                again.setdefault((k, max(0, a - LONGEST), min(len(texts[k]), b + LONGEST)), []).append((a, b))
+    where = list(again)
+    for row, tags, scores in _decoded(texts, where, model, block // 8):
+        k, start, _ = where[row]
+        near = [p for p in proposals(tags, scores, start, len(texts[k])) if sounds(k, p)]
+        found[k] += [p for p in near if any(p[1][0] < b and a < p[1][1] for a, b in again[where[row]])]
     return [reconcile(f) for f in found]
 
 
