@@ -248,6 +248,19 @@ def test_mixing_meets_targets(spark):
     assert mixed.columns == docs.columns and {r["doc_id"] for r in mixed.select("doc_id").collect()} == set(range(300))
 
 
+def test_rare_domains_take_part_whatever_the_sample(spark):
+    """Three domains of one text each among 300 labelled ones, of which 50 are sampled."""
+    rare = {7: "x", 8: "y", 9: "z"}
+    docs = documents(spark, [(i, f"{rare[i] * 9} {rare[i] * 5} " * 9 if i in rare else "alpha beta gamma " * (1 + i % 7)) for i in range(300)])
+    labelled = spark.createDataFrame([(i, rare.get(i, "a")) for i in range(300)], "doc_id long, domain string")
+    model = mixing.fit_classifier(docs, labelled, rows=50)
+    assert model.domains == ["a", "x", "y", "z"]
+    rows = mixing.soft_membership(docs, model)
+    mixing.solve(rows, model, {"a": 100.0, "x": 1.0, "y": 1.0, "z": 1.0})
+    top = {r["doc_id"]: model.domains[int(np.argmax(r["p"]))] for r in rows.collect()}
+    assert top == {i: rare.get(i, "a") for i in range(300)}
+
+
 def test_mixing_equals_a_solver_that_keeps_every_rate():
     draw = np.random.default_rng(4)
     p = draw.dirichlet((0.3, 0.3, 0.3), 200)

@@ -16,13 +16,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemerge.llm.common import batches_of, keep, map_rows
 
-#: Hashed pairs of bytes; labelled rows that the classifier is fitted on at most; its steps; most domains, beyond which it is refused.
-WIDTH, FIT_ROWS, FIT_STEPS, MOST_DOMAINS = 1024, 2000, 150, 100
+#: Hashed pairs of bytes; labelled rows that the classifier is fitted on at most, and those that each domain has besides; its steps; most domains, beyond which it is refused.
+WIDTH, FIT_ROWS, DOMAIN_ROWS, FIT_STEPS, MOST_DOMAINS = 1024, 2000, 20, 150, 100
 #: Steps of the rates at most, and the gap in shares of all tokens at which they stop.
 STEPS, CLOSE = 60, 1e-6
 
@@ -63,18 +63,25 @@ class Mixture:
 
 
 def fit_classifier(documents: DataFrame, labelled: DataFrame, rows: int = FIT_ROWS) -> Mixture:
-    """A softmax regression from texts of ``labelled`` (doc_id, domain), at most ``rows`` of them, the first by a hash of the id.
+    """A softmax regression from texts of ``labelled`` (doc_id, domain).
 
+    Every domain of the table takes part. The texts are ``rows`` at most, the
+    first by a hash of the id, and the first ``DOMAIN_ROWS`` of each domain,
+    weighted so that domains weigh as in the whole table.
     Rows with a null in either column teach nothing; of a document's differing
     domains the smallest counts. Without labels there is one domain, ''.
     """
     known = labelled.where("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("domain").cast("string")).alias("domain"))
-    known = {r["doc_id"]: r["domain"] for r in known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()}
-    domains = sorted(set(known.values())) or [""]
+    known = keep(known)
+    sizes = {r["domain"]: r["count"] for r in known.groupBy("domain").count().limit(MOST_DOMAINS + 1).collect()}
+    domains = sorted(sizes) or [""]
     if len(domains) > MOST_DOMAINS:
-        raise ValueError(f"{len(domains)} domains; {MOST_DOMAINS} are allowed")
+        raise ValueError(f"more than {MOST_DOMAINS} domains")
     if len(domains) == 1:
         return Mixture(domains, np.zeros((WIDTH + 1, 1)))
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    each = known.withColumn("rank", F.row_number().over(Window.partitionBy("domain").orderBy(*by_hash))).where(F.col("rank") <= DOMAIN_ROWS)
+    known = {r["doc_id"]: r["domain"] for r in [*known.orderBy(*by_hash).limit(rows).collect(), *each.collect()]}
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isin(list(known)))
     seen = map_rows(
         texts, "doc_id long, x array<float>",
@@ -84,16 +91,18 @@ def fit_classifier(documents: DataFrame, labelled: DataFrame, rows: int = FIT_RO
     x = np.column_stack([seen["x"].combine_chunks().flatten().to_numpy().reshape(seen.num_rows, -1), np.ones(seen.num_rows, np.float32)])
     y = np.zeros((seen.num_rows, len(domains)), np.float32)
     y[np.arange(seen.num_rows), [domains.index(known[i]) for i in seen["doc_id"].to_pylist()]] = 1
-    return Mixture(domains, _softmax_regression(x, y))
+    total = np.array([sizes[d] for d in domains], np.float32)
+    return Mixture(domains, _softmax_regression(x, y, y @ (total / np.maximum(1, y.sum(axis=0)))))
 
 
-def _softmax_regression(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rate: float = 0.3) -> np.ndarray:
+def _softmax_regression(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, rate: float = 0.3) -> np.ndarray:
+    weight = (weight / max(1.0, weight.sum()))[:, None].astype(np.float32)
     w = np.zeros((x.shape[1], y.shape[1]), np.float32)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, FIT_STEPS + 1):
         z = x @ w
         e = np.exp(z - z.max(axis=1, keepdims=True))
-        g = x.T @ (e / e.sum(axis=1, keepdims=True) - y) / max(1, len(x)) + penalty * w
+        g = x.T @ ((e / e.sum(axis=1, keepdims=True) - y) * weight) + penalty * w
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         w -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
     return w
