@@ -368,6 +368,26 @@ def test_main_text_of_a_page(spark, field):
     assert html_crf.main_text(spark.createDataFrame([], "page_id long, url string, html string"), field).count() == 0
 
 
+@pytest.mark.parametrize(("before", "item", "after"), [
+    ("<nav><ul>", "<li><p>item", "</ul></nav>"),
+    ("<nav><dl>", "<dt><p>name<dd><p>item", "</dl></nav>"),
+    ("<nav><table>", "<tr><td><p>a<td><div><p>item", "</table></nav>"),
+    ("<nav>", "<div>item", "</div>" * 300 + "</nav>"),
+])
+def test_what_follows_long_lists_and_deep_elements_keeps_its_path(before, item, after):
+    page = before + item * 300 + after + "<article class=story><p>text</article><footer>end"
+    got = html_crf.blocks(page)
+    assert [(b.text, [t for t, _ in b.path]) for b in got[-2:]] == [("text", ["article", "p"]), ("end", ["footer"])]
+    assert got[-2].path[0] == ("article", ("story",))
+    assert max(len(b.path) for b in got) <= html_crf.DEEPEST
+
+
+def test_nested_lists_stay_nested():
+    got = html_crf.blocks("<ul><li><p>a<ul><li><p>b<li>c</ul><li>d</ul>e")
+    paths = [(b.text, " ".join(t for t, _ in b.path)) for b in got]
+    assert paths == [("a", "ul li p"), ("b", "ul li ul li p"), ("c", "ul li ul li"), ("d", "ul li"), ("e", "")]
+
+
 def test_blocks_survive_broken_markup():
     deep = "<div>" * 5000 + "x" + "</div>" * 5000
     assert [b.text for b in html_crf.blocks(deep)] == ["x"]

@@ -32,6 +32,11 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: What an opening tag closes by itself: a paragraph ends at any of these, items and cells at their like.
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 LIKE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: What holds items, rows and cells: an opening one ends what is open of its like up to there, and all within it.
+_AROUND = "article aside blockquote details dl fieldset figure footer form header main menu nav ol section table td th ul".split()
+HOLDS = {"li": _AROUND, "dt": _AROUND, "dd": _AROUND, "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
+#: Elements of a path that features look at.
+DEEPEST = 200
 
 TOKEN = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?"
@@ -72,7 +77,18 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     search = TOKEN.search
     linked = links = 0
-    at, skip = 0, 0
+    at = 0
+    places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
+
+    def cut(depth: int) -> None:
+        for gone, _ in reversed(stack[depth:]):
+            places[gone].pop()
+        del stack[depth:]
+
+    def end_like(tag: str) -> None:
+        around = max((places[t][-1] for t in HOLDS[tag] if places.get(t)), default=-1)
+        open_ = (held[bisect_right(held, around)] for t in LIKE[tag] if (held := places.get(t)) and held[-1] > around)
+        cut(min(open_, default=len(stack)))
 
     def text(piece: str) -> None:
         nonlocal linked
@@ -87,7 +103,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             joined = " ".join("".join(parts).split())
             if joined:
-                out.append(Block(joined, tuple(stack), linked))
+                out.append(Block(joined, tuple(stack[:DEEPEST]), linked))
             parts.clear()
         linked = 0
 
@@ -115,29 +131,22 @@ def blocks(page: str) -> list[Block]:
                 continue
             if tag not in INLINE:
                 close()
-                if tag in CLOSES_P:
+                if tag in LIKE:
+                    end_like(tag)
+                if tag in CLOSES_P or tag in LIKE:
                     while stack and stack[-1][0] == "p":
-                        stack.pop()
-                if tag in LIKE and stack and stack[-1][0] in LIKE[tag]:
-                    while stack and stack[-1][0] in LIKE[tag]:
-                        stack.pop()
+                        cut(len(stack) - 1)
                 if tag not in VOID and not attributes.endswith("/"):
-                    if len(stack) < 200:  # deeper elements stand for the one above them
-                        stack.append((tag, words_of(attributes)))
-                    else:
-                        skip += 1
+                    places.setdefault(tag, []).append(len(stack))
+                    stack.append((tag, words_of(attributes)))
             elif tag == "a":
                 links += 1
         elif tag == "a":
             links = max(0, links - 1)
         elif tag not in INLINE and tag != "br":
             close()
-            if skip:
-                skip -= 1
-                continue
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                del stack[depth:]
+            if places.get(tag):
+                cut(places[tag][-1])
     close()
     return out
 
