@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidemerge.functions.nulls import strict_min
 from tidemerge.operators import audit, dedup, depth, joins, quality, repair, reshape
 from tidemerge.operators.spread import attach_group, full_join, null_safe_join, spread_join

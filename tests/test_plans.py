@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidemerge.operators import quality
 from tidemerge.plans import compare, publish
 from tidemerge.plans.integrate import SOURCES, check_sources, integrate
