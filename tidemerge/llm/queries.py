@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemerge.llm import html_crf, mixing, packing, pii, quality, rp_forest, secret_scan, simhash, vector_graph, warc
+from tidemerge.llm import html_crf, mixing, packing, pii, quality, rp_forest, secret_scan, simhash, token_counts, vector_graph, warc
 from tidemerge.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     labelled = documents.select("doc_id", F.col("lang").alias("domain")).join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
     return mixing.mixing_rates(documents, labelled, power=0.7)
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary lies on every executor beside the module that names its path."""
+    import public_tokenizers
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
