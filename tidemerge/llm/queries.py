@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemerge.llm import html_crf, mixing, packing, pii, quality, rp_forest, secret_scan, simhash, token_counts, vector_graph, warc
+from tidemerge.llm import conversation_repair, html_crf, mixing, packing, pii, quality, rp_forest, secret_scan, simhash, token_counts, vector_graph, warc
 from tidemerge.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(documents, labelled, power=0.7)
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repairs(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vocabulary lies on every executor beside the module that names its path."""
