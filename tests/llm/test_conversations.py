@@ -12,7 +12,8 @@ from hypothesis import strategies as st
 
 from tidemerge.llm import conversation_repair as cr
 from tidemerge.llm import edit_lattice as lattice
-from tidemerge.llm.queries import QUERIES
+from tidemerge.llm import prefix_trie
+from tidemerge.llm.queries import ORACLE, QUERIES
 
 # ------------------------------------------------------------------- lattice
 
@@ -193,3 +194,74 @@ def test_repair_of_nothing(spark):
     assert cr.repairs(cr.damage(df)).collect() == [] == cr.repairs(df, texts=True).collect()
     gone = spark.createDataFrame([(1, 2, None, None, 9), (1, 2, None, None, 9)], CONVERSATIONS + ", audit int")
     assert list(map(tuple, cr.repairs(gone).collect())) == [(1, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+# ---------------------------------------------------------------------- trie
+
+
+def plain_trie(rows):
+    """Nodes of the contract from a dictionary of prefixes."""
+    given = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            tid = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()[:16]
+            given.setdefault(conv, []).append((turn is not None, turn or 0, tid, role, text))
+    turns = {c: [t[3:] for t in sorted(ts)] for c, ts in given.items()}
+    members, ends, words = {}, {}, {(): 0}
+    for c in turns:
+        shared = zlib.crc32(str(c).encode()) % 4
+        leader = c - int(abs(c) % 20) * (1 if c >= 0 else -1)
+        path = turns.get(leader, [])[:shared] + turns[c][shared:]
+        for d in range(len(path) + 1):
+            members.setdefault(tuple(path[:d]), []).append(c)
+            words[tuple(path[:d])] = len(re.findall(r"[^\x20\x09-\x0D]+", path[d - 1][1])) if d else 0
+        ends.setdefault(tuple(path), []).append(c)
+    children, leaves, saved = {}, {}, {}
+    for node in members:
+        if node:
+            children[node[:-1]] = children.get(node[:-1], 0) + 1
+    for node in members:
+        for d in range(len(node) + 1):
+            leaves[node[:d]] = leaves.get(node[:d], 0) + (node not in children)
+            saved[node[:d]] = saved.get(node[:d], 0) + (len(members[node]) - 1) * words[node]
+    sha = lambda ids: hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest()
+    return sorted(
+        ((min(m), len(n), min(members[n[:-1]]) if n else None, len(m), children.get(n, 0), leaves[n], saved[n], sha(ends.get(n, []))) for n, m in members.items()),
+        key=str,
+    )
+
+
+def shared_openings(seed):
+    """Conversations that share turns, one with a third of the rows, many equal ones, some that lose all turns."""
+    rng = random.Random(seed)
+    rows = [(c, t, rng.choice(["user", "assistant", None]), rng.choice(["a b", "c", None, " d  e\tf", ""])) for c in range(-30, 70) for t in range(rng.choice([1, 2, 5]))]
+    rows += [(c, t, "user", f"same {t}") for c in range(100, 160) for t in range(6)]
+    rows += [(41, t, "user", f"long {t % 7}") for t in range(5, 250)]
+    rows += [(c, None, "user", "late") for c in (3, 3, 60, None)] + [(5, 0, "user", "tie"), (5, 0, "assistant", "tie")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("limit", [0, 40, 10**6])
+def test_trie(spark, seed, limit):
+    rows = shared_openings(seed)
+    df = spark.createDataFrame(rows, CONVERSATIONS).repartition(3)
+    assert sorted(map(tuple, prefix_trie.prefix_trie(df, limit).collect()), key=str) == plain_trie(rows)
+
+
+def test_trie_query(spark, small, monkeypatch):
+    import oracle
+
+    monkeypatch.setitem(oracle.ORACLE, "op13_prefix_trie", ORACLE["op13_prefix_trie"])
+    assert oracle.difference(spark, oracle.connect(small), small, "op13_prefix_trie", QUERIES["op13_prefix_trie"](spark, small)) is None
+    rows = [tuple(r) for r in spark.read.parquet(f"{small}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert sorted(map(tuple, QUERIES["op13_prefix_trie"](spark, small).collect()), key=str) == plain_trie(rows)
+
+
+def test_trie_of_nothing(spark):
+    df = spark.createDataFrame([], CONVERSATIONS + ", node int")
+    assert prefix_trie.prefix_trie(df).collect() == []
+    alone = spark.createDataFrame([(7, None, None, None, 1), (None, 1, "user", "x", 1)], CONVERSATIONS + ", node int")
+    assert sorted(map(tuple, prefix_trie.prefix_trie(alone).collect()), key=str) == plain_trie([(7, None, None, None)])

@@ -23,18 +23,14 @@ from itertools import chain, groupby
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from tidemerge.llm import edit_lattice
 from tidemerge.llm.common import keep
+from tidemerge.llm.sorted_rows import Batches, arrow_schema, in_order, rows_of
 
 #: A conversation of more rows or characters is not held in a worker, it is left open.
 HELD_ROWS = 10_000
 HELD_CHARACTERS = 8_000_000
-#: Rows and characters of a batch that leaves a worker.
-OUT_ROWS = 5_000
-OUT_CHARACTERS = 4_000_000
 
 SOUND, BLANK, DUPLICATE, TRUNCATED = range(4)
 LEGAL = {"su", "ua", "au"}
@@ -69,30 +65,6 @@ def damage(turns: DataFrame) -> DataFrame:
     ).drop("copy")
 
 
-class Batches:
-    """Rows put out as record batches of a bounded size."""
-
-    def __init__(self, schema: pa.Schema) -> None:
-        self.schema, self.rows, self.size = schema, [], 0
-
-    def add(self, row: tuple, size: int = 0) -> Iterator[pa.RecordBatch]:
-        self.rows.append(row)
-        self.size += size
-        if len(self.rows) >= OUT_ROWS or self.size >= OUT_CHARACTERS:
-            yield from self.rest()
-
-    def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.rows:
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*self.rows, strict=True), self.schema, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, schema=self.schema)
-        self.rows, self.size = [], 0
-
-
-def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-
 class Facts:
     """What is counted over sorted rows, so that two neighbouring runs add up."""
 
@@ -275,13 +247,12 @@ def repairs(turns: DataFrame, texts: bool = False) -> DataFrame:
     given = F.col("role").isNotNull()
     text = F.when(given, F.coalesce("text", F.lit("")))
     fault = F.when(~F.col("text").rlike(HAS_TEXT), BLANK).when(~F.col("text").rlike(ENDS_WELL), TRUNCATED).otherwise(SOUND)
-    order = ["conv_id", "turn", "role", "text", "tie"]
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", text.alias("text"), F.monotonically_increasing_id().alias("tie"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = rows.select("conv_id", F.monotonically_increasing_id().alias("pos"), "turn", "role", "text", F.when(given, fault).cast("int").alias("fault"))
+    rows = in_order(rows, "conv_id", "turn", "role", "text", "tie")
+    rows = rows.select("conv_id", "pos", "turn", "role", "text", F.when(given, fault).cast("int").alias("fault"))
     key = f"conv_id {turns.schema['conv_id'].dataType.simpleString()}"
     schema = f"{key}, pos long, turn long, role string, text string, fault int, {', '.join(f'{c} long' for c in COUNTS)}, audit string, repaired_sha256 string"
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = arrow_schema(schema)
     passed = keep(rows.mapInArrow(_judge(arrow, texts), schema))
 
     opened = passed.where("pos IS NOT NULL")
@@ -292,7 +263,7 @@ def repairs(turns: DataFrame, texts: bool = False) -> DataFrame:
     facts = facts.join(fresh, "pos", "left").select("conv_id", "pos", "turn", "initial", F.when(again, DUPLICATE).otherwise(F.col("fault")).alias("fault"))
     facts = facts.repartitionByRange("pos").sortWithinPartitions("pos")
     piece = f"{key}, pos long, {PIECE}, costs array<long>, audits array<string>"
-    pieces = facts.mapInArrow(_pieces(to_arrow_schema(StructType.fromDDL(piece))), piece)
+    pieces = facts.mapInArrow(_pieces(arrow_schema(piece)), piece)
     heads = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "pos").mapInArrow(_chain(arrow), schema)
     rest = heads.unionByName(opened).repartition("conv_id").sortWithinPartitions("conv_id", "pos").mapInArrow(_apply(arrow, texts), schema)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemerge.llm import conversation_repair, html_crf, mixing, packing, pii, quality, rp_forest, secret_scan, simhash, token_counts, vector_graph, warc
+from tidemerge.llm import conversation_repair, html_crf, mixing, packing, pii, prefix_trie, quality, rp_forest, secret_scan, simhash, token_counts, vector_graph, warc
 from tidemerge.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,47 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: crc32 of an id's decimals, a byte and a bit at a time.
+_CRC32 = """xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::UBIGINT)),
+    lambda a, b: xor(a >> 8, list_reduce([xor(a & 255, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda p, q: CASE WHEN p & 1 = 1 THEN xor(3988292384, p >> 1) ELSE p >> 1 END))))"""
+
+ORACLE["op13_prefix_trie"] = rf"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+    SELECT *, left(sha256(length(role) || ':' || role || text), 32) AS tid, len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM given),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tid) AS i FROM turns),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS leader, {_CRC32} % 4 AS shared FROM (SELECT DISTINCT conv_id FROM given)),
+rebuilt AS (
+    SELECT c.conv_id, 0 AS own, i, tid, words FROM convs c JOIN numbered n ON n.conv_id = c.leader AND n.i <= c.shared
+    UNION ALL SELECT c.conv_id, 1, i, tid, words FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.i > c.shared),
+paths AS (
+    SELECT conv_id, 0 AS depth, '' AS path, 0 AS words FROM convs
+    UNION ALL SELECT conv_id, row_number() OVER w, string_agg(tid, '') OVER w, words FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, i)),
+nodes AS (
+    SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM paths GROUP BY path),
+children AS (
+    SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+ends AS (
+    SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+    FROM (SELECT conv_id, arg_max(path, depth) AS path FROM paths GROUP BY conv_id) GROUP BY path),
+whole AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children, coalesce(ends_sha256, sha256('')) AS ends_sha256
+    FROM nodes n LEFT JOIN children USING (path) LEFT JOIN ends USING (path)),
+below AS (
+    SELECT left(path, 32 * up) AS path, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM whole) GROUP BY ALL)
+SELECT w.conv_id, w.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children::BIGINT AS n_children,
+    n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM whole w JOIN below USING (path) LEFT JOIN whole p ON w.depth > 0 AND p.path = left(w.path, 32 * (w.depth - 1))
+"""
