@@ -35,6 +35,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def given(name: str) -> set[str]:
+    """The given tables that a table or view reads."""
+    return set().union(*[given(f) for f in fields(VIEWS[name])]) if name in VIEWS else {name}
+
+
 def with_views(sql: str, views: Sequence[str]) -> str:
     """SQL preceded by the views it reads."""
     ordered: list[str] = []

@@ -12,12 +12,17 @@ ZONE = "'America/Los_Angeles'"
 TRAWL = {"1": "High Slack", "2": "Ebb", "3": "Low Slack", "4": "Flood"}
 
 
+#: How the views of a survey's feeds begin.
+FEED_PREFIX: dict[str, str] = {}
+
+
 def survey(name: str, key: str, prefix: str, sql: str, rounded: dict[str, int] | None = None) -> None:
     """Register a survey's plan; its feeds are the views named ``prefix_feed``.
 
     Columns that hold means are ``rounded``, as sums of doubles depend on their order.
     """
     plan = SURVEYS[name]
+    FEED_PREFIX[name] = prefix
     inputs = [f"{prefix}_{feed}".lower() for feed in plan.feeds]
 
     def run(*tables):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,11 +42,20 @@ def check_sources(sources: Iterable[str] | None, known: Iterable[str] = SOURCES)
 
 
 def combine(tables: Iterable[DataFrame]) -> DataFrame:
-    """Union by name; a column a table lacks is NULL there."""
-    out = None
+    """Union by name; a column a table lacks is NULL there.
+
+    Every table is projected once to all columns, so the plan stays flat however many there are.
+    """
+    tables = list(tables)
+    types = {}
     for table in tables:
-        out = table if out is None else out.unionByName(table, allowMissingColumns=True)
-    return out
+        for name, as_type in table.dtypes:
+            types.setdefault(name, as_type)
+    whole = [
+        table.selectExpr(*[f"`{n}`" if n in have else f"CAST(NULL AS {t}) AS `{n}`" for n, t in types.items()])
+        for table, have in ((t, set(t.columns)) for t in tables)
+    ]
+    return reduce(DataFrame.union, whole)
 
 
 def add_calendar(df: DataFrame) -> DataFrame:

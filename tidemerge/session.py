@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,3 +25,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it; in a local session without one, a new folder."""
+    context = spark.sparkContext
+    name = "spark.checkpoint.dir"
+    folder = spark.conf.get(name, None) or context.getConf().get(name) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"{name} is not set: name a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="tidemerge-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")

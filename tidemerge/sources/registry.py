@@ -6,10 +6,9 @@ from collections.abc import Callable, Collection, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemerge.sources.scan import scan_by_header, scan_table, together, typed
-from tidemerge.sources.sinks import write_table
+from tidemerge.sources.versions import fingerprints, open_tables, store_tables
 
 Feeds = Mapping[str, DataFrame]
 
@@ -60,23 +59,29 @@ class Survey:
         return self.build(opened)
 
 
+#: Raise this when a cleaning plan changes, so that stored tables are made again.
+RULES = 1
+
+
 def store(
     spark: SparkSession, surveys: Mapping[str, Survey], raw: str, cleaned: str, fmt: str = "csv",
     *, line_breaks: Mapping[str, Collection[str]] | None = None,
-) -> None:
-    """Clean every survey staged in ``raw`` and write its table to ``cleaned``.
+) -> list[str]:
+    """Clean the surveys staged in ``raw`` whose files have changed and write their tables to ``cleaned``; their names.
 
     ``line_breaks`` names, per survey, the feeds with quoted text over several lines.
-
-    Each file holds a range of dates, so that a later choice of years skips most
-    files. A day with many rows is spread over several by a hash of the rows.
     """
-    for name, survey in surveys.items():
-        table = survey.read(spark, raw, fmt, line_breaks=(line_breaks or {}).get(name, ()))
-        rest = F.xxhash64(*[F.col(f"`{c}`") for c in table.columns])
-        write_table(table.repartitionByRange("Date", rest).sortWithinPartitions("Date"), f"{cleaned}/{name}")
+    breaks = line_breaks or {}
+    staged = {n: [f"{raw}/{n}/{feed}.{fmt}" for feed in s.feeds] for n, s in surveys.items()}
+    files = fingerprints(spark, staged)
+    made_from = {n: f"{files.get(n)} {fmt} {sorted(breaks.get(n, ()))} {RULES}" for n in surveys}
+
+    def cleaner(survey: Survey) -> Callable[[], DataFrame]:
+        return lambda: survey.read(spark, raw, fmt, line_breaks=breaks.get(survey.name, ()))
+
+    return store_tables(spark, cleaned, {n: cleaner(s) for n, s in surveys.items()}, made_from)
 
 
 def stored(spark: SparkSession, cleaned: str, names: Iterable[str]) -> dict[str, Callable[[], DataFrame]]:
-    """Openers of the cleaned tables; a table is only looked at when it is opened."""
-    return {n: lambda n=n: spark.read.parquet(f"{cleaned}/{n}") for n in names}
+    """Openers of the cleaned tables in their latest whole versions; a table is only looked at when it is opened."""
+    return open_tables(spark, cleaned, names)
