@@ -326,6 +326,6 @@ def prefix_trie(conversations: DataFrame, limit: int = LIMIT) -> DataFrame:
     above = named.select(F.col("node").alias("head"), F.col("conv_id").alias("above"))
     whole = named.join(sums, "node").join(ends, "node", "left").fillna(hashlib.sha256().hexdigest(), ["ends_sha256"])
     whole = whole.join(above, F.col("parent") == F.col("head"), "left").withColumn("parent_conv_id", F.col("above"))
-    known = spread_join(contained, above, ["head"]).withColumn("parent_conv_id", F.coalesce("parent_conv_id", "above"))
+    below_heads = spread_join(tops, above, ["head"]).withColumn("parent_conv_id", F.col("above"))
     columns = [part.split()[0] for part in NODE.split(", ")]
-    return whole.select(*columns).unionByName(known.select(*columns))
+    return whole.select(*columns).unionByName(below_heads.select(*columns)).unionByName(contained.where("head IS NULL").select(*columns))
