@@ -4,9 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.core import VIEWS, query
 from tidemerge.plans.integrate import integrate
-from tidemerge.plans.publish import published
 from tidemerge.operators import quality
-from tidemerge.sources.vocabulary import CANONICAL, PUBLISHED
 
 VIEWS["trawl"] = """
 SELECT 'Trawl' AS Source, CAST(o_custkey AS STRING) AS Station, CAST(o_orderdate AS DATE) AS Date,
@@ -71,12 +69,12 @@ MADE = salinity_steps(UNION, {"Conductivity": "made", "Conductivity_bottom": "ma
 SELECT "Source", "Station", "Date", "Datetime", "Depth", "Conductivity", "Conductivity_bottom", "Temperature",
   "Tide", coalesce("Field_coords", FALSE) AS "Field_coords", "Notes", "Chlorophyll", "Chlorophyll_Sign", {CALENDAR},
   round(coalesce("Salinity", made), 6) AS "Salinity", round(made_bottom, 6) AS "Salinity_bottom"
-FROM {MADE} WHERE year("Date") BETWEEN 0 AND 2100
+FROM {MADE} WHERE year("Date") BETWEEN 0 AND 9999
 """)
 def integrate_surveys(profile, trawl, lab):
     """Union of ragged sources, calendar keys, coordinates flag, salinity from conductivity."""
     tables = {"Profile": profile, "Trawl": trawl, "Lab": lab}
-    whole = integrate(tables, KNOWN, end_year=2100, known=KNOWN)
+    whole = integrate(tables, KNOWN, end_year=9999, known=KNOWN)
     return whole.withColumns({c: F.round(c, 6) for c in ("Salinity", "Salinity_bottom")})
 
 
@@ -99,42 +97,13 @@ FROM (SELECT *, coalesce("Salinity", made) AS "Salinity_filled", {CALENDAR} FROM
 """)
 def integrate_summary(profile, trawl, lab):
     """What each source brings to the integrated table."""
-    whole = integrate({"Profile": profile, "Trawl": trawl, "Lab": lab}, KNOWN, end_year=2100, known=KNOWN)
+    whole = integrate({"Profile": profile, "Trawl": trawl, "Lab": lab}, KNOWN, end_year=9999, known=KNOWN)
     return whole.groupBy("Source").agg(
         F.count(F.lit(1)).alias("n"), F.count("Salinity").alias("with_salinity"), F.count("Notes").alias("with_notes"),
         F.min("Date").alias("first_day"), F.max("StationID").alias("last_station"),
     )
 
 
-SQL_TYPES = {
-    "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "int": "INTEGER", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
-}
-PUBLISHED_SQL = {
-    "Station": """concat(coalesce("Source", 'NA'), ' ', coalesce("Station", 'NA'))""",
-    "Date": """strftime("Date", '%Y-%m-%d')""",
-    "Datetime": """strftime("Datetime", '%Y-%m-%d %H:%M:%S')""",
-    "Notes": """replace("Notes", '"', '''')""",
-    "Field_coords": 'coalesce("Field_coords", FALSE)',
-    "Salinity": 'round(coalesce("Salinity", made), 6)',
-    "Salinity_bottom": "round(made_bottom, 6)",
-    **{c: f'"{c}"' for c in (
-        "Source", "Depth", "Conductivity", "Conductivity_bottom", "Temperature", "Tide", "Chlorophyll", "Chlorophyll_Sign",
-    )},
-}
-
-
-def published_sql(name: str) -> str:
-    return PUBLISHED_SQL.get(name, f"CAST(NULL AS {SQL_TYPES[CANONICAL[name].simpleString()]})") + f' AS "{name}"'
-
-
-@query("profile", "trawl", "lab", sql=f"""
-SELECT {', '.join(map(published_sql, PUBLISHED))} FROM {MADE} WHERE year("Date") BETWEEN 0 AND 2100
-""")
-def published_table(profile, trawl, lab):
-    """All published columns of the integrated table."""
-    return published(integrate_surveys(profile, trawl, lab))
-
-
 @query("profile", "trawl", "lab", sql="""
 SELECT "Source", "Station", "Date", "Datetime", count(*) AS n FROM (
   SELECT "Source", "Station", "Date", "Datetime" FROM profile UNION ALL
@@ -142,5 +111,5 @@ SELECT "Source", "Station", "Date", "Datetime", count(*) AS n FROM (
   SELECT "Source", "Station", "Date", "Datetime" FROM lab) WHERE "Date" IS NOT NULL GROUP BY ALL HAVING count(*) > 1
 """)
 def integrated_duplicates(profile, trawl, lab):
-    whole = integrate({"Profile": profile, "Trawl": trawl, "Lab": lab}, KNOWN, end_year=2100, known=KNOWN)
+    whole = integrate({"Profile": profile, "Trawl": trawl, "Lab": lab}, KNOWN, end_year=9999, known=KNOWN)
     return quality.not_unique(whole, ["Source", "Station", "Date", "Datetime"])
