@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from catalog.core import query
+from catalog.core import VIEWS, query
 from tidemerge.functions import clock, nulls
-from tidemerge.operators import dedup, depth, joins, reshape
+from tidemerge.operators import dedup, depth, joins, merge, reshape
 from tidemerge.operators.spread import attach_group
 
 ALL = "sample, station, gear, tow, depth, measure, rate, share, flag, status, time"
@@ -123,26 +123,34 @@ def collapse_visits_mode(readings):
     return joins.merge_unique([means, modal], visit).filter(F.col("modal_analyte").isNotNull()).withColumnRenamed("maybe_station", "station")
 
 
-@query("readings", sql="""
+VIEWS["field_log"] = """
+SELECT station, date_trunc('hour', time) AS time, code AS sample, analyte, maybe_result AS value,
+       CASE WHEN code % 4 = 0 THEN NULL ELSE day END AS day, code AS _row FROM {readings}
+"""
+VIEWS["lab_log"] = """
+SELECT station, date_trunc('hour', time) AS time, CASE WHEN code % 3 = 0 THEN code ELSE code + 1000000000 END AS sample,
+       analyte, CASE WHEN code % 5 = 0 THEN result + 1 ELSE result END AS value, day, code AS _row FROM {readings}
+"""
+
+
+@query("field_log", "lab_log", sql="""
 WITH both_feeds AS (
-  SELECT DISTINCT station, hour_, analyte, value, code FROM (
-    SELECT station, date_trunc('hour', time) AS hour_, analyte, maybe_result AS value, code FROM readings
-    UNION ALL SELECT station, date_trunc('hour', time), analyte, result, code FROM readings WHERE code % 3 = 0)),
-known AS (SELECT * FROM both_feeds
-          QUALIFY row_number() OVER (PARTITION BY station, hour_, code ORDER BY value NULLS LAST) = 1)
-SELECT station, hour_ AS time, round(avg(value), 6) AS value, count(*) AS n FROM known GROUP BY station, hour_
+  SELECT station, time, sample, analyte, value, day, min((feed, _row)) AS place FROM (
+    SELECT 0 AS feed, * FROM field_log UNION ALL SELECT 1, * FROM lab_log) GROUP BY ALL),
+samples AS (
+  SELECT *, count(*) OVER s AS n FROM both_feeds WINDOW s AS (PARTITION BY station, time, sample)
+  QUALIFY row_number() OVER (PARTITION BY station, time, sample ORDER BY value IS NULL, place) = 1)
+SELECT station, time, round(avg(value), 6) AS value, max(sample) AS sample, sum(n)::BIGINT AS n,
+       arg_min(analyte, (value IS NULL, place)) AS analyte, min(day) AS day
+FROM samples GROUP BY station, time
 """)
-def conflict_merge(readings):
-    """Two feeds of the same samples: known values first, then the mean per visit."""
-    hour = F.date_trunc("hour", "time").cast("timestamp_ntz")
-    base = readings.select("station", hour.alias("time"), "analyte", "code", "result", "maybe_result")
-    first = base.drop("result").withColumnRenamed("maybe_result", "value")
-    second = base.filter("code % 3 = 0").drop("maybe_result").withColumnRenamed("result", "value")
-    both = reshape.stack([first, second]).distinct()
-    known = dedup.keep_first(both, ["station", "time", "code"], [F.col("value").asc_nulls_last()])
-    return known.groupBy("station", "time").agg(
-        F.round(F.avg("value"), 6).alias("value"), F.count(F.lit(1)).alias("n")
-    )
+def conflict_merge(field_log, lab_log):
+    """Two feeds of partly the same samples: known values first, then the mean per visit. All records of both."""
+    feeds = [f.withColumn("time", F.col("time").cast("timestamp_ntz")) for f in (field_log, lab_log)]
+    known_first = [F.col("value").isNull()]
+    rules = {"value": merge.mean, "sample": merge.largest, "day": merge.smallest}
+    merged = merge.merge_feeds(feeds, ["station", "time"], rules, alike=[merge.Alike(["sample"], known_first)], first=known_first)
+    return merged.select("station", "time", F.round("value", 6).alias("value"), "sample", F.col(merge.RECORDS).alias("n"), "analyte", "day")
 
 
 @query("gappy_tows", sql="""

@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.core import query
-from tidemerge.operators import depth, reshape
-from tidemerge.operators.joins import merge_unique
+from tidemerge.operators import reshape
 
 KINDS = ["click", "view", "purchase", "error", "signup"]
 
@@ -61,26 +60,36 @@ def unpivot_drop_null(tows):
 
 
 @query("gappy_tows", sql="""
-WITH water AS (SELECT station, day, max(depth) FILTER (tow = 1) AS depth_top, max(depth) FILTER (tow = 2) AS depth_bottom,
-                      max(measure) FILTER (tow = 1) AS measure_top, max(measure) FILTER (tow = 2) AS measure_bottom
-               FROM gappy_tows WHERE tow <= 2 GROUP BY ALL),
-     nutrient AS (SELECT station, day, max(share) AS share FROM gappy_tows WHERE tow = 3 GROUP BY ALL)
-SELECT coalesce(w.station, n.station) AS station, coalesce(w.day, n.day) AS day,
-       depth_top, depth_bottom, measure_top, measure_bottom, share
+WITH water AS (SELECT station, day, avg(depth) FILTER (tow % 3 = 1) AS depth_top, avg(depth) FILTER (tow % 3 = 2) AS depth_bottom,
+                      max(measure) FILTER (tow % 3 = 1 AND status = 'F') AS f_top, max(measure) FILTER (tow % 3 = 1 AND status = 'O') AS o_top,
+                      max(measure) FILTER (tow % 3 = 2 AND status = 'F') AS f_bottom, max(measure) FILTER (tow % 3 = 2 AND status = 'O') AS o_bottom
+               FROM gappy_tows WHERE tow % 3 IN (1, 2) GROUP BY ALL),
+     nutrient AS (SELECT station, day, min(depth) AS depth_nutrient, min(share) FILTER (flag = 'A') * 14.007 AS a, min(share) FILTER (flag = 'N') AS n,
+                         min(share) FILTER (flag = 'R') AS r
+                  FROM gappy_tows WHERE tow % 3 = 0 GROUP BY ALL)
+SELECT coalesce(w.station, n.station) AS station, coalesce(w.day, n.day) AS day, round(depth_top, 6) AS depth_top,
+       round(depth_bottom, 6) AS depth_bottom, f_top, o_top, f_bottom, o_bottom, depth_nutrient, round(a, 6) AS a, n, r,
+       c.tows, c.last_time
 FROM water w FULL JOIN nutrient n ON w.station = n.station AND w.day = n.day
+JOIN (SELECT station, day, count(*) AS tows, max(time) AS last_time FROM gappy_tows GROUP BY ALL) c
+  ON coalesce(w.station, n.station) = c.station AND coalesce(w.day, n.day) = c.day
 """)
 def split_event_nutrient(tows):
-    """Water and nutrient samples of a station-day pivoted apart and joined back."""
-    code = F.when(F.col("tow") == 1, "top").when(F.col("tow") == 2, "bottom")
-    firsts = tows.groupBy("station", "day", code.alias(depth.BIN)).agg(
-        F.max("depth").alias("depth"), F.max("measure").alias("measure")
+    """Water and nutrient samples of a station-day pivoted apart, by their own names and rules, and joined back. All tows."""
+    def water(tow, template, depth):
+        return reshape.Part(
+            F.col("tow") % 3 == tow, "kind", ["f", "o"], {template: "measure"}, ids={depth: lambda mine: F.round(F.avg(mine("depth")), 6)}
+        )
+
+    nutrient = reshape.Part(
+        F.col("tow") % 3 == 0, "species", ["a", "n", "r"], {"{name}": "share"}, rule=F.min,
+        ids={"depth_nutrient": lambda mine: F.min(mine("depth"))}, after={"a": lambda c: F.round(c * 14.007, 6)},
     )
-    water = reshape.long_to_wide(
-        firsts.filter(F.col(depth.BIN).isNotNull()), ["station", "day"], depth.BIN, ["top", "bottom"],
-        {"depth": "depth_{name}", "measure": "measure_{name}"}, order=F.col(depth.BIN),
+    named = tows.withColumns({"kind": F.lower("status"), "species": F.lower("flag")})
+    return reshape.pivot_parts(
+        named, ["station", "day"], [water(1, "{name}_top", "depth_top"), water(2, "{name}_bottom", "depth_bottom"), nutrient],
+        tows=F.count(F.lit(1)), last_time=F.max("time"),
     )
-    nutrient = tows.filter("tow = 3").groupBy("station", "day").agg(F.max("share").alias("share"))
-    return merge_unique([water, nutrient], ["station", "day"])
 
 
 @query("events", sql="""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from tidemerge.functions.nulls import strict_min
-from tidemerge.operators import audit, dedup, depth, joins, quality, repair, reshape
+from tidemerge.operators import audit, dedup, depth, joins, merge, quality, repair, reshape
 from tidemerge.operators.spread import attach_group, full_join, null_safe_join, spread_join
 
 HOT = pytest.mark.parametrize("hot_rows", [1, 3, 10_000])
@@ -292,3 +292,59 @@ class TestQuality:
         df = spark.createDataFrame([("=", 1.0)], "DOC_Sign string, DOC double")
         assert quality.column_inventory({"x": df}) == [("x", "DOC_Sign", "string", True), ("x", "DOC", "double", False)]
         assert quality.documented_difference(df, ["DOC", "TOC"]) == {"missing": ["TOC"], "undocumented": ["DOC_Sign"]}
+
+
+class TestMerge:
+    FEEDS = "station string, time int, sample int, tide string, water double, rank double, note string"
+
+    @staticmethod
+    def plain(feeds):
+        """The rules of ``merged`` below, record by record."""
+        records, visits = {}, {}
+        for f, feed in enumerate(feeds):
+            for i, r in enumerate(feed):
+                records.setdefault(r, (f, i))
+        for record in sorted(records, key=records.get):
+            visits.setdefault(record[:2], []).append(record)
+        none_last = lambda v: (v is None, v or 0)
+        out = []
+        for key, mine in visits.items():
+            n = len(mine)
+            by_sample = {}
+            for r in sorted(mine, key=lambda r: (none_last(r[5]), records[r])):
+                by_sample.setdefault((r[2], r[4]), r)
+            left = sorted(by_sample.values(), key=lambda r: (none_last(r[5]), records[r]))
+            known = [r[4] for r in left if r[4] is not None]
+            water = sum(known) / len(known) if known else None
+            out.append((*key, left[0][2], left[0][3], None if water is None else float(round(water)) if n > 1 else water, left[0][5], left[0][6], n))
+        return out
+
+    @pytest.mark.parametrize("seed", range(3))
+    def test_feeds_in_conflict(self, spark, seed):
+        rng = random.Random(seed)
+
+        def record():
+            hot = rng.random() < 0.4  # one visit holds a large share of all records
+            return ("hot" if hot else rng.choice(["a", "b", None]), 0 if hot else rng.randrange(3), rng.randrange(3), rng.choice(["Ebb", None]),
+                    rng.choice([1.0, 2.0, 2.5, None]), rng.choice([1.0, 2.0, None, None]), rng.choice(["x", "y", None]))
+
+        feeds = [[record() for _ in range(n)] for n in (40, 60, 5)]
+        frames = [spark.createDataFrame([(*r, i) for i, r in enumerate(f)], self.FEEDS + ", _row long").repartition(3) for f in feeds]
+        known = [F.col("rank").isNull(), F.col("rank")]
+        got = merge.merge_feeds(frames, ["station", "time"], {"water": merge.whole_mean}, alike=[merge.Alike(["sample", "water"], known)], first=known)
+        assert rows(got) == rows(spark.createDataFrame(self.plain(feeds), self.FEEDS + ", n long"))
+
+    def test_feeds_without_records(self, spark):
+        empty = spark.createDataFrame([], "k int, v double")
+        assert merge.merge_feeds([empty, empty], ["k"], {"v": merge.mean}).collect() == []
+
+    def test_parts_are_one_aggregation(self, spark):
+        data = [("a", 1, "top", "t", 2.0, 1.0), ("a", 1, "top", "s", 3.0, 1.0), ("a", 1, "nut", "n", 5.0, 4.0), ("b", 1, "nut", "n", 7.0, 2.0),
+                ("c", None, "top", "t", None, 3.0), ("d", 2, "none", "t", 1.0, 1.0)]
+        long = spark.createDataFrame(data, "s string, d int, bin string, p string, v double, z double")
+        parts = [reshape.Part(F.col("bin") == "top", "p", ["t", "s"], {"{name}_top": "v"}, ids={"z_top": lambda mine: F.avg(mine("z"))}),
+                 reshape.Part(F.col("bin") == "nut", "p", ["n"], {"{name}": "v"}, rule=F.min, ids={"z_nut": lambda mine: F.max(mine("z"))}, after={"n": lambda c: c * 2})]
+        wide = reshape.pivot_parts(long, ["s", "d"], parts, rows=F.count(F.lit(1)))
+        assert wide.columns == ["s", "d", "rows", "z_top", "t_top", "s_top", "z_nut", "n"]
+        assert rows(wide) == [("a", 1, 3, 1.0, 2.0, 3.0, 4.0, 10.0), ("b", 1, 1, None, None, None, 2.0, 14.0), ("c", None, 1, 3.0, None, None, None, None)]
+        assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1

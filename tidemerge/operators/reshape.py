@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +55,47 @@ def long_to_wide(
     return wide.select(*ids, *columns)
 
 
+@dataclass(frozen=True)
+class Part:
+    """One of several wide tables made from a long one.
+
+    ``rows`` says which rows it takes. ``values`` maps a template of wide names, such as
+    ``"{name}_bottom"``, to the value column that rows whose ``name`` column holds one of
+    ``names`` bring, combined by ``rule``. ``ids`` are columns of the part itself: each is an
+    aggregate, built from ``mine``, which hides the rows of other parts. ``after`` converts
+    finished columns.
+    """
+
+    rows: Column
+    name: str | None = None
+    names: Sequence[str] = ()
+    values: Mapping[str, str] = field(default_factory=dict)
+    rule: Callable[[Column], Column] = F.max
+    ids: Mapping[str, Callable[[Callable[[str], Column]], Column]] = field(default_factory=dict)
+    after: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
+
+
+def pivot_parts(df: DataFrame, keys: Sequence[str], parts: Sequence[Part], **shared: Column) -> DataFrame:
+    """Rows of several kinds pivoted apart, each by its own names, ids and rules, and joined back on ``keys``.
+
+    A key is there if any part has rows of it; what a part lacks is NULL. ``shared`` are
+    aggregates over the rows of all parts. Everything comes from one read and one
+    aggregation, combined before its shuffle; NULL keys are one key.
+    """
+    made, after = [], {}
+    for part in parts:
+        for out, build in part.ids.items():
+            made.append(build(lambda c, part=part: F.when(part.rows, F.col(c))).alias(out))
+        for template, value in part.values.items():
+            for n in part.names:
+                one = part.rows & (F.col(part.name) == n)
+                made.append(part.rule(F.when(one, F.col(value))).alias(template.format(name=n)))
+        after.update({out: change(F.col(out)) for out, change in part.after.items()})
+    taken = reduce(lambda a, b: a | b, [F.coalesce(part.rows, F.lit(False)) for part in parts])
+    wide = df.filter(taken).groupBy(*keys).agg(*[c.alias(n) for n, c in shared.items()], *made)
+    return wide.withColumns(after)
+
+
 def wide_to_long(
     df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "Parameter", value: str = "Value"
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from tidemerge.functions.units import MOLAR_MASS_N, MOLAR_MASS_P, MOLAR_MASS_SIO
 from tidemerge.operators.depth import BIN, bin_by_parameter
 from tidemerge.operators.dedup import ROW
 from tidemerge.operators.joins import lookup
-from tidemerge.operators.reshape import pick_header, stack, wide_to_long
+from tidemerge.operators.reshape import Part, pick_header, pivot_parts, stack, wide_to_long
 from tidemerge.sources.registry import Feeds
 
 # Measured parameters, molar masses, depth limits in metres.
@@ -123,22 +123,23 @@ def clean(feeds: Feeds, hot_rows: int | None = None) -> DataFrame:
     samples = first_of_day(binned)
     when = micros(F.col("Datetime"))
 
-    def depth(of_bin):
-        mine = F.col(BIN) == of_bin
-        return F.try_divide(F.sum(F.when(mine, F.col("_depth"))), F.sum(F.when(mine, F.col("_n"))))
-
-    def value(parameter, of_bin):
-        return F.max(F.when((F.col("Parameter") == parameter) & (F.col(BIN) == of_bin), F.col("Value")))
+    def part(of_bin: str, depth: str, names: Sequence[str], template: str, after: Mapping[str, Callable[[Column], Column]] | None = None) -> Part:
+        """Samples of one bin, with the mean depth of the rows that went into them."""
+        return Part(
+            F.col(BIN) == of_bin, "Parameter", names, {template: "Value"},
+            ids={depth: lambda mine: F.try_divide(F.sum(mine("_depth")), F.sum(mine("_n")))}, after=after or {},
+        )
 
     timed = F.when(F.count("Datetime") == F.count(F.lit(1)), exact_sum(when * F.col("_n")))
-    wide = samples.groupBy(*DAY).agg(
-        from_micros(whole_ratio(timed, F.sum("_n"))).alias("Datetime"),
-        depth("surface").alias("Sample_depth_surface"),
-        depth("bottom").alias("Sample_depth_bottom"),
-        depth("nutrient").alias("Sample_depth_nutr_surface"),
-        *[value(p, "surface").alias(p) for p in WATER],
-        *[value(p, "bottom").alias(f"{p}_bottom") for p in WATER if p != "Chlorophyll"],
-        *[micromolar_to_mg_per_l(value(p, "nutrient"), mass).alias(p) for p, mass in NUTRIENTS.items()],
+    in_mg_per_l = {p: lambda c, mass=mass: micromolar_to_mg_per_l(c, mass) for p, mass in NUTRIENTS.items()}
+    wide = pivot_parts(
+        samples, DAY,
+        [
+            part("surface", "Sample_depth_surface", WATER, "{name}"),
+            part("bottom", "Sample_depth_bottom", [p for p in WATER if p != "Chlorophyll"], "{name}_bottom"),
+            part("nutrient", "Sample_depth_nutr_surface", list(NUTRIENTS), "{name}", in_mg_per_l),
+        ],
+        Datetime=from_micros(whole_ratio(timed, F.sum("_n"))),
     )
     return lookup(wide, feeds["stations"].drop(ROW), ["Station"]).select(
         F.lit("USGS_SFBS").alias("Source"), "Station", "Latitude", "Longitude", "Date", "Datetime",

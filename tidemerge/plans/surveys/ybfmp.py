@@ -11,7 +11,7 @@ from tidemerge.functions.text import recode
 from tidemerge.functions.units import metres_to_centimetres, specific_conductance
 from tidemerge.operators.dedup import ROW
 from tidemerge.operators.joins import lookup
-from tidemerge.operators.reshape import stack
+from tidemerge.operators.merge import Alike, mean, merge_feeds, whole_mean
 from tidemerge.sources.registry import Feeds
 
 _STATIONS = {"StationCode": "string", "Latitude": "double", "Longitude": "double"}
@@ -103,30 +103,13 @@ def _fish(fish: DataFrame) -> DataFrame:
     return fish
 
 
-def _merge_visits(both: DataFrame) -> DataFrame:
-    """One row per visit: known Microcystis first, then the mean of what the feeds still differ in.
-
-    Three aggregations from fine to coarse; a visit recorded once passes through.
-    """
-    records = both.groupBy(*BUT_NOTES).agg(
-        F.count(F.lit(1)).alias("_n"), F.min_by("Notes", ROW).alias("Notes"), F.min(ROW).alias(ROW)
-    )
-    kept = F.struct("Date", "Microcystis", "Notes", ROW)
-    known_first = F.struct(F.col("Microcystis").isNull().alias("missing"), "Microcystis", ROW)
-    same_water = records.groupBy("Station", "Datetime", "Tide", *WATER).agg(
-        F.sum("_n").alias("_n"), F.min_by(kept, known_first).alias("_kept"), F.min(known_first).alias("_rank")
-    )
-    visits = same_water.groupBy(*VISIT).agg(
-        F.sum("_n").alias("_n"),
-        *[F.avg(c).alias(c) for c in WATER],
-        F.min_by(F.struct("_kept", "Tide"), F.col("_rank")).alias("_first"),
-    )
-    secchi = F.when(F.col("_n") > 1, F.bround("Secchi")).otherwise(F.col("Secchi"))
-    return visits.select(
-        *VISIT,
-        F.col("_first.Tide").alias("Tide"),
-        *[F.col(f"_first._kept.{c}").alias(c) for c in ("Date", "Microcystis", "Notes")],
-        *[(secchi if c == "Secchi" else F.col(c)).alias(c) for c in WATER],
+def _merge_visits(zoop: DataFrame, fish: DataFrame) -> DataFrame:
+    """One row per visit: known Microcystis first, then the mean of what the feeds still differ in."""
+    known_first = [F.col("Microcystis").isNull(), F.col("Microcystis")]
+    same_water = [c for c in BUT_NOTES if c not in ("Date", "Microcystis")]
+    return merge_feeds(
+        [zoop, fish], VISIT, {c: whole_mean if c == "Secchi" else mean for c in WATER},
+        alike=[Alike(BUT_NOTES), Alike(same_water, known_first)], first=known_first,
     )
 
 
@@ -139,8 +122,7 @@ def clean(feeds: Feeds) -> DataFrame:
         feeds["fish"], parse_date(F.col("SampleDate"), "M/d/yyyy"), parse(F.col("Datetime"), "M/d/yyyy H:mm"),
         "WaterTemp", "SpecificConductance", "MicrocystisRank",
     )
-    both = _distinct(stack([zoop, _fish(fish)]))
-    visits = _merge_visits(both)
+    visits = _merge_visits(zoop, _fish(fish))
     stations = feeds["zoop_stations"].drop(ROW).unionByName(feeds["fish_stations"].drop(ROW)).distinct()
     return lookup(visits, stations.withColumnRenamed("StationCode", "Station"), ["Station"]).select(
         F.lit("YBFMP").alias("Source"), "Station", "Latitude", "Longitude", "Date", "Datetime", "Tide", "Microcystis",
