@@ -75,13 +75,26 @@ QUALIFY row_number() OVER (PARTITION BY sample, tow ORDER BY {ALL}) = 1
 """)
 def split_repair_union(tows):
     """Repeated tows lose the returned ones and keep the first; single tows stay."""
-    def repair(rows):
-        return dedup.keep_first(rows.filter("flag <> 'R'"), ["sample", "tow"], ORDER)
-
-    fixed = dedup.split_repair(tows, ["sample", "tow"], repair)
+    fixed = dedup.repair_repeated(tows, ["sample", "tow"], F.col("flag") != "R", ORDER)
     return fixed.select("sample", "tow", "station", "gear", "measure")
 
 
+@query("gappy_tows", sql=f"""
+SELECT station, day, tow, gear, n.mean_depth AS depth, n.n_measures AS measure FROM (
+  SELECT *, count(*) OVER w AS n_all, avg(depth) OVER kept AS mean_kept, max(measure) OVER kept AS most
+  FROM gappy_tows WINDOW w AS (PARTITION BY station, day), kept AS (PARTITION BY station, day, flag <> 'R')) t,
+  LATERAL (SELECT CASE WHEN n_all = 1 THEN depth ELSE round(mean_kept, 6) END AS mean_depth, CASE WHEN n_all = 1 THEN measure ELSE most END AS n_measures) n
+WHERE n_all = 1 OR flag <> 'R'
+QUALIFY row_number() OVER (PARTITION BY station, day ORDER BY sample, tow, gear) = 1
+""")
+def repair_by_mean(tows):
+    """Station-days of several tows lose the returned ones; of the rest the first stays, with their mean depth and largest measure."""
+    fixed = dedup.repair_repeated(
+        tows, ["station", "day"], F.col("flag") != "R", ["sample", "tow", "gear"], {"depth": lambda c: F.round(F.avg(c), 6), "measure": F.max}
+    )
+    return fixed.select("station", "day", "tow", "gear", "depth", "measure")
+
+
 @query("lab_text", sql="""
 SELECT station, day, analyte, code, notes FROM (
   SELECT *, count(*) OVER (PARTITION BY station, day, analyte) AS n FROM lab_text)

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from tidemerge.functions.nulls import strict_min
 from tidemerge.operators import audit, dedup, depth, joins, merge, quality, repair, reshape
-from tidemerge.operators.spread import attach_group, full_join, null_safe_join, spread_join
+from tidemerge.operators.spread import attach_group, full_join, grid_join, null_safe_join, spread_join
 
 HOT = pytest.mark.parametrize("hot_rows", [1, 3, 10_000])
 
@@ -348,3 +349,80 @@ class TestMerge:
         assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
         assert wide.columns == ["s", "d", "rows", "z_top", "t_top", "s_top", "z_nut", "n"]
         assert rows(wide) == [("a", 1, 3, 1.0, 2.0, 3.0, 4.0, 10.0), ("b", 1, 1, None, None, None, 2.0, 14.0), ("c", None, 1, 3.0, None, None, None, None)]
+
+
+class TestHotOnBothSides:
+    """One key holds half of either side."""
+
+    @pytest.fixture
+    def sides(self, spark):
+        rng = random.Random(4)
+        left = [("hot" if i % 2 else rng.choice([None, "a", "b", "left"]), i) for i in range(120)]
+        right = [("hot" if i % 2 else rng.choice([None, "a", "c", "right"]), 1000 + i) for i in range(80)]
+        left += [("lone", 500 + i) for i in range(60)]
+        return left, right, spark.createDataFrame(left, "k string, l int").repartition(3), spark.createDataFrame(right, "k string, r int").repartition(2)
+
+    @pytest.mark.parametrize("hot_rows", [1, 7, 20, 10_000])
+    def test_full_join(self, sides, hot_rows):
+        left, right, l, r = sides
+        want = [(k, a, b) for k, a in left for j, b in right if j == k]
+        want += [(k, a, None) for k, a in left if k not in {j for j, _ in right}] + [(j, None, b) for j, b in right if j not in {k for k, _ in left}]
+        assert sorted(map(tuple, full_join(l, r, ["k"], hot_rows=hot_rows).collect()), key=str) == sorted(want, key=str)
+
+    def test_full_join_reads_rows_once(self, spark, tmp_path):
+        """One join; beside it only the key columns are read, to find hot keys."""
+        for side in "lr":
+            spark.range(9).selectExpr("id AS k", f"id AS {side}").write.parquet(str(tmp_path / side))
+        l, r = (spark.read.parquet(str(tmp_path / side)) for side in "lr")
+        plan = full_join(l, r, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FullOuter") == 1
+        assert len(re.findall(r"ReadSchema: struct<k:bigint,[lr]:bigint>", plan)) == 2
+
+    @pytest.mark.parametrize("hot_rows", [1, 7, 10_000])
+    def test_grid_join(self, sides, hot_rows):
+        left, right, l, r = sides
+        want = sorted(((k, a, b) for k, a in left for j, b in right if j == k), key=str)
+        assert sorted(map(tuple, grid_join(l, r, ["k"], hot_rows=hot_rows).collect()), key=str) == want
+
+    def test_differing_values_spread_their_pairs(self, spark):
+        """300 values on either side of one key: no join partition gets much more than its share of their pairs."""
+        left = spark.range(300).selectExpr("'hot' AS k", "concat('l', id) AS v").union(spark.range(300).selectExpr("concat('k', id)", "'x'"))
+        right = spark.range(300).selectExpr("'hot' AS k", "concat('r', id) AS v").union(spark.range(300).selectExpr("concat('k', id)", "'y'"))
+        got = audit.differing_values(left, right, ["k"], "v", hot_rows=30)
+        assert got.agg(F.sum("n")).first()[0] == 300 * 300 + 300
+        settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "50"}
+        before = {s: spark.conf.get(s) for s in settings}
+        for s, v in settings.items():
+            spark.conf.set(s, v)
+        try:
+            pairs = grid_join(left, right.withColumnRenamed("v", "w"), ["k"], hot_rows=30).groupBy(F.spark_partition_id()).count().collect()
+        finally:
+            for s, v in before.items():
+                spark.conf.set(s, v)
+        assert max(p["count"] for p in pairs) < 300 * 300 / 8  # 100 cells over 50 partitions
+
+    @pytest.mark.parametrize("hot_rows", [1, 7, 10_000])
+    def test_extremes_with_many_ties(self, spark, hot_rows):
+        data = [("hot", 1, i) for i in range(60)] + [("hot", 2, i) for i in range(60, 80)] + [("gap", None, 80), ("gap", 0, 81), (None, 5, 82), (None, 4, 83)]
+        df = spark.createDataFrame(data, "k string, v int, i int").repartition(4)
+        assert sorted(r.i for r in dedup.keep_extreme(df, ["k"], "v", hot_rows=hot_rows).collect()) == [*range(60), 83]
+        assert sorted(r.i for r in dedup.keep_extreme(df, ["k"], "v", largest=True, hot_rows=hot_rows).collect()) == [*range(60, 80), 82]
+
+    def test_extremes_read_once(self, spark, tmp_path):
+        """What repeats in the plan is one shuffle that runs once."""
+        spark.range(9).selectExpr("id % 3 AS k", "id AS v").write.parquet(str(tmp_path / "t"))
+        df = dedup.keep_extreme(spark.read.parquet(str(tmp_path / "t")), ["k"], "v")
+        assert df.count() == 3
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == 1 and "ReusedExchange" in final and "WindowGroupLimit" in final
+
+    def test_repaired_repeats(self, spark):
+        data = [("one", "R", 1, 5.0), ("two", "R", 2, 1.0), ("two", "K", 3, 2.0), ("two", "K", 4, 4.0), ("gone", "R", 5, 1.0), ("gone", None, 6, 1.0), (None, "K", 7, None)]
+        df = spark.createDataFrame(data, "k string, f string, i int, v double")
+        stays = F.col("f") != "R"
+        assert rows(dedup.repair_repeated(df, ["k"], stays, ["i"])) == [("one", "R", 1, 5.0), ("two", "K", 3, 2.0), (None, "K", 7, None)]
+        assert rows(dedup.repair_repeated(df, ["k"], stays, ["i"], {"v": F.avg})) == [("one", "R", 1, 5.0), ("two", "K", 3, 3.0), (None, "K", 7, None)]
+        for values in ({}, {"v": F.avg}):
+            plan = dedup.repair_repeated(df, ["k"], stays, ["i"], values)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and plan.count("Scan ExistingRDD") == 1

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemerge.functions.text import paste
 from tidemerge.operators.dedup import duplicate_keys
-from tidemerge.operators.spread import spread_join
+from tidemerge.operators.spread import grid_join, spread_join
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -146,14 +146,17 @@ def field_equivalence(left: DataFrame, right: DataFrame, keys: Sequence[str], fi
 def differing_values(
     left: DataFrame, right: DataFrame, keys: Sequence[str], field: str, *, hot_rows: int | None = None
 ) -> DataFrame:
-    """Matched pairs whose field differs, per pair of values; records are counted before they meet."""
+    """Matched pairs whose field differs, per pair of values; records are counted before they meet.
+
+    A key with many values on either side is split on both, so its pairs meet in many tasks.
+    """
     l = left.filter(F.col(field).isNotNull()).groupBy(*keys, F.col(field).alias("left_value")).agg(
         F.count(F.lit(1)).alias("_l")
     )
     r = right.filter(F.col(field).isNotNull()).groupBy(*keys, F.col(field).alias("right_value")).agg(
         F.count(F.lit(1)).alias("_r")
     )
-    met = spread_join(l, r, keys, "inner", spread_by=["left_value"], hot_rows=hot_rows)
+    met = grid_join(l, r, keys, hot_rows=hot_rows)
     return met.filter("left_value <> right_value").groupBy("left_value", "right_value").agg(
         F.sum(F.col("_l") * F.col("_r")).alias("n")
     )

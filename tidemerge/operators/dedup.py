@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemerge.functions.nulls import strict_max, strict_min
-from tidemerge.operators.spread import attach_group
+from tidemerge.operators.spread import attach_group, row_hash
 
 ROW = "_row"
 
@@ -23,6 +23,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence | None = None
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+#: Shares over which the candidates of one key are spread while they are ranked.
+SHARES = 64
+
+
 def keep_extreme(
     df: DataFrame, keys: Sequence[str], *columns: str, largest: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
@@ -30,23 +34,28 @@ def keep_extreme(
 
     A group with a missing value among its candidates has no extreme and is
     dropped whole. Several columns compare one after the other.
+
+    Rows are ranked within shares of their key. The rank filter is pushed below the
+    shuffle, so a map task sends the rows at its own extreme only, and ties of a key that
+    makes up a large part of the table stay spread. The extreme of the key is taken from
+    these few; where they are many all the same, ``attach_group`` keeps them apart.
     """
+    if largest and len(columns) > 1:
+        raise ValueError("several columns are only compared for the smallest")
+    order = [F.col(c).desc_nulls_first() if largest else F.col(c).asc_nulls_first() for c in columns]
+    near = df.withColumn("_share", F.pmod(row_hash(df), SHARES))
+    near = near.withColumn("_rank", F.rank().over(Window.partitionBy(*keys, "_share").orderBy(*order)))
+    near = near.filter("_rank = 1").drop("_rank", "_share")
     if len(columns) == 1:
         col = F.col(columns[0])
         best = strict_max(col) if largest else strict_min(col)
-        return (
-            attach_group(df, keys, hot_rows=hot_rows, _best=best)
-            .filter(col == F.col("_best"))
-            .drop("_best")
-        )
-    if largest:
-        raise ValueError("several columns are only compared for the smallest")
+        return attach_group(near, keys, hot_rows=hot_rows, _best=best).filter(col == F.col("_best")).drop("_best")
     key = F.struct(*columns)
     known = F.lit(True)
     for c in columns:
         known = known & F.col(f"_best.{c}").isNotNull()
     return (
-        attach_group(df, keys, hot_rows=hot_rows, _best=F.min(key))
+        attach_group(near, keys, hot_rows=hot_rows, _best=F.min(key))
         .filter(key.eqNullSafe(F.col("_best")) & known)
         .drop("_best")
     )
@@ -73,7 +82,10 @@ def split_repair(
     *,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Set the duplicated keys aside, repair them, and put them back with the rest."""
+    """Set the duplicated keys aside, repair them by any plan, and put them back with the rest.
+
+    Both branches read ``df``. Where the repair leaves one row per key, ``repair_repeated`` reads it once.
+    """
     sized = group_size(df, keys, "_size", hot_rows=hot_rows)
     single = sized.filter("_size = 1").drop("_size")
     return single.unionByName(repair(sized.filter("_size > 1").drop("_size")))
@@ -94,6 +106,35 @@ def resolve_replicates(
     return top.filter("_rank = 1 AND (_single OR NOT _rejected)").drop("_rank", "_single", "_rejected")
 
 
+def repair_repeated(
+    df: DataFrame, keys: Sequence[str], stays: Column, order: Sequence, values: Mapping[str, Callable[[Column], Column]] | None = None
+) -> DataFrame:
+    """One row per key: single rows stay as they are, of repeated ones those that fail ``stays`` leave.
+
+    Of what is left the first row in ``order`` stays. ``values`` names columns that are then
+    combined from all rows left, such as their mean. A key whose rows all leave is gone.
+
+    One read and one shuffle. Without ``values`` two rows per key leave a map task at most,
+    with them one.
+    """
+    stays = F.coalesce(stays, F.lit(False))
+    if not values:
+        return resolve_replicates(df, keys, ~stays, order)
+    rank = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
+    rest = [c for c in df.columns if c not in keys]
+    whole = F.struct(*[F.col(f"`{c}`") for c in rest])
+    found = df.withColumn("_stays", stays).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min_by(whole, rank).alias("_any"),
+        F.min_by(F.when(F.col("_stays"), whole), F.when(F.col("_stays"), rank)).alias("_left"),
+        *[combine(F.when(F.col("_stays"), F.col(c))).alias(f"_of_{c}") for c, combine in values.items()],
+    )
+    single = F.col("_n") == 1
+    kept = found.filter(single | F.col("_left").isNotNull())
+    columns = {c: F.when(single, F.col(f"_any.{c}")).otherwise(F.col(f"_of_{c}" if c in values else f"_left.{c}")) for c in rest}
+    return kept.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
 def modal_value(df: DataFrame, keys: Sequence[str], column: str, order: Column, name: str | None = None) -> DataFrame:
     """Most frequent non-NULL value per key; of equally frequent ones the first seen."""
     counted = (

@@ -1,14 +1,15 @@
 """Group values and joins that survive a key holding a large share of all rows.
 
-Both operators find the keys with more than ``hot_rows`` rows by a partial
+All operators here find the keys with more than ``hot_rows`` rows by a partial
 aggregation. The ``HOT_KEYS`` largest of them are broadcast, a list of bounded
 size however large the table is, and their rows are spread over several join
 partitions instead of landing in one. Any key beyond these has less than
 ``1 / HOT_KEYS`` of all rows and joins like the others, so the bound changes the
 way of some rows, never the result.
 
-The spreading number comes from the partition a row is read in, and optionally
-from further columns. Both are the same when a lost task runs again.
+The spreading number is a hash of the partition a row is read in and of the row itself,
+so rows of one key are spread even where they lie in one partition already. Both are the
+same when a lost task runs again, in whatever order its rows come then.
 """
 
 from __future__ import annotations
@@ -53,8 +54,14 @@ def largest(counts: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return counts.filter(F.col(_ROWS) > hot_rows).orderBy(F.desc(_ROWS), *[F.col(k) for k in keys]).limit(HOT_KEYS)
 
 
-def _spread_number(copies: Column, spread_by: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in spread_by]), copies)
+def row_hash(df: DataFrame, columns: Sequence[str] = ()) -> Column:
+    """A hash of the partition a row is read in and of ``columns``, by default all that the row holds, maps aside."""
+    columns = columns or [c for c, t in df.dtypes if "map<" not in t and t != "variant"]
+    return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in columns])
+
+
+def _spread_number(copies: Column, df: DataFrame, columns: Sequence[str] = ()) -> Column:
+    return F.pmod(row_hash(df, columns), copies)
 
 
 def spread_join(
@@ -69,7 +76,8 @@ def spread_join(
 ) -> DataFrame:
     """Null-safe join of two large tables (left, inner, left_semi or left_anti).
 
-    Only the right rows of hot keys are repeated, once per share of that key.
+    Only the right rows of hot keys are repeated, once per share of that key. Rows are
+    dealt by ``spread_by``, columns that tell them apart, or by all they hold.
     ``counted`` may name a table with the same key columns that holds no fewer
     rows per key than ``left`` and is cheaper to count, such as the raw feed.
     """
@@ -82,7 +90,7 @@ def spread_join(
     hot = largest(counts, names, hot_rows).select(*names, F.ceil(F.col(_ROWS) / hot_rows).alias(_COPIES))
     spread = null_safe_join(left, F.broadcast(hot), names).withColumn(
         _SALT,
-        F.when(F.col(_COPIES).isNull(), 0).otherwise(_spread_number(F.col(_COPIES), spread_by)),
+        F.when(F.col(_COPIES).isNull(), 0).otherwise(_spread_number(F.col(_COPIES), left, spread_by)),
     )
     repeated = null_safe_join(right, F.broadcast(hot), [(r, l) for l, r in pairs]).withColumn(
         _SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(_COPIES), F.lit(1)) - 1))
@@ -92,11 +100,84 @@ def spread_join(
     ).drop(_SALT)
 
 
+def _two_sided(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], hot_rows: int) -> DataFrame:
+    """The largest keys by rows of both sides together, with the shares that each side is split into; from the key columns alone."""
+    names = [l for l, _ in pairs]
+    sides = left.select(*names, F.lit(1).alias("_side")).unionByName(
+        right.select(*[F.col(r).alias(l) for l, r in pairs], F.lit(2).alias("_side"))
+    )
+    counts = sides.groupBy(*names).agg(
+        F.count_if(F.col("_side") == 1).alias("_left_rows"), F.count_if(F.col("_side") == 2).alias("_right_rows"),
+        F.count(F.lit(1)).alias(_ROWS),
+    )
+    hot = largest(counts, names, hot_rows)
+    share = {s: F.greatest(F.ceil(F.col(f"_{s}_rows") / hot_rows), F.lit(1)) for s in ("left", "right")}
+    return hot.select(*names, "_left_rows", "_right_rows", *[share[s].cast("long").alias(f"_{s}_shares") for s in share])
+
+
+def _numbers(shares: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1))
+
+
 def full_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, hot_rows: int | None = None) -> DataFrame:
-    """Null-safe full join on same-named keys: the left join, then the right rows without a match."""
-    matched = spread_join(left, right, on, "left", hot_rows=hot_rows)
-    rest = spread_join(right, left.select(*on).distinct(), on, "left_anti", hot_rows=hot_rows)
-    return matched.unionByName(rest, allowMissingColumns=True).select(*matched.columns)
+    """Null-safe full join on same-named keys, one join that reads each side's rows once.
+
+    Keys with many rows on both sides together are found from the key columns first. Where
+    such a key is on both sides, all its rows have partners: both sides are split and meet in
+    a grid, and no row of it is unmatched. Where it is on one side only, nothing meets it and
+    its rows are spread.
+    """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    hot = F.broadcast(_two_sided(left, right, on_pairs(on), hot_rows))
+    both = (F.col("_left_rows") > 0) & (F.col("_right_rows") > 0)
+
+    def dealt(df: DataFrame, side: str, other: str) -> DataFrame:
+        """A share of its own for each row; against keys on both sides, once for every share of the other side."""
+        marked = null_safe_join(df, hot, on)
+        mine, theirs = F.col(f"_{side}_shares"), F.col(f"_{other}_shares")
+        number = F.when(mine.isNull(), 0).otherwise(_spread_number(mine, df))
+        marked = marked.withColumn(f"_{side}_share", number).withColumn("_met", F.coalesce(both, F.lit(False)))
+        marked = marked.withColumn(f"_{other}_share", _numbers(F.when(F.col("_met"), theirs).otherwise(1)))
+        return marked.drop("_left_rows", "_right_rows", "_left_shares", "_right_shares")
+
+    shares = ["_left_share", "_right_share"]
+    renamed = {c: f"_key_{i}" for i, c in enumerate([*on, *shares, "_met"])}
+    l = dealt(left, "left", "right").withColumn("_left", F.lit(True))
+    r = dealt(right, "right", "left").withColumn("_right", F.lit(True)).withColumnsRenamed(renamed)
+    condition = F.lit(True)
+    for c in on:
+        condition = condition & F.col(c).eqNullSafe(F.col(renamed[c]))
+    for c in shares:
+        condition = condition & (F.col(c) == F.col(renamed[c]))
+    joined = l.join(r, condition, "full")
+    # rows of a key on both sides that find a cell of the grid empty have their partners in other cells
+    matched = F.col("_left").isNotNull() & F.col("_right").isNotNull()
+    joined = joined.filter(matched | ~F.coalesce(F.col("_met"), F.col(renamed["_met"])))
+    key = {c: F.when(F.col("_left").isNotNull(), F.col(c)).otherwise(F.col(renamed[c])).alias(c) for c in on}
+    brought = [c for c in right.columns if c not in left.columns]
+    return joined.select(*[key.get(c, F.col(f"`{c}`")) for c in left.columns], *[F.col(f"`{c}`") for c in brought])
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: Sequence, *, hot_rows: int | None = None) -> DataFrame:
+    """Null-safe inner join in which both sides of a hot key are split: its pairs form a grid of join partitions.
+
+    A row takes a share of its side and is repeated once for each share of the other side.
+    """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    pairs = on_pairs(on)
+    hot = F.broadcast(_two_sided(left, right, pairs, hot_rows).drop("_left_rows", "_right_rows"))
+
+    def dealt(df: DataFrame, keys: Sequence, side: str, other: str) -> DataFrame:
+        marked = null_safe_join(df, hot, keys)
+        mine = F.coalesce(F.col(f"_{side}_shares"), F.lit(1))
+        marked = marked.withColumn(f"_{side}_share", _spread_number(mine, df))
+        marked = marked.withColumn(f"_{other}_share", _numbers(F.coalesce(F.col(f"_{other}_shares"), F.lit(1))))
+        return marked.drop("_left_shares", "_right_shares")
+
+    shares = ["_left_share", "_right_share"]
+    l = dealt(left, [l for l, _ in pairs], "left", "right")
+    r = dealt(right, [(r, l) for l, r in pairs], "right", "left")
+    return null_safe_join(l, r, pairs, "inner", plain=shares).drop(*shares)
 
 
 def attach_group(
@@ -116,7 +197,7 @@ def attach_group(
     )
     hot = largest(stats, keys, hot_rows).withColumnsRenamed({f"_of_{n}": f"_hot_{n}" for n in names})
     is_hot = F.col("_hot_rows").isNotNull()
-    share = 1 + _spread_number(F.ceil(F.col("_hot_rows") / hot_rows), ())
+    share = 1 + _spread_number(F.ceil(F.col("_hot_rows") / hot_rows), df)
     marked = null_safe_join(df, F.broadcast(hot.withColumnRenamed(_ROWS, "_hot_rows")), keys)
     marked = marked.withColumn(_SALT, F.when(is_hot, share).otherwise(0))
     # the rows of hot keys have no partner here: their numbers start at 1
