@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.core import query
+from tidemerge.functions.censor import SIGNS
 from tidemerge.operators import reshape
 
 KINDS = ["click", "view", "purchase", "error", "signup"]
@@ -29,7 +30,7 @@ def pivot_value_sign(lab):
     """Value and sign of each analyte; a sign without a value reads measured."""
     signed = lab.withColumn("sign", F.when(F.col("detection") == "Not Detected", "<").otherwise("="))
     wide = reshape.long_to_wide(
-        signed, ["station", "day"], "analyte", KINDS, {"value": "{name}", "sign": "{name}_Sign"}, order=F.col("code")
+        signed, ["station", "day"], "analyte", KINDS, {"value": "{name}", "sign": "{name}_Sign"}, order=F.col("code"), levels={"sign": SIGNS}
     )
     return wide.fillna("=", [f"{k}_Sign" for k in KINDS])
 

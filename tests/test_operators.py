@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import rows
+from tidemerge.functions.censor import SIGNS
 from tidemerge.functions.nulls import strict_min
 from tidemerge.operators import audit, dedup, depth, joins, merge, quality, repair, reshape
 from tidemerge.operators.spread import attach_group, full_join, grid_join, null_safe_join, spread_join
@@ -295,6 +296,27 @@ class TestQuality:
         assert quality.documented_difference(df, ["DOC", "TOC"]) == {"missing": ["TOC"], "undocumented": ["DOC_Sign"]}
 
 
+class TestFirstValues:
+    LONG = [(1, "a", 5.0, "<", 2), (1, "a", 6.0, "=", 1), (1, "b", None, None, 3), (2, "b", 7.0, "~", 4), (None, "a", 8.0, "=", 5)]
+
+    def test_texts_travel_as_numbers(self, spark):
+        long = spark.createDataFrame(self.LONG, "id int, p string, v double, s string, _row int")
+        wide = reshape.long_to_wide(long, ["id"], "p", ["a", "b", "c"], {"v": "{name}", "s": "{name}_Sign"}, levels={"s": SIGNS})
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "Sort [" not in plan
+        assert rows(wide) == [(1, 6.0, None, None, "=", None, None), (2, None, 7.0, None, None, "~", None), (None, 8.0, None, None, "=", None, None)]
+        with pytest.raises(Exception, match="not among <, =: ~"):
+            reshape.long_to_wide(long, ["id"], "p", ["b"], {"s": "{name}"}, levels={"s": ("<", "=")}).collect()
+
+    def test_stacked_positions_stay_numbers(self, spark):
+        feeds = [spark.createDataFrame([(f, i)], f"f int, _row {t}") for f, (i, t) in enumerate([(9, "int"), (2**40, "bigint")])]
+        both = reshape.stack(feeds)
+        assert dict(both.dtypes)["_row"] == "decimal(38,0)"
+        assert [r.f for r in both.orderBy("_row").collect()] == [0, 1]
+        again = reshape.stack([both.filter("f = 1"), both.filter("f = 0")])
+        assert dict(again.dtypes)["_row"].startswith("struct") and [r.f for r in again.orderBy("_row").collect()] == [1, 0]
+
+
 class TestMerge:
     FEEDS = "station string, time int, sample int, tide string, water double, rank double, note string"
 

@@ -56,6 +56,15 @@ class TestScan:
         df = scan.scan_csv(spark, path, {"N": "int"})
         assert [r.N for r in df.orderBy("_row").collect()] == list(range(5000))
 
+    def test_positions_rank_files_by_path(self, spark, tmp_path):
+        """Files of two headers, odd names: one number a row, in the order of all paths."""
+        for i, name in enumerate(["a b.csv", "c%20d.csv", "e+ü.csv", "f.csv"]):
+            self.write(tmp_path / name, ("X\n" if i % 2 else "Y\n") + "\n".join(str(1000 * i + k) for k in range(300)) + "\n")
+        df = scan.scan_ragged_csv(spark, str(tmp_path))
+        assert dict(df.dtypes)["_row"] == "decimal(32,0)"
+        assert [int(r.n) for r in df.orderBy("_row").select(F.coalesce("X", "Y").alias("n")).collect()] == [1000 * i + k for i in range(4) for k in range(300)]
+        assert {r.File for r in scan.with_file_name(scan.scan_csv(spark, str(tmp_path / "a b.csv"))).collect()} == {"a b.csv"}
+
     def test_only_named_columns_are_kept(self, spark, tmp_path):
         path = self.write(tmp_path / "a.csv", "A,B,C\n1,2,3\n")
         assert scan.scan_csv(spark, path, {"B": "int"}).columns == ["B", "_row"]

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from tidemerge.functions.nulls import if_else, number
 
 
+# Signs of a result that is below its limit, measured, estimated.
+SIGNS = ("<", "=", "~")
+
+
 def text_sign(result: Column) -> Column:
     """``<`` for text that starts with it, else ``=``; NULL for NULL."""
     return if_else(result.rlike("^<"), F.lit("<"), F.lit("="))

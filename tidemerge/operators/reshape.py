@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemerge.functions.text import paste
 from tidemerge.operators.dedup import ROW
@@ -23,6 +25,7 @@ def long_to_wide(
     *,
     how: str = "first",
     order: Column | None = None,
+    levels: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """One row per ``ids`` with one column per (name, value).
 
@@ -30,29 +33,36 @@ def long_to_wide(
     ``{"Result": "{name}", "Sign": "{name}_Sign"}``. ``how`` resolves duplicates:
     ``first`` in ``order`` (scan order by default), or ``mean``, which is NULL
     where any member is. All columns come from one aggregation.
+
+    Numbers are kept beside a numeric order in buffers of fixed size, so first values are
+    hashed and never sorted. ``levels`` lists all texts that a text column may hold; it then
+    travels as a number too, and any other text is an error.
     """
+    order = F.col(ROW) if order is None else order
+    levels = levels or {}
     aggregates = []
-    for n in names:
-        mine = F.col(name) == n
-        if how == "first":
-            packed = F.struct(*[F.col(v).alias(v) for v in values])
-            rank = F.when(mine, F.col(ROW) if order is None else order)
-            aggregates.append(F.min_by(F.when(mine, packed), rank).alias(f"_wide_{n}"))
-        elif how == "mean":
-            # the mean over the name's own rows, NULL when one of them is missing
-            for v in values:
-                held, total = F.count_if(mine & F.col(v).isNotNull()), F.count_if(mine)
-                mean = F.avg(F.when(mine, F.col(v)))
-                aggregates.append(F.when(held == total, mean).alias(f"_wide_{n}_{v}"))
-        else:
-            raise ValueError(f"unknown rule for duplicates: {how}")
-    wide = df.groupBy(*ids).agg(*aggregates)
-    columns = []
     for v, template in values.items():
+        coded = _level(F.col(v), levels[v]) if v in levels else F.col(v)
         for n in names:
-            source = f"`_wide_{n}`.`{v}`" if how == "first" else f"`_wide_{n}_{v}`"
-            columns.append(F.col(source).alias(template.format(name=n)))
-    return wide.select(*ids, *columns)
+            mine, out = F.col(name) == n, template.format(name=n)
+            if how == "first":
+                aggregates.append(F.min_by(F.when(mine, coded), F.when(mine, order)).alias(out))
+            elif how == "mean":
+                # the mean over the name's own rows, NULL when one of them is missing
+                held, total = F.count_if(mine & F.col(v).isNotNull()), F.count_if(mine)
+                aggregates.append(F.when(held == total, F.avg(F.when(mine, F.col(v)))).alias(out))
+            else:
+                raise ValueError(f"unknown rule for duplicates: {how}")
+    wide = df.groupBy(*ids).agg(*aggregates)
+    texts = {t.format(name=n): F.array(*[F.lit(x) for x in levels[v]]) for v, t in values.items() if v in levels for n in names}
+    return wide.withColumns({c: F.get(of, F.col(c)) for c, of in texts.items()})
+
+
+def _level(text: Column, levels: Sequence[str]) -> Column:
+    """The place of a text in its list, from 0; NULL for NULL."""
+    place = F.array_position(F.array(*[F.lit(x) for x in levels]), text).cast("int") - 1
+    unknown = F.raise_error(F.concat(F.lit(f"not among {', '.join(levels)}: "), text)).cast("int")
+    return F.when(place >= 0, place).when(text.isNotNull(), unknown)
 
 
 @dataclass(frozen=True)
@@ -153,13 +163,27 @@ def move_first(df: DataFrame, moved: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in [*moved, *[c for c in df.columns if c not in moved]]])
 
 
+#: Positions of one feed lie below this, so that feeds and positions make one number.
+_POSITIONS = 10**32
+
+
+def _whole_number(df: DataFrame) -> bool:
+    kind = df.schema[ROW].dataType
+    return isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and (kind.precision, kind.scale) <= (32, 0)
+
+
 def stack(feeds: Sequence[DataFrame]) -> DataFrame:
-    """Union by name, missing columns NULL; the scan order follows the order of the feeds."""
+    """Union by name, missing columns NULL; the scan order follows the order of the feeds.
+
+    Positions stay one number. Where they cannot, as in a stack of stacks, they are paired with the feed.
+    """
+    numeric = all(_whole_number(f) for f in feeds if ROW in f.columns)
     out = None
     for i, feed in enumerate(feeds):
-        if ROW in feed.columns:
+        if ROW in feed.columns and numeric:
+            place = F.lit(Decimal(i * _POSITIONS)) + F.col(ROW).cast("decimal(32,0)")
+            feed = feed.withColumn(ROW, place.cast("decimal(38,0)"))
+        elif ROW in feed.columns:
             feed = feed.withColumn(ROW, F.struct(F.lit(i).alias("feed"), F.col(ROW).alias("row")))
         out = feed if out is None else out.unionByName(feed, allowMissingColumns=True)
     return out
-
-

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.functions.censor import split_censored
+from tidemerge.functions.censor import SIGNS, split_censored
 from tidemerge.functions.clock import PST, add_hours, parse, parse_date, to_local
 from tidemerge.functions.codes import microcystis_index
 from tidemerge.functions.nulls import drop_all_null, drop_any_null
@@ -192,7 +192,7 @@ def clean(feeds: Feeds) -> DataFrame:
     )
     event = ["StationName", "StationNumber", "Datetime", "Date"]
     wide = long_to_wide(
-        long, event, "Analyte", [*UNSIGNED, *SIGNED], {"Result": "{name}", "Sign": "{name}_Sign"}
+        long, event, "Analyte", [*UNSIGNED, *SIGNED], {"Result": "{name}", "Sign": "{name}_Sign"}, levels={"Sign": SIGNS}
     )
     # the pivot left one row per moment, so a station and day hold few rows: a plain join
     wide = lookup(wide, visit_observations(feeds, stations), ["StationName", "StationNumber", "Date"])

@@ -96,16 +96,14 @@ def first_of_day(binned: DataFrame) -> DataFrame:
         F.sum("Sample_depth").alias("_depth"),
         F.min_by("Value", ROW).alias("Value"),
     )
+    # every value beside a time as a number: buffers of fixed size, which are hashed and not sorted
+    known = F.coalesce(micros(F.col("Datetime")), F.lit(2**63 - 1))
     found = by_time.groupBy(*SAMPLE).agg(
         F.sum("_n").alias("_all"),
-        F.max(F.col("Datetime").isNull()).alias("_untimed"),
-        F.min_by(
-            F.struct("Datetime", "_n", "_depth", "Value"),
-            F.struct(F.col("Datetime").isNull().alias("unknown"), "Datetime"),
-        ).alias("_first"),
+        F.count_if(F.col("Datetime").isNull()).alias("_untimed"),
+        *[F.min_by(c, known).alias(c) for c in ("Datetime", "_n", "_depth", "Value")],
     )
-    kept = found.filter((F.col("_all") == 1) | ~F.col("_untimed"))
-    return kept.select(*SAMPLE, "_first.*")
+    return found.filter("_all = 1 OR _untimed = 0").drop("_all", "_untimed")
 
 
 def clean(feeds: Feeds, hot_rows: int | None = None) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 from urllib.parse import unquote
 
@@ -13,16 +15,29 @@ from tidemerge.functions.nulls import number
 from tidemerge.operators.dedup import ROW
 
 
-def _with_row(df: DataFrame) -> DataFrame:
-    """Attach the position in the files: rows of one split are numbered in reading order."""
-    return df.withColumn(
-        ROW,
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ),
-    )
+#: A position counts lines within a block, blocks within a file, and files in order of their paths.
+_LINES, _BLOCKS = 2**33, 2**43
+
+
+def _with_row(df: DataFrame, files: Sequence[str] | None = None) -> DataFrame:
+    """Attach the position in the files as one number: file, block, line in reading order.
+
+    ``files`` are all files of the feed where ``df`` scans only some of them. A single file
+    has rank 0; the ranks of several come from a small table of their paths.
+    """
+    files = sorted(files or df.inputFiles())
+    line = F.monotonically_increasing_id().bitwiseAND(_LINES - 1)
+    block = F.col("_metadata.file_block_start").cast("decimal(19,0)")
+    within = block * F.lit(Decimal(_LINES)) + line.cast("decimal(10,0)")
+    if len(files) < 2:
+        return df.withColumn(ROW, within.cast("decimal(32,0)"))
+    # listed files write an empty authority, file:///a, rows do not, file:/a
+    ranks = df.sparkSession.createDataFrame([(re.sub(r"^(\w+):///", r"\1:/", f), i) for i, f in enumerate(files)], "_path string, _rank int")
+    placed = df.withColumns({"_within": within, "_file": F.regexp_replace("_metadata.file_path", r"^(\w+):///", "$1:/")})
+    placed = placed.join(ranks, F.col("_file") == F.col("_path"), "left")
+    rank = F.coalesce(F.col("_rank"), F.raise_error(F.concat(F.lit("not among the feed's files: "), F.col("_file"))).cast("int"))
+    row = rank.cast("decimal(10,0)") * F.lit(Decimal(_LINES * _BLOCKS)) + F.col("_within")
+    return placed.withColumn(ROW, row.cast("decimal(32,0)")).drop("_within", "_file", "_path", "_rank")
 
 
 def typed(df: DataFrame, columns: Mapping[str, str], headers: Mapping[str, str] | None = None) -> DataFrame:
@@ -51,13 +66,14 @@ def typed(df: DataFrame, columns: Mapping[str, str], headers: Mapping[str, str]
 
 def scan_csv(
     spark: SparkSession, paths: str | Sequence[str], columns: Mapping[str, str] | None = None, *,
-    keep_order: bool = True, line_breaks: bool = False,
+    keep_order: bool = True, line_breaks: bool = False, files: Sequence[str] | None = None,
 ) -> DataFrame:
     """Read CSV files that share a header.
 
     Values are read as text, empty and ``NA`` are NULL, and the columns are
     projected by name. Without ``columns`` everything stays text. Files with
     ``line_breaks`` inside quoted text are read whole, others are split.
+    ``files`` lists all files of the feed where these are only some of them.
     """
     df = spark.read.csv(
         paths, header=True, nullValue="NA", emptyValue="", enforceSchema=False, multiLine=line_breaks, escape='"'
@@ -65,7 +81,7 @@ def scan_csv(
     texts = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns]
     df = df.select(*texts, "_metadata")
     if keep_order:
-        df = _with_row(df)
+        df = _with_row(df, files)
     return df if columns is None else typed(df, columns)
 
 
@@ -77,7 +93,8 @@ def scan_by_header(spark: SparkSession, paths: str | Sequence[str], *, line_brea
     distinct header with its file names. A header is one line.
     """
     text = spark.read.text(paths)
-    if len(text.inputFiles()) < 2:
+    files = text.inputFiles()
+    if len(files) < 2:
         return [scan_csv(spark, paths, line_breaks=line_breaks)]
     lines = text.select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
     first = F.min_by("value", "line").alias("header")
@@ -85,11 +102,11 @@ def scan_by_header(spark: SparkSession, paths: str | Sequence[str], *, line_brea
     groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
     # the scan names files as URIs, the reader takes plain paths
     found = sorted([unquote(f) for f in g.files] for g in groups)
-    return [scan_csv(spark, files, line_breaks=line_breaks) for files in found]
+    return [scan_csv(spark, some, line_breaks=line_breaks, files=files) for some in found]
 
 
 def together(scans: Sequence[DataFrame]) -> DataFrame:
-    """Union of scans by name, missing columns NULL; scan positions name their file, so rows keep the order of paths."""
+    """Union of scans by name, missing columns NULL; scan positions rank all files of the feed, so rows keep the order of paths."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
@@ -112,4 +129,5 @@ def scan_table(spark: SparkSession, path: str, columns: Mapping[str, str] | None
 
 def with_file_name(df: DataFrame, name: str = "File") -> DataFrame:
     """Name the file each row of a file scan comes from."""
-    return df.withColumn(name, F.element_at(F.split(F.col(f"{ROW}.file"), "/"), -1))
+    # names come with blanks and the like encoded, but a plus is a plus
+    return df.withColumn(name, F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))))
