@@ -119,21 +119,83 @@ def test_near_duplicates_are_those_of_brute_force(spark, shard):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
 
 
-def test_a_link_missed_in_the_smallest_shared_cluster_counts(monkeypatch):
-    """Two close vectors share clusters 3 and 5; the graph search of 3 finds nothing, as if it missed."""
+def test_a_link_found_in_any_shared_cluster_counts_once(spark, monkeypatch):
+    """Classes 10 and 11 share clusters 3 and 5, 10 and 12 only 3: a link that one of the graphs misses is not lost, one that both find counts once."""
     import pandas as pd
 
-    x = np.array([[1.0, 0.0], [1.0, 0.01], [0.0, 1.0]])
-    block = pd.DataFrame({
-        "c": 3, "a": 0, "b": 0, "part": 0, "cls": [10, 11, 12], "n": [1, 2, 1], "shards": [np.array(s) for s in ([3, 5], [3, 5], [3, 7])],
-        "x": [v.tobytes() for v in x], "near": [[], [], []], "medoid": [True, False, False],
-    })
+    x = np.array([[1.0, 0.0], [1.0, 0.01], [1.0, -0.01], [0.0, 1.0]])
+    shards = ([3, 5], [3, 5], [3, 7], [3, 9])
+
+    def block(c, rows):
+        return vector_graph._search_block(0.95)(pd.DataFrame({
+            "c": c, "a": 0, "b": 0, "part": 0, "cls": [10 + r for r in rows], "n": [(1, 2, 1, 1)[r] for r in rows], "shards": [np.array(shards[r]) for r in rows],
+            "x": [x[r].tobytes() for r in rows], "near": [[10 + o for o in rows if o != r] for r in rows], "medoid": [r == rows[0] for r in rows],
+        }))
+
+    def links(*blocks):
+        plain = lambda v: [int(x) for x in v] if isinstance(v, np.ndarray) else None if v is None or pd.isna(v) else int(v)
+        df = spark.createDataFrame([tuple(map(plain, r)) for b in blocks for r in b.itertuples(index=False)], vector_graph.FOUND)
+        return {r["cls"]: r["links"] for r in vector_graph.counted(df).collect() if r["links"]}
+
+    three, five = block(3, [0, 1, 2, 3]), block(5, [0, 1])
+    assert links(three, five) == links(five, three) == links(three) == {10: 3, 11: 2, 12: 3}
     nothing = np.empty(0, np.int64)
     monkeypatch.setattr(vector_graph.Searcher, "within", lambda *_: (nothing, nothing))
-    got = vector_graph._search_block(0.95)(block)
-    counted = got[got.links.notna()]
-    assert dict(zip(counted.cls, counted.links, strict=True)) == {10: 2, 11: 1}
-    assert vector_graph._search_block(0.95)(block.assign(c=5, shards=[np.array([3, 5])] * 3)).links.notna().sum() == 0
+    missed = block(3, [0, 1, 2, 3])
+    assert links(missed, five) == {10: 2, 11: 1}
+
+
+@pytest.mark.parametrize("clusters", [2048, 4])
+def test_links_come_from_graphs_of_many_clusters(spark, monkeypatch, clusters):
+    """Several clusters, on one level and on two: nearly all links are found by graphs, without the exact way."""
+    monkeypatch.setattr(vector_graph, "CLUSTERS", clusters)
+    draw = np.random.default_rng(12)
+    centres = draw.normal(size=(150, 24))
+    x = np.concatenate([centres[i % 150] + draw.normal(size=24) * (0.02 if i % 3 else 0.3) for i in range(3000)]).reshape(3000, 24)
+    monkeypatch.setattr(vector_graph, "_all_close", None)  # would fail if it were called
+    classes = spark.createDataFrame([(i, 1, v) for i, v in enumerate(x.tolist())], "cls long, n long, x array<double>")
+    found = vector_graph.linked(classes, len(x), shard=200)
+    links, group = plain_links(x)
+    got = {r["cls"]: r["links"] for r in found.collect() if r["links"]}
+    assert sum(got.values()) >= 0.98 * links.sum() and all(got[i] <= links[i] for i in got)
+
+
+def test_each_length_is_searched_apart(spark):
+    draw = np.random.default_rng(13)
+    wide, narrow = draw.normal(size=(60, 8)), draw.normal(size=(20, 3))
+    wide[30:] = wide[:30] * 2
+    narrow[10:] = narrow[:10] * 3
+    rows = [(i, v) for i, v in enumerate([*wide.tolist(), *narrow.tolist()])] + [(200, [1.0]), (201, [5.0]), (202, [-1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_graph.near_duplicates(df).collect()}
+    links, group = plain_links(wide)
+    assert [got[i] for i in range(60)] == list(zip(links.tolist(), group, strict=True))
+    links, group = plain_links(narrow)
+    assert [got[60 + i] for i in range(20)] == [(n, 60 + g) for n, g in zip(links.tolist(), group, strict=True)]
+    assert [got[i] for i in (200, 201, 202)] == [(1, 200), (1, 200), (0, 202)]
+    near = {(r["query_id"], r["rank"]): r["vec_id"] for r in rp_forest.nearest(df, df.where("vec_id IN (0, 60, 200)")).collect()}
+    assert near[0, 1] == 30 and near[60, 1] == 70 and [near[200, k] for k in (1, 2)] == [201, 202] and (200, 3) not in near
+
+
+def test_classes_do_not_depend_on_partitions(spark):
+    _, df = vectors(spark)
+    one, many = (sorted(map(tuple, vector_graph.near_duplicates(df.repartition(k), shard=100).collect()), key=str) for k in (1, 9))
+    assert one == many
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200, 5e-324])
+def test_scores_of_extreme_magnitudes(spark, scale):
+    """Squares of such components run over or under; the scores are those of the vectors scaled down."""
+    draw = np.random.default_rng(14)
+    x = draw.integers(1, 9, size=(40, 3)).astype(float)
+    df = spark.createDataFrame([(i, (v * scale).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in rp_forest.nearest(df, df).collect())
+    assert len(got) == 200
+    for q, rank, i, score in got:
+        want = plain_nearest(x.tolist(), list(range(40)), q)
+        assert score == pytest.approx(-want[rank - 1][0], abs=1e-12)
+    links = {r["vec_id"]: r["n_links"] for r in vector_graph.near_duplicates(df).collect()}
+    assert [links[i] for i in range(40)] == plain_links(x)[0].tolist()
 
 
 def test_the_audit_sees_small_groups_lost_beside_a_large_one(spark):

@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemerge.llm.common import keep
-from tidemerge.llm.vectors import cosine, matrix, packed, sample, unit, unpacked, usable
+from tidemerge.llm.vectors import cosine, lengths, matrix, packed, sample, unit, unpacked, usable
 
 #: Trees, vectors aimed at for each leaf, the depth at most, rows that the splits are fitted on.
 TREES, LEAF, DEPTH, FIT_ROWS = 4, 1024, 11, 16384
@@ -158,13 +159,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, trees: int = TRE
     (``vectors.usable``) take no part, as queries neither. Rows that repeat an
     id count once, with the higher cosine; queries that repeat an id ask once.
     With fewer candidates than ``k`` all come back; without queries or vectors,
-    none. Other columns are not looked at.
+    none. Only vectors of the query's length are candidates; each length has a
+    forest of its own. Other columns are not looked at.
     """
     rows = keep(usable(vectors).distinct())
     asked = keep(usable(queries).groupBy("vec_id").agg(F.min("x").alias("x")))
-    n = rows.count()
-    if not n or not asked.limit(1).count():
+    held, wanted = lengths(rows), lengths(asked)
+    found = [
+        _nearest(rows.where(F.size("x") == d), asked.where(F.size("x") == d), n, k, trees if n > leaf else 1, leaf, leaf_rows, recall)
+        for d, n in held.items() if d in wanted
+    ]
+    if not found:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.union, found)
+
+
+def _nearest(rows: DataFrame, asked: DataFrame, n: int, k: int, trees: int, leaf: int, leaf_rows: int, recall: float) -> DataFrame:
+    """Neighbours among ``n`` vectors of one length. So few that they are one leaf have one tree."""
     forest = fit(rows, n, trees, leaf)
     most = leaves_needed(forest, rows, asked, k, recall)
 

@@ -13,14 +13,16 @@ def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, x array<double>) of rows that can have a cosine.
 
     Left out: a null id; a vector that is null, empty, zero or holds null or
-    non-finite components; one of another length than most have (the longer of
-    equally frequent lengths).
+    non-finite components. Vectors of different lengths have no cosine with each other.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x")).where("vec_id IS NOT NULL AND x IS NOT NULL")
     finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    rows = rows.where(finite & F.exists("x", lambda c: c != 0))
-    length = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return rows.where(F.size("x") == (length["d"] if length else 0))
+    return rows.where(finite & F.exists("x", lambda c: c != 0))
+
+
+def lengths(rows: DataFrame) -> dict[int, int]:
+    """Rows of each length of ``x``: tables hold few lengths."""
+    return {r["d"]: r["count"] for r in sorted(rows.groupBy(F.size("x").alias("d")).count().collect())}
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -29,12 +31,24 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # no square runs over or under
+    if not len(x):
+        return x
+    x = scaled(x)
     return x / np.sqrt(np.sum(x * x, axis=1, keepdims=True))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near one: exact, and no square runs over or under."""
+    _, power = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+    # two steps, as one power may itself run over
+    return np.ldexp(np.ldexp(x, -power // 2), -power - -power // 2)
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of pairs of rows in double precision, summed in one order wherever they are computed, so that copies tie."""
+    if not len(a):
+        return np.empty(0)
+    a, b = scaled(a), scaled(b)
     return np.sum(a * b, axis=1) / (np.sqrt(np.sum(a * a, axis=1)) * np.sqrt(np.sum(b * b, axis=1)))
 
 
@@ -47,8 +61,8 @@ def unpacked(column: pd.Series) -> np.ndarray:
 
 
 def sample(rows: DataFrame, n: int, column: str = "vec_id") -> tuple[np.ndarray, np.ndarray]:
-    """(ids, vectors) of ``n`` rows at most, the first by a hash of the id."""
-    got = rows.orderBy(F.xxhash64(column), column, "x").limit(n).select(column, "x").toArrow()
+    """(ids, vectors) of ``n`` rows at most, all of one length, the first by a hash of the vector."""
+    got = rows.orderBy(F.xxhash64("x"), column, "x").limit(n).select(column, "x").toArrow()
     if not got.num_rows:
         return np.empty(0, np.int64), np.empty((0, 0))
     return got[column].to_numpy(), matrix(got["x"].combine_chunks())
