@@ -152,6 +152,38 @@ def test_addresses_may_lead_with_many_zeros():
     assert pii.base_spans(f"{zeros}1.2.3.{zeros}255 and 1.2.3.{zeros}256") == [(0, 10009, "ip")]
 
 
+def test_texts_alone_equal_texts_together(tagger):
+    """Spans of a text do not depend on the texts it is read with: 400 texts in batches of 1, 7 and all."""
+    draw = np.random.default_rng(21)
+    texts = []
+    for k in range(400):
+        x, _ = pii.labelled_windows(1, 1000 + k)
+        piece = "".join((pii.SYMBOLS + "x7#")[c] for c in x[0])
+        parts = [piece, "7" * int(draw.integers(1, 40)), "plain words " * int(draw.integers(0, 20)), "first.last (at) " + "mail." * int(draw.integers(1, 60)) + "org", "555-123 " * int(draw.integers(0, 30))]
+        texts.append(" ".join(parts[i] for i in draw.permutation(5)[: int(draw.integers(1, 6))]))
+    together = pii.tagged(texts, tagger)
+    assert sum(map(len, together)) > 200
+    for size in (1, 7):
+        assert [s for at in range(0, 400, size) for s in pii.tagged(texts[at : at + size], tagger)] == together
+
+
+def test_windows_around_cut_spans():
+    """Windows hold what is asked around every cut span, share where spans are close, and have lengths of few kinds."""
+    got = pii.wider([(5000, 5064), (10, 40), (300, 330), (5100, 5101)])
+    assert [held for _, _, held in got] == [[(10, 40), (300, 330)], [(5000, 5064), (5100, 5101)]]
+    for start, end, held in got:
+        assert (end - start) % pii.STEP == 0 and start <= max(0, held[0][0] - pii.LONGEST) and end >= held[-1][1] + pii.LONGEST
+    dense = pii.wider([(k, k + 20) for k in range(0, 20_000, 20)])
+    assert sum(len(held) for _, _, held in dense) == 1000 and max(e - s for s, e, _ in dense) <= pii.SHARED + pii.STEP
+    assert sum(e - s for s, e, _ in dense) < 2 * 20_000
+
+
+def test_addresses_longer_than_mail_permits_are_none(tagger):
+    assert pii.sound("email", "a" * 64 + " (at) " + "b" * 251 + ".org") and not pii.sound("email", "a" * 65 + " (at) b.org")
+    assert not pii.sound("email", "a (at) " + "b" * 252 + ".org")
+
+
+
 def test_added_spans_meet_no_base_span():
     draw = np.random.default_rng(8)
     for _ in range(500):

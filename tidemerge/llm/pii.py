@@ -35,8 +35,10 @@ NAME_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxy
 #: Every span of the tagger holds one of these.
 ANCHOR = re.compile(r"[0-9@]|[(\[]at[)\]]")
 WINDOW, STRIDE = 64, 32
-#: The longest span: a name of 64 characters and a host of 255, as mail permits, and " (at) " between.
+#: The longest span: a name of 64 characters and a host of 255, as mail permits, and " (at) " between. A longer one is no address.
 LONGEST = 64 + 255 + 6
+#: Second readings: lengths are multiples of this, cut spans close together share one up to so many characters, and so many characters are read at once.
+STEP, SHARED, AT_ONCE = 128, 2048, 1 << 16
 
 Span = tuple[int, int, str]
 
@@ -308,7 +310,8 @@ def sound(kind: str, piece: str) -> bool:
     """The check that an added span of a kind must pass."""
     digits = digits_of(piece)
     if kind == "email":
-        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|@) ?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", piece))
+        m = re.fullmatch(r"([A-Za-z0-9._%+-]+) ?(?:\(at\)|\[at\]|@) ?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)", piece)
+        return bool(m) and len(m[1]) <= 64 and len(m[2]) <= 255
     if kind == "ip":
         return bool(m := IP.fullmatch(piece)) and all(len(p) < 4 and is_byte(p) for p in m.groups())
     if kind == "card":
@@ -351,42 +354,64 @@ def cut_spans(tags: np.ndarray, start: int, length: int) -> Iterator[tuple[int,
         yield start + (int(outside[-1]) if len(outside) and tags[outside[-1]] else 0), start + n
 
 
-def _decoded(texts: list[str], where: list[tuple[int, int, int]], model: Tagger, block: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, tags, scores) of the windows (text, start, end) that hold a tag; windows of many texts run together, a bounded number at a time."""
-    for at in range(0, len(where), block):
-        part = where[at : at + block]
-        x = np.full((len(part), max(end - start for _, start, end in part)), SYMBOLS.index(" "), np.int64)
-        for row, (k, start, end) in enumerate(part):
-            piece = codes(texts[k][start:end])
-            x[row, : len(piece)] = piece
-        tags, scores = model.decode(x)
-        for row in np.flatnonzero(tags.any(axis=1)):
-            n = part[row][2] - part[row][1]
-            yield at + int(row), tags[row, :n], scores[row, :n]
+def _decoded(texts: list[str], where: list[tuple[int, int, int]], model: Tagger) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, tags, scores) of the windows (text, start, end) that hold a tag.
+
+    Windows of many texts run together, a bounded number of characters at a time, those of one
+    length only: what a window reads past its text depends on nothing but itself.
+    """
+    by_length: dict[int, list[int]] = {}
+    for row, (_, start, end) in enumerate(where):
+        by_length.setdefault(end - start, []).append(row)
+    for length, rows in sorted(by_length.items()):
+        few = max(1, AT_ONCE // length)
+        for at in range(0, len(rows), few):
+            part = rows[at : at + few]
+            x = np.full((len(part), length), SYMBOLS.index(" "), np.int64)
+            for i, row in enumerate(part):
+                k, start, end = where[row]
+                piece = codes(texts[k][start:end])
+                x[i, : len(piece)] = piece
+            tags, scores = model.decode(x)
+            for i in np.flatnonzero(tags.any(axis=1)):
+                yield part[i], tags[i], scores[i]
+
+
+def wider(cut: list[tuple[int, int]]) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """Windows (start, end, spans) around cut spans, which hold any span up to ``LONGEST`` characters that meets them."""
+    out: list[tuple[int, int, list[tuple[int, int]]]] = []
+    for a, b in sorted(cut):
+        start, end = max(0, a - LONGEST), b + LONGEST
+        if out and end - out[-1][0] <= SHARED:
+            first, last, held = out.pop()
+            start, end, held = first, max(last, end), [*held, (a, b)]
+        else:
+            held = [(a, b)]
+        out.append((start, end, held))
+    return [(start, start - (start - end) // STEP * STEP, held) for start, end, held in out]
 
 
-def tagged(texts: list[str], model: Tagger, block: int = 512) -> list[list[Span]]:
-    """The tagger's spans of each text."""
+def tagged(texts: list[str], model: Tagger) -> list[list[Span]]:
+    """The tagger's spans of each text. Each is the same whatever texts it is read with."""
     found: list[list[tuple[float, Span]]] = [[] for _ in texts]
     sounds = lambda k, p: sound(p[1][2], texts[k][p[1][0] : p[1][1]])
     where = [(k, start, start + WINDOW) for k, text in enumerate(texts) for start in windows(text)]
     cut: list[set[tuple[int, int]]] = [set() for _ in texts]
-    for row, tags, scores in _decoded(texts, where, model, block):
+    for row, tags, scores in _decoded(texts, where, model):
         k, start, _ = where[row]
         found[k] += [p for p in proposals(tags, scores, start, len(texts[k])) if sounds(k, p)]
         cut[k].update(cut_spans(tags, start, len(texts[k])))
-    again: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
+    where, around = [], []
     for k, pieces in enumerate(cut):
         whole = sorted((s[0], s[1]) for _, s in found[k])
         starts, reach = [s[0] for s in whole], list(accumulate((s[1] for s in whole), max, initial=-1))
-        for a, b in pieces:
-            if reach[bisect_right(starts, a)] < b:
-                again.setdefault((k, max(0, a - LONGEST), min(len(texts[k]), b + LONGEST)), []).append((a, b))
-    where = list(again)
-    for row, tags, scores in _decoded(texts, where, model, block // 8):
+        for start, end, held in wider([(a, b) for a, b in pieces if reach[bisect_right(starts, a)] < b]):
+            where.append((k, start, end))
+            around.append(held)
+    for row, tags, scores in _decoded(texts, where, model):
         k, start, _ = where[row]
         near = [p for p in proposals(tags, scores, start, len(texts[k])) if sounds(k, p)]
-        found[k] += [p for p in near if any(p[1][0] < b and a < p[1][1] for a, b in again[where[row]])]
+        found[k] += [p for p in near if any(p[1][0] < b and a < p[1][1] for a, b in around[row])]
     return [reconcile(f) for f in found]
 
 
