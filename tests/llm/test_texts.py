@@ -414,6 +414,42 @@ def test_what_follows_long_lists_and_deep_elements_keeps_its_path(before, item,
     assert max(len(b.path) for b in got) <= html_crf.DEEPEST
 
 
+ARTICLE = "<h1>A title here</h1><p>First sentence of the text, with more. Second one follows here.</p><p>Another paragraph is in this article, quite long enough.</p>"
+WHOLE = "A title here First sentence of the text, with more. Second one follows here. Another paragraph is in this article, quite long enough."
+
+
+def shell(body):
+    return f"<html><body><nav><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></nav><script>var a = 1</script>{body}<script>var b = 2</script><footer>&copy; 2020 Example</footer></body></html>"
+
+
+@pytest.mark.parametrize("body", [
+    "<article>{}</article>", "<div>{}</div>", "<div><div>{}</div></div>", '<div class="x1">{}</div>', "{}", "<section>{}</section>",
+    "<datalist><option value=a><option value=b></datalist><article>{}</article>", "<object data=x><article>{}</article>", "<object data=x>fallback</object><article>{}</article>",
+    "<select><option>a<option>b</select><article>{}</article>", "<select><option>a<option>b<article>{}</article>", "<option>a<option>b<article>{}</article>",
+    "<svg><article>{}</article>", "<noscript><article>{}</article>", "<template>no</template><article>{}</article>",
+    "<div>" * 230 + "<article>{}</article>" + "</div>" * 230, "<article>" + "<div>" * 230 + "{}" + "</div>" * 230 + "</article>",
+    "<div>" * 230 + "{}" + "</div>" * 230, "<nav>" + "<div>" * 300 + "<a href=/x>Menu entry</a>" + "</div>" * 300 + "</nav><article>{}</article>",
+], ids=lambda b: b[:40])
+def test_whole_articles_in_all_containers(field, body):
+    got = html_crf.main_blocks(shell(body.format(ARTICLE)), field, html_crf.Marker())
+    assert " ".join(got) == WHOLE
+
+
+def test_tables_lists_figures_and_listings_are_main_text(field):
+    page = shell("""<article><h1>A title here</h1><p>First sentence of the text, with more.</p>
+<table><tr><th>Year<th>Count<tr><td>1990<td>12<tr><td>Total<td>12</table><dl><dt>Term<dd>Meaning of it</dl>
+<figure><img src=x><figcaption>A caption</figcaption></figure><pre>x = f(1)
+y = 2</pre><p>The end comes here at last.</p></article>""")
+    got = html_crf.main_blocks(page, field, html_crf.Marker())
+    assert got == ["A title here", "First sentence of the text, with more.", "Year", "Count", "1990", "12", "Total", "12", "Term", "Meaning of it", "A caption", "x = f(1) y = 2", "The end comes here at last."]
+
+
+def test_deep_paths_keep_sections_and_last_elements():
+    page = "<main class=m>" + "<section>" * 150 + "<div class=d>" * 150 + "<p>x"
+    path = html_crf.blocks(page)[0].path
+    assert len(path) == html_crf.DEEPEST and path[-1][0] == "p" and [t for t, _ in path].count("section") == 100 and [t for t, _ in path].count("div") == 99
+
+
 def test_nested_lists_stay_nested():
     got = html_crf.blocks("<ul><li><p>a<ul><li><p>b<li>c</ul><li>d</ul>e")
     paths = [(b.text, " ".join(t for t, _ in b.path)) for b in got]

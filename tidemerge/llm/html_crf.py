@@ -26,7 +26,9 @@ from tidemerge.llm.common import batches_of, map_rows
 # ------------------------------------------------------------------- blocks
 
 #: Fixed sets of HTML: elements whose text is no page text, elements without end, elements that break no line.
-RAW = frozenset("script style template noscript textarea title iframe noembed noframes xmp svg math select option object".split())
+RAW = frozenset("script style template noscript textarea title iframe noembed noframes xmp svg math select datalist object".split())
+#: Of these, the ones that hold the rest of the page where their end is missing; of others only the tag itself is lost.
+TO_THE_END = frozenset("script style textarea title iframe noembed noframes xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output progress q ruby rp rt s samp small span strike strong sub sup time tt u var wbr img".split())
 #: What an opening tag closes by itself: a paragraph ends at any of these, items and cells at their like.
@@ -35,8 +37,10 @@ LIKE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 #: What holds items, rows and cells: an opening one ends what is open of its like up to there, and all within it.
 _AROUND = "article aside blockquote details dl fieldset figure footer form header main menu nav ol section table td th ul".split()
 HOLDS = {"li": _AROUND, "dt": _AROUND, "dd": _AROUND, "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
-#: Elements of a path that features look at.
+#: Elements of a path that features look at: where there are more, sections above, and the last ones, half each.
 DEEPEST = 200
+#: Elements that say what their part of a page is.
+SECTIONS = frozenset("article main nav aside header footer form body section".split())
 
 TOKEN = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>?"
@@ -79,6 +83,7 @@ def blocks(page: str) -> list[Block]:
     linked = links = 0
     at = 0
     places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
+    endless: set[str] = set()
 
     def cut(depth: int) -> None:
         for gone, _ in reversed(stack[depth:]):
@@ -90,6 +95,13 @@ def blocks(page: str) -> list[Block]:
         open_ = (held[bisect_right(held, around)] for t in LIKE[tag] if (held := places.get(t)) and held[-1] > around)
         cut(min(open_, default=len(stack)))
 
+    def seen() -> tuple[tuple[str, Path], ...]:
+        if len(stack) <= DEEPEST:
+            return tuple(stack)
+        near = len(stack) - DEEPEST // 2
+        far = sorted(i for t in SECTIONS for i in places.get(t, ())[-DEEPEST // 2 :] if i < near)[-(DEEPEST // 2) :]
+        return tuple([stack[i] for i in far] + stack[near:])
+
     def text(piece: str) -> None:
         nonlocal linked
         if "&" in piece:
@@ -102,8 +114,8 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         if parts:
             joined = " ".join("".join(parts).split())
-            if joined:
-                out.append(Block(joined, tuple(stack[:DEEPEST]), linked))
+            if joined and not places.get("option"):
+                out.append(Block(joined, seen(), linked))
             parts.clear()
         linked = 0
 
@@ -123,14 +135,21 @@ def blocks(page: str) -> list[Block]:
             if tag in RAW:
                 if tag in ("svg", "math") and attributes.endswith("/"):
                     continue
-                end = END[tag].search(page, at)
-                at = end.end() if end else len(page)
+                end = None if tag in endless else END[tag].search(page, at)
+                if end:
+                    at = end.end()
+                elif tag in TO_THE_END:
+                    at = len(page)
+                else:
+                    endless.add(tag)  # no end is ahead: none is looked for again
                 continue
             if tag == "br":
                 parts.append(" ")
                 continue
             if tag not in INLINE:
                 close()
+                if places.get("option") and tag not in ("option", "optgroup"):
+                    cut(places["option"][0])
                 if tag in LIKE:
                     end_like(tag)
                 if tag in CLOSES_P or tag in LIKE:
@@ -161,10 +180,6 @@ def hashed(name: str) -> int:
     return zlib.crc32(name.encode()) % WIDTH
 
 
-#: Elements that say what their part of a page is.
-SECTIONS = frozenset("article main nav aside header footer form body section".split())
-
-
 def path_features(path: tuple[tuple[str, Path], ...]) -> Features:
     names = {f"tag {tag}" for tag, _ in path}
     for tag, words in path:
@@ -381,9 +396,26 @@ def labelled_pages(n: int = 500, seed: int = 3) -> list[tuple[str, list[int]]]:
             body = text() if chance(0.5) else head + "".join(within("p", text()) for _ in range(draw.randint(1, 3)))
         return named(tag, OTHER_NAMES[kind], 0.35 if tag in ("nav", "header", "footer", "aside", "form") else 0.0) + body + f"</{tag}>"
 
+    def structure() -> str:
+        """A table, definition list, figure or listing of the main text."""
+        short = lambda: MARK + pick((words(1, 3).capitalize(), str(draw.randint(1, 2100)), f"{draw.randint(1, 99)}.{draw.randint(0, 9)} %"))
+        end = lambda tag: pick((f"</{tag}>", f"</{tag}>", ""))
+        kind = draw.randrange(4)
+        if kind == 0:
+            across = draw.randint(2, 4)
+            row = lambda tag: "<tr>" + "".join(f"<{tag}>{short()}{end(tag)}" for _ in range(across)) + end("tr")
+            return f"<table>{row('th') if chance(0.6) else ''}{''.join(row('td') for _ in range(draw.randint(1, 5)))}</table>"
+        if kind == 1:
+            return "<dl>" + "".join(f"<dt>{short()}{end('dt')}<dd>{MARK}{sentences(1, 2) if chance(0.6) else words(1, 4)}{end('dd')}" for _ in range(draw.randint(1, 5))) + "</dl>"
+        if kind == 2:
+            return f"<figure><img src='/{word()}.png'><figcaption>{MARK}{words(2, 8).capitalize()}{pick(('.', ''))}</figcaption></figure>"
+        return within("pre", f"{MARK}{word()} = {word()}({draw.randint(0, 99)})\n{word()}: {words(1, 4)}")
+
     def piece() -> str:
         """A part of the main text; every block of it starts with the mark."""
         kind = draw.randrange(10)
+        if kind == 9 and chance(0.5):
+            return structure()
         if kind == 0:
             return within(pick(("h2", "h3")), MARK + words(2, 6).capitalize())
         if kind == 1:
@@ -409,8 +441,15 @@ def labelled_pages(n: int = 500, seed: int = 3) -> list[tuple[str, list[int]]]:
             body += part("share")
         for _ in range(draw.randint(1, 12)):
             body += piece() + (part(pick(("advert", "advert", "side", "form", "notice", "share"))) if chance(0.08) else "")
+        body += part("comment") if chance(0.25) else ""
+        if chance(0.12):
+            return body  # straight in what is around it
         tag = pick(("article", "article", "main", "div", "section"))
-        return named(tag, MAIN_NAMES, 0.5 if tag in ("article", "main") else 0.0) + body + (part("comment") if chance(0.25) else "") + f"</{tag}>"
+        if tag in ("div", "section") and chance(0.4):
+            # a container whose name, if any, says nothing
+            name = f'<{tag} class="{pick((word(), word() + str(draw.randint(1, 9)), "x" + str(draw.randint(1, 99)), "row", "col", "inner", "box"))}">'
+            return pick((f"<{tag}>", name)) + body + f"</{tag}>"
+        return named(tag, MAIN_NAMES, 0.5 if tag in ("article", "main") else 0.0) + body + f"</{tag}>"
 
     out = []
     for _ in range(n):
@@ -418,7 +457,7 @@ def labelled_pages(n: int = 500, seed: int = 3) -> list[tuple[str, list[int]]]:
         after = "".join(part(k) for k in draw.sample(("comment", "side", "advert", "share", "form", "menu"), draw.randint(0, 3)))
         middle = article()
         if chance(0.3):
-            middle = pick(("<main>{}</main>", '<div class="container">{}</div>', '<div id="page">{}</div>')).format(middle)
+            middle = pick(("<main>{}</main>", '<div class="container">{}</div>', '<div id="page">{}</div>', "<div>{}</div>", "<div><div>{}</div></div>")).format(middle)
         page = before + middle + after + (part("footer") if chance(0.85) else "")
         page = f"<!DOCTYPE html><html><head><title>{words(2, 6)}</title><style>p{{margin:0}}</style></head><body>{within('div', page) if chance(0.3) else page}</body></html>"
         out.append((page.replace(MARK, ""), [int(MARK in b.text) for b in blocks(page)]))
