@@ -303,6 +303,66 @@ def test_mixing_equals_a_solver_that_keeps_every_rate():
     assert np.array_equal(model.rates(p), rate)
 
 
+def soft_rows(spark, seed=6, n=3000):
+    """Documents of four domains, the last rare, with posteriors as a classifier gives them."""
+    draw = np.random.default_rng(seed)
+    alpha = np.array([[20, 0.3, 0.3, 0.1], [0.3, 9, 0.3, 0.1], [0.3, 0.3, 5, 0.1], [0.2, 0.2, 0.2, 3]])
+    p = np.array([draw.dirichlet(alpha[k]) for k in draw.choice(4, n, p=[0.6, 0.25, 0.12, 0.03])])
+    tokens = draw.integers(1, 2000, n)
+    return p, tokens, spark.createDataFrame([(int(t), v) for t, v in zip(tokens, p.tolist())], "n_tokens long, p array<double>")
+
+
+@pytest.mark.parametrize("bounds", [{}, {"least": 1.0}, {"least": 1.0, "most": 1.4}, {"power": 0.3, "least": 0.5, "most": 2.0}])
+def test_rates_are_the_best_permitted_ones(spark, bounds):
+    """Against a dense solver that keeps every rate and runs long: the squares reached and the bound that is reported."""
+    p, tokens, rows = soft_rows(spark)
+    model = mixing.Mixture(list("abcd"), np.zeros((1, 4)))
+    reached = mixing.solve(rows, model, **bounds)
+    rates = model.rates(p)
+    least, most = bounds.get("least", 0.0), bounds.get("most", np.inf)
+    assert rates.min() >= least - 1e-9 and rates.max() <= most + 1e-9
+    total = tokens.sum()
+    assert np.allclose((rates * tokens) @ p / total, reached)
+    assert len(model.gaps) < 20 and (model.excess <= mixing.GAP or model.distance <= mixing.CLOSE)
+    share = tokens @ p / total
+    goal = share ** bounds.get("power", 0.7)
+    goal /= goal.sum()
+    goal = goal / (goal / share).min() if least >= 1 else goal
+    squares = lambda r: ((((r * tokens) @ p / total - goal) ** 2) / share).sum() / 2
+    best = before = np.clip(np.ones(len(p)), least, most)
+    for t in range(4000):
+        ahead = best + t / (t + 3) * (best - before)
+        before, best = best, np.clip(ahead - p @ (((ahead * tokens) @ p / total - goal) / share), least, most)
+    assert squares(rates) - squares(best) <= 1.01 * model.excess * squares(np.ones(len(p))) + 1e-9
+
+
+def test_the_bound_is_reported_where_it_is_not_met(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    _, _, rows = soft_rows(spark)
+    model = mixing.Mixture(list("abcd"), np.zeros((1, 4)))
+    with pytest.warns(UserWarning, match="too large after 1 passes"):
+        mixing.solve(rows, model, power=0.3, least=0.5, most=2.0)
+
+
+def test_any_number_of_domains(spark):
+    """130 domains, one of them with most of the labelled rows."""
+    texts = [(i, " ".join(chr(97 + (i * 7 + k * (1 + i % 130)) % 26) * 3 for k in range(12)) if i < 260 else "common words of one large domain") for i in range(1500)]
+    docs = documents(spark, texts)
+    labelled = spark.createDataFrame([(i, f"d{i % 130:03}" if i < 260 else "large") for i in range(1500)], "doc_id long, domain string").repartition(7)
+    model = mixing.fit_classifier(docs, labelled, rows=100)
+    assert len(model.domains) == 131
+    got = mixing.mixing_rates(docs, labelled, power=0.7).collect()
+    assert len(got) == 1500 and {r["domain"] for r in got} <= set(model.domains)
+
+
+def test_labelled_rows_drawn(spark, monkeypatch):
+    """The first rows by hash, and the first of each domain, whatever the partitions; few more than these come to the driver."""
+    rows = [(i, "rare" if i % 500 == 3 else "common") for i in range(20_000)]
+    sizes = {"rare": 40, "common": 19_960}
+    seen = [mixing._drawn(spark.createDataFrame(rows, "doc_id long, domain string").repartition(k), sizes, 300) for k in (1, 9)]
+    assert seen[0] == seen[1] and sum(d == "rare" for d in seen[0].values()) >= 20 and 300 <= len(seen[0]) <= 320
+
+
 def test_mixing_takes_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id long, domain string")
     got = mixing.mixing_rates(documents(spark, ODD), none).collect()
@@ -444,6 +504,23 @@ y = 2</pre><p>The end comes here at last.</p></article>""")
     assert got == ["A title here", "First sentence of the text, with more.", "Year", "Count", "1990", "12", "Total", "12", "Term", "Meaning of it", "A caption", "x = f(1) y = 2", "The end comes here at last."]
 
 
+def plain_article(page):
+    """What stands in the article element of a page, by patterns: enough for the given pages, whose articles hold plain inline markup."""
+    import html
+
+    body = re.sub(r"<!--.*?-->", "", re.search(r"<article>(.*)</article>", page, re.S)[1], flags=re.S)
+    body = re.sub(r"<(script|style|form|aside|nav)\b.*?</\1>", " ", body, flags=re.S)
+    body = re.sub(r'<(div|section|ul|p) (?:class|id)="?(?:ad|comment|share|related|promo|newsletter|cookie|notice)[^>]*>.*?</\1>', " ", body, flags=re.S)
+    body = re.sub(r"<[^>]+>", " ", re.sub(r"</?(?:b|i|a|em|strong|span|code)\b[^>]*>", "", body))
+    return " ".join(html.unescape(body).split())
+
+
+def test_given_pages_equal_their_articles(spark, small, field):
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in html_crf.main_text(pages, field).collect()}
+    assert got == {r["page_id"]: plain_article(r["html"]) for r in pages.collect()}
+
+
 def test_deep_paths_keep_sections_and_last_elements():
     page = "<main class=m>" + "<section>" * 150 + "<div class=d>" * 150 + "<p>x"
     path = html_crf.blocks(page)[0].path

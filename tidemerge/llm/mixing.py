@@ -1,30 +1,44 @@
 """Rates for documents so that the expected tokens of each domain meet target weights.
 
 A softmax classifier over hashed pairs of bytes, fitted on a labelled table,
-gives every document a probability for each domain. Rates minimise the weighted
-squares of the gaps between expected domain tokens and targets by projected
-gradient. The gradient of a document follows from its probabilities and the
-gaps of the step, one number per domain. So a step is one aggregation over the
-documents, which replay the gaps of the steps before; no state is kept between
-steps but these gaps.
+gives every document a probability for each domain. Rates minimise the squares of
+the gaps between expected domain tokens and targets, weighted by the inverse of the
+domains' shares, by projected gradient. The gradient of a document follows from its
+probabilities and the gaps of the step, one number per domain. A pass over the
+documents tries several step lengths at once, each projected to permitted rates; the
+best average of all rates tried so far, a small problem over domains, is where the next
+step starts. Averages of permitted rates are permitted, and few of them suffice. The
+documents replay the steps before, so no state is kept between passes but the gaps and
+the weights of the averages.
+
+Each step also bounds how far the rates of the step before are from the best ones:
+a gradient at any rates gives a lower bound for the squares that rates can reach, and
+the difference bounds what is left to gain. Steps end by that bound.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemerge.llm.common import batches_of, keep, map_rows
+from tidemerge.operators.spread import spread_join
 
-#: Hashed pairs of bytes; labelled rows that the classifier is fitted on at most, and those that each domain has besides; its steps; most domains, beyond which it is refused.
-WIDTH, FIT_ROWS, DOMAIN_ROWS, FIT_STEPS, MOST_DOMAINS = 1024, 2000, 20, 150, 100
-#: Steps of the rates at most, and the gap in shares of all tokens at which they stop.
-STEPS, CLOSE = 60, 1e-6
+#: Hashed pairs of bytes; labelled rows that the classifier is fitted on at most, and those that each domain has besides; its steps.
+WIDTH, FIT_ROWS, DOMAIN_ROWS, FIT_STEPS = 1024, 2000, 20, 150
+#: Passes over the documents at most; what the squares may lie above the least ones at the end, as a share of those at first, or the domain tokens from the best ones, as a share of all tokens.
+STEPS, GAP, CLOSE = 20, 1e-4, 1e-4
+#: Below the gap, steps go on as long as each takes so much off the squares.
+SLOW = 0.95
+#: Step lengths that a pass tries.
+LENGTHS = (1, 2, 4, 16, 64, 256, 1024, 4096, 1e5, 1e7)
 
 
 def byte_pairs(raw: bytes) -> np.ndarray:
@@ -45,6 +59,9 @@ class Mixture:
     least: float = 0.0
     most: float = float("inf")
     gaps: list[np.ndarray] = field(default_factory=list)
+    averages: list[dict[tuple[int, int], float]] = field(default_factory=list)  # after each step: weights of (step, length) tried, of the start (-1, 0); a length of one, where the list is shorter
+    excess: float = 0.0  # proven bound of what the squares of the gaps lie above the least ones, in shares of those at first
+    distance: float = 0.0  # and of the domain tokens from the best ones, in shares of all tokens
 
     def posteriors(self, raws: list[bytes]) -> np.ndarray:
         if not raws:
@@ -57,10 +74,19 @@ class Mixture:
     def rates(self, posterior: np.ndarray) -> np.ndarray:
         """The rates after all steps: each goes down its gradient and back into the permitted range."""
         rate = np.full(len(posterior), min(max(1.0, self.least), self.most))
-        for gap in self.gaps:
-            rate = np.clip(rate - posterior @ gap, self.least, self.most)
+        tried = {(-1, 0): rate}
+        wanted = {key for weights in self.averages for key in weights}
+        for step, (gap, weights) in enumerate(zip_longest(self.gaps, self.averages)):
+            along, weights = posterior @ gap, weights or {(step, 0): 1.0}
+            for at, length in enumerate(LENGTHS):
+                if (step, at) in wanted or (step, at) in weights:
+                    tried[step, at] = self._projected(rate, along, length)
+            rate = sum(w * tried[key] for key, w in weights.items())
         return rate
 
+    def _projected(self, rate: np.ndarray, along: np.ndarray, length: float) -> np.ndarray:
+        return np.clip(rate - length * along, self.least, self.most)
+
 
 def fit_classifier(documents: DataFrame, labelled: DataFrame, rows: int = FIT_ROWS) -> Mixture:
     """A softmax regression from texts of ``labelled`` (doc_id, domain).
@@ -73,16 +99,14 @@ def fit_classifier(documents: DataFrame, labelled: DataFrame, rows: int = FIT_RO
     """
     known = labelled.where("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("domain").cast("string")).alias("domain"))
     known = keep(known)
-    sizes = {r["domain"]: r["count"] for r in known.groupBy("domain").count().limit(MOST_DOMAINS + 1).collect()}
+    sizes = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
     domains = sorted(sizes) or [""]
-    if len(domains) > MOST_DOMAINS:
-        raise ValueError(f"more than {MOST_DOMAINS} domains")
     if len(domains) == 1:
         return Mixture(domains, np.zeros((WIDTH + 1, 1)))
-    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
-    each = known.withColumn("rank", F.row_number().over(Window.partitionBy("domain").orderBy(*by_hash))).where(F.col("rank") <= DOMAIN_ROWS)
-    known = {r["doc_id"]: r["domain"] for r in [*known.orderBy(*by_hash).limit(rows).collect(), *each.collect()]}
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isin(list(known)))
+    drawn = _drawn(known, sizes, rows)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(known.sparkSession.createDataFrame([(i,) for i in drawn], "doc_id long"), "doc_id", "left_semi")
+    known = drawn
     seen = map_rows(
         texts, "doc_id long, x array<float>",
         lambda ids, held: [ids, pa.array([byte_pairs((t or "").encode("utf-8", "surrogatepass")) for t in held.to_pylist()], pa.list_(pa.float32()))],
@@ -95,6 +119,27 @@ def fit_classifier(documents: DataFrame, labelled: DataFrame, rows: int = FIT_RO
     return Mixture(domains, _softmax_regression(x, y, y @ (total / np.maximum(1, y.sum(axis=0)))))
 
 
+def _drawn(known: DataFrame, sizes: dict[str, int], rows: int) -> dict[int, str]:
+    """The domain of the first ``rows`` labelled rows by a hash of the id, and of the first ``DOMAIN_ROWS`` of each domain.
+
+    The hash has to lie below a bound that some four times as many rows pass, so no domain,
+    however common, sends more to the driver. That fewer pass than wanted does not happen in
+    practice, and would cost the sample a few rows.
+    """
+    place = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
+    bounds = [(d, max(4.0 * DOMAIN_ROWS / n, 4.0 * rows / sum(sizes.values()))) for d, n in sizes.items()]
+    limits = known.sparkSession.createDataFrame(bounds, "domain string, bound double")
+    passed = spread_join(known, limits, ["domain"], "inner").withColumn("h", F.xxhash64("doc_id")).where(place <= F.col("bound"))
+    by_hash = sorted((r["h"], r["doc_id"], r["domain"]) for r in passed.select("h", "doc_id", "domain").collect())
+    out = {i: d for _, i, d in by_hash[:rows]}
+    held = dict.fromkeys(sizes, 0)
+    for _, i, d in by_hash:
+        held[d] += 1
+        if held[d] <= DOMAIN_ROWS:
+            out[i] = d
+    return out
+
+
 def _softmax_regression(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, rate: float = 0.3) -> np.ndarray:
     weight = (weight / max(1.0, weight.sum()))[:, None].astype(np.float32)
     w = np.zeros((x.shape[1], y.shape[1]), np.float32)
@@ -137,17 +182,12 @@ def solve(rows: DataFrame, model: Mixture, targets: dict[str, float] | None = No
     tokens where rates may fall below one, else up until no domain has to fall.
     """
     k = len(model.domains)
-    model.least, model.most, model.gaps = least, most, []
-    terms = [(i, j) for i in range(k) for j in range(i, k)]
-    seen = rows.agg(
-        F.sum("n_tokens").alias("n"),
-        *(F.sum(F.col("n_tokens") * F.col("p")[i]).alias(f"t{i}") for i in range(k)),
-        *(F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[j]).alias(f"m{i}_{j}") for i, j in terms),
-    ).first()
-    if not seen["n"]:
+    model.least, model.most, model.gaps, model.averages, model.excess, model.distance = least, most, [], [], 0.0, 0.0
+    tokens, tried, _ = _reached(rows, model, np.zeros(k), 0.0)
+    if not tokens:
         return np.zeros(k)
-    tokens = float(seen["n"])
-    share = np.array([seen[f"t{i}"] for i in range(k)]) / tokens
+    reached = tried[0]
+    share = reached / min(max(1.0, least), most)  # of the documents as they are
     if targets is None:
         goal = np.where(share > 0, share, 0.0) ** power
         goal /= goal.sum()
@@ -157,35 +197,89 @@ def solve(rows: DataFrame, model: Mixture, targets: dict[str, float] | None = No
         if unknown := set(targets) - set(model.domains):
             raise ValueError(f"targets for domains without labels: {sorted(unknown)}")
         goal = np.array([targets.get(d, 0.0) for d in model.domains]) / tokens
-    square = np.zeros((k, k))
-    for i, j in terms:
-        square[i, j] = square[j, i] = seen[f"m{i}_{j}"] / tokens
-    # squares weighted by the inverse of the second moments: the gradient step of length one is then safe and quick
-    weight = np.linalg.inv(square + 1e-6 * np.trace(square) * np.eye(k))
-    reached = share * min(max(1.0, least), most)
-    before = None
+    # probabilities of a document sum to one, so with these weights a gradient step of length one is safe
+    weight = 1 / np.maximum(share, 1e-12)
+    points = [((-1, 0), reached)]
+    at_first, last = None, np.inf
     for _ in range(STEPS):
         gap = reached - goal
-        if np.abs(gap).max() <= CLOSE or before is not None and np.abs(reached - before).max() <= CLOSE / 100:
-            break
-        model.gaps.append(weight @ gap)
-        before, reached = reached, _reached(rows, model, tokens)
+        slope, value = weight * gap, gap @ (weight * gap) / 2
+        if np.abs(gap).max() <= CLOSE / 100:
+            model.excess, model.distance = 0.0, float(np.sqrt((gap * gap).sum()))
+            return reached
+        _, tried, low = _reached(rows, model, slope, goal.sum() + np.sqrt(2 * value))
+        # the squares cannot fall by more than the slope falls at most, nor below zero: that bounds the distance from the best, too
+        excess = min(max(0.0, slope @ reached - low), value)
+        at_first = value if at_first is None else at_first
+        model.excess, model.distance = float(excess / at_first), float(np.sqrt(2 * excess * share.max()))
+        if model.distance <= CLOSE or model.excess <= GAP and value > SLOW * last:
+            return reached
+        last = value
+        points += [((len(model.gaps), at), tokens_of) for at, tokens_of in enumerate(tried[1:])]
+        weights = _closest_average(np.array([(p - goal) * np.sqrt(weight) for _, p in points]))
+        model.gaps.append(slope)
+        model.averages.append({points[i][0]: float(w) for i, w in weights.items()})
+        reached = sum(w * points[i][1] for i, w in weights.items())
+    warnings.warn(f"the squares of the gaps may be {model.excess:.1e} of what they were too large after {STEPS} passes", stacklevel=2)
     return reached
 
 
-def _reached(rows: DataFrame, model: Mixture, tokens: float) -> np.ndarray:
-    """Expected domain tokens under the rates of all steps so far: partition sums, one number per domain."""
-    k = len(model.domains)
+def _closest_average(points: np.ndarray) -> dict[int, float]:
+    """Weights, of sum one, of the few rows whose average is closest to zero: Wolfe's algorithm for the nearest point of a hull."""
+    held = [int((points * points).sum(axis=1).argmin())]
+    weight = np.ones(1)
+    for _ in range(1000):
+        now = weight @ points[held]
+        along = points @ now
+        best = int(along.argmin())
+        if along[best] >= (1 - 1e-9) * (now @ now) or best in held:
+            break
+        held, weight = [*held, best], np.append(weight, 0.0)
+        while True:
+            # the closest point of the affine hull; where it lies outside, the row that leaves first goes
+            rows = points[held]
+            wanted = np.linalg.lstsq(np.vstack([np.ones(len(held)), rows @ rows.T - (rows @ rows.T)[:1]]), np.r_[1.0, np.zeros(len(held))], rcond=None)[0]
+            if wanted.min() > 1e-12:
+                weight = wanted / wanted.sum()
+                break
+            falls = wanted <= 1e-12
+            ratio = np.min(weight[falls] / np.maximum(weight[falls] - wanted[falls], 1e-300))
+            weight = weight + min(1.0, ratio) * (wanted - weight)
+            stays = weight > 1e-12
+            held, weight = [h for h, s in zip(held, stays, strict=True) if s], weight[stays] / weight[stays].sum()
+    return dict(zip(held, weight.tolist(), strict=True))
+
+
+def _reached(rows: DataFrame, model: Mixture, slope: np.ndarray, most_tokens: float) -> tuple[float, np.ndarray, float]:
+    """Tokens, expected domain tokens under the rates so far and under a step of each length along ``slope``, and the least that ``slope`` can give, in shares of the tokens.
+
+    The least is over all permitted rates with ``most_tokens`` of all tokens at most; without
+    that bound rates without upper limit could make it as small as one likes. One pass, sums
+    by partition, a few numbers per domain.
+    """
+    k, ways = len(model.domains), 1 + len(LENGTHS)
+    least, most = model.least, model.most
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(k)
+        total, low = np.zeros(ways * k + 2), 0.0
         for b in batches:
-            p = _posterior(b.column(1), k)
-            total += (model.rates(p) * b.column(0).to_numpy()) @ p
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total.tolist()], [f"t{i}" for i in range(k)])
-
-    got = rows.select("n_tokens", "p").mapInArrow(sums, ", ".join(f"t{i} double" for i in range(k)))
-    return np.array(got.agg(*(F.sum(f"t{i}") for i in range(k))).first(), float) / tokens
+            p, n = _posterior(b.column(1), k), b.column(0).to_numpy()
+            along, rate = p @ slope, model.rates(p)
+            tried = np.stack([rate, *(model._projected(rate, along, length) for length in LENGTHS)])
+            total[:-2] += ((tried * n) @ p).ravel()
+            total[-2] += n.sum()
+            total[-1] += n @ (along * np.where((along < 0) & np.isfinite(most), min(most, 1e300), least))
+            low = min(low, along.min(initial=0.0))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total), pa.array(np.full(len(total), low))], ["j", "total", "low"])
+
+    got = rows.select("n_tokens", "p").mapInArrow(sums, "j long, total double, low double").groupBy("j").agg(F.sum("total").alias("total"), F.min("low").alias("low"))
+    held = sorted(map(tuple, got.collect()))
+    if not held or not held[-2][1]:
+        return 0.0, np.zeros((ways, k)), 0.0
+    tokens, low = held[-2][1], held[-1][1] / held[-2][1]
+    if not np.isfinite(most):
+        low += max(0.0, most_tokens - least) * held[-1][2]
+    return tokens, np.array([t for _, t, _ in held[:-2]]).reshape(ways, k) / tokens, low
 
 
 def chance_of(ids: list[int | None], salt: int = 0x9E3779B97F4A7C15) -> np.ndarray:
@@ -225,7 +319,13 @@ def mixing_rates(documents: DataFrame, labelled: DataFrame, targets: dict[str, f
 
 
 def mix(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, **bounds: float) -> DataFrame:
-    """``documents``, all columns, each row as often as its rate says; texts are read, never shuffled."""
+    """``documents``, all columns, each row as often as its rate says; texts are read, never shuffled.
+
+    Null and empty texts are one token with the classifier's bias as probabilities. Rows that
+    repeat have the same rate each; a null id rounds like the id -1. Without documents, or
+    without labels, rows come back as they are, but for the bounds of their rates. Columns of
+    any name pass through.
+    """
     model = fit_classifier(documents, labelled)
     solve(keep(soft_membership(documents, model).select("n_tokens", "p")), model, targets, **bounds)
     columns, types = documents.columns, documents.schema
