@@ -256,11 +256,74 @@ def test_quality_without_labels_or_rows(spark):
     assert quality.keep_good(documents(spark, ODD), none, 0.5).count() == len(ODD)
 
 
+def test_the_ridge_is_the_dense_solution(spark):
+    """Features, partition sums and ridge against one numpy solution over all rows; the statistics of a text by hand."""
+    draw = np.random.default_rng(2)
+    x = np.column_stack([draw.normal(size=(400, 17)), np.ones(400)])
+    y = (x[:, 0] + draw.normal(size=400) * 0.3 > 0).astype(float)
+    turn, shift = draw.normal(size=(18, quality.FEATURES)), draw.uniform(0, 6, quality.FEATURES)
+    model = quality.Model(x.mean(axis=0), np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1), turn, shift, np.zeros(quality.FEATURES + 1), np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    rows = spark.createDataFrame([(v, float(g)) for v, g in zip(x.tolist(), y)], "x array<double>, y double").repartition(7)
+    z = np.clip((x - model.mean) / model.scale, -8, 8)
+    waves = np.column_stack([np.sqrt(2 / quality.FEATURES) * np.cos(z @ turn + shift), np.ones(400)])
+    side = quality.FEATURES + 1
+    want = np.linalg.solve(waves.T @ waves + quality.RIDGE * 400 * np.eye(side), waves.T @ y)
+    assert np.allclose(quality._ridge(rows, model), want, atol=1e-6)
+    # inner products of many features approach the Gaussian kernel
+    many = quality.Model(np.zeros(18), np.ones(18), draw.normal(size=(18, 60_000)) / 4, draw.uniform(0, 2 * np.pi, 60_000), np.zeros(60_001), model.at, model.chance)
+    f = many.features(x[:3, :] / 2)[:, :-1]
+    apart = ((x[0] - x[1]) ** 2).sum() / 4
+    assert abs(f[0] @ f[1] - np.exp(-apart / 32)) < 0.02
+    got = quality.statistics("One two two.\n\nTwo $3 END!")
+    assert np.allclose(got[:10], [np.log1p(6), np.log1p(25), 19 / 6, np.log1p(4), 1, 1 / 6, 0.5, 0, 1, 2 / 25])
+
+
+def test_good_rows_keep_their_columns(spark):
+    """Columns named like the library's own, repeated rows and null texts pass through; nothing is computed from them."""
+    rows = [(i, "Plain words of a good text, again. " * 5 if i % 2 else "$$ ## zzz " * 9, i, "v", [i]) for i in range(120)] + [(None, None, 1, None, None), (7, "Plain words of a good text, again. " * 5, 7, "v", [7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, x int, `a.b` string, doc array<int>")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    good = quality.keep_good(docs, labels, 0.5)
+    assert good.columns == docs.columns
+    kept = sorted(r["doc_id"] for r in good.collect() if r["doc_id"] is not None)
+    assert kept == sorted([*range(1, 120, 2), 7])
+    assert quality.keep_good(docs.limit(0), labels).count() == 0
+
+
 def test_isotonic_is_the_pooled_fit():
     at, chance = quality.isotonic(np.array([0.1, 0.2, 0.3, 0.4]), np.array([1, 0, 3, 4.0]), np.array([2, 2, 4, 4.0]))
     assert np.allclose(np.interp([0.1, 0.2, 0.3, 0.4], at, chance), [0.25, 0.25, 0.75, 1.0])
 
 
+# ----------------------------------------------------------- one of each group
+
+
+def plain_keep_one(rows):
+    """Groups by brute force over fingerprints; of each the smallest id, then the smallest fingerprint."""
+    prints = [simhash.fingerprint(r[1], 3) & (2**64 - 1) for r in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    signed = [p - 2**64 if p >> 63 else p for p in prints]
+    best = {}
+    for r, p, g in sorted(zip(rows, signed, group, strict=True), key=lambda t: (t[0][0] is None, t[0][0] or 0, t[1])):
+        best.setdefault(g, (r[0], r[1]))
+    return sorted(best.values(), key=str)
+
+
+def test_one_row_of_each_group(spark):
+    a, b, c = "the fox went home and slept. " * 9, "quite another text about boats and rivers. " * 9, "a third thing, of which nobody spoke. " * 9
+    rows = [(5, a), (5, b), (3, b), (3, b), (None, a), (None, c), (None, c), (9, None), (8, ""), (None, " "), (7, c + "x"), (20, a + "end"), (21, a + "end")]
+    docs = spark.createDataFrame([(i, t, 1, "y", 2) for i, t in rows], "doc_id long, text string, fp int, component string, _copy int").repartition(3)
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == plain_keep_one(rows)
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
 # ------------------------------------------------------------------ mixing
 
 

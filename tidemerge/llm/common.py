@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate
@@ -10,6 +11,8 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, StructField, StructType
 
 SETTING = "spark.checkpoint.dir"
 
@@ -57,6 +60,25 @@ def map_rows(df: DataFrame, schema: str, function: Callable[..., list[tuple]], *
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def written_with(documents: DataFrame, name: str, kind: DataType, function: Callable[[list[str | None]], list]) -> DataFrame:
+    """(doc, ``name``): each row of ``documents`` as a struct, whatever its columns are called, and what ``function`` computes from its texts.
+
+    Written once as Parquet in the shared folder and read again, so that later steps read the
+    columns they need and compute nothing twice.
+    """
+    schema = StructType([StructField("doc", documents.schema), StructField(name, kind)])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(0).field("text").to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(function(texts), arrow.field(name).type)], names=["doc", name])
+
+    path = f"{shared_folder(documents.sparkSession).rstrip('/')}/rows-{uuid.uuid4()}"
+    documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")).mapInArrow(run, schema).write.parquet(path)
+    return documents.sparkSession.read.parquet(path)
+
+
 def held_out(column: str = "doc_id") -> F.Column:
     """crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2, F.lit(False))

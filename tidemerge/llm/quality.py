@@ -18,8 +18,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
-from tidemerge.llm.common import batches_of, held_out, keep, map_rows
+from tidemerge.llm.common import batches_of, held_out, keep, map_rows, written_with
 
 SYMBOLS = rb"!#$%&*+/<=>?@[\]^_`{|}~"
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -201,16 +202,19 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents``, all columns, whose text scores at least ``threshold``; texts are read, never shuffled."""
-    model = fit(statistics_of(documents), labels)
-    columns, types = documents.columns, documents.schema
+    """The rows of ``documents``, all columns of any names, whose text scores at least ``threshold``.
+
+    Null and empty texts have statistics of zero and the score these get; repeated rows have one
+    score. The statistics are computed once and written beside the rows. With no row to learn
+    from, every score is one half. An empty table gives an empty one.
+    """
+    rows = written_with(documents, "x", ArrayType(DoubleType()), lambda texts: [statistics(t) for t in texts])
+    model = fit(rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "x"), labels)
+    schema = rows.schema
 
     def good(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = columns.index("text")
         for b in batches:
             if b.num_rows:
-                x = np.array([statistics(t) for t in b.column(at).to_pylist()])
-                yield b.filter(pa.array(model.score(x) >= threshold))
+                yield b.filter(pa.array(model.score(matrix(b.column(1))) >= threshold))
 
-    batches_of(documents.sparkSession)
-    return documents.mapInArrow(good, types)
+    return rows.mapInArrow(good, schema).select("doc.*")

@@ -18,11 +18,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from tidemerge.llm.common import batches_of, keep, map_rows
+from tidemerge.llm.common import batches_of, keep, map_rows, written_with
 from tidemerge.llm.components import Forest, components, links_batch
+from tidemerge.operators.spread import spread_join
 
 SEED = 42
 RADIUS = 2
@@ -160,11 +162,35 @@ def simhash_groups(documents: DataFrame, shingle: int = SHINGLE, radius: int = R
             "doc_id", "text",
         )
     )
+    found = groups_of(rows, radius, shard)
+    return spread_join(rows, found, ["fp"], "inner").select("doc_id", "fp", "component_id")
+
+
+def groups_of(rows: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """(fp, component, component_id) for every distinct fingerprint of rows (doc_id, fp): the group's smallest fingerprint and smallest id."""
     held = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     groups = components(link_fingerprints(held.select("fp"), radius, shard))
     named = held.join(groups, held.fp == groups.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     first = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    return rows.join(named.join(first, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return spread_join(named, first, ["component"], "inner").select("fp", "component", "component_id")
+
+
+def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """One row of ``documents``, all columns, of each group of near copies: the one of smallest id.
+
+    A row counts by its own text, so rows that repeat an id with other texts are told apart; of
+    rows of one id in one group the first by fingerprint, then by a hash of the row, stays. A row
+    without id stays only where no row of its group has one. Null and empty texts are one group.
+    An empty table gives an empty one.
+    """
+    rows = written_with(documents, "fp", LongType(), lambda texts: [fingerprint(t, shingle) for t in texts])
+    rows = rows.withColumn("id", F.col("doc.doc_id").cast("long"))
+    found = groups_of(rows.select(F.col("id").alias("doc_id"), "fp"), radius, shard).select("fp", "component")
+    grouped = spread_join(rows, found, ["fp"], "inner", spread_by=["id"])
+    whole = F.xxhash64(*[F.col(f"doc.`{c}`") for c, t in documents.dtypes if "map<" not in t and t != "variant"])
+    # the rank filter is pushed below the shuffle: a map task sends one row of a group at most
+    order = Window.partitionBy("component").orderBy(F.col("id").asc_nulls_last(), "fp", whole)
+    return grouped.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("doc.*")
 
 
 def hexadecimal(column: str = "fp") -> F.Column:
