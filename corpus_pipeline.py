@@ -12,24 +12,22 @@ from tidemerge.llm.common import shared_folder, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject; it learns from ``labels`` of the documents given."""
+    """Documents that the quality classifier does not reject; it learns from ``labels`` of the documents given. Without any, all score one half and none is good."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each SimHash group. Rows that repeat an id are one document; a row without id stays, as nothing names it."""
-    groups = simhash.simhash_groups(docs, shingle=3, radius=2)
-    copies = groups.where("doc_id IS NOT NULL AND doc_id != component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(copies, docs.doc_id == F.col("_copy"), "left_anti")
+    """One document of each SimHash group, that of smallest id. Rows count by their own text, so rows that repeat an id with other texts are documents of their own."""
+    return simhash.keep_one(docs, shingle=3, radius=2)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by marks."""
+    """All documents, personal data replaced by marks; null texts stay null, repeated rows are masked alike."""
     return pii.mask_personal_data(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as smoothed language weights ask; none is left out, rare languages repeat. The labelled table: languages of documents in ``labels``."""
+    """Documents as often as smoothed language weights ask; none is left out, rare languages repeat. The labelled table: languages of documents in ``labels``, without which each document stays once."""
     return mixing.mix(docs, languages(spark, docs, sf_dir), power=0.7, least=1.0)
 
 
@@ -39,7 +37,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every token of every document in a sequence of a permitted length."""
+    """Every token of every document in a sequence of a permitted length; a null or empty text is its end mark alone, repeated rows are packed each."""
     return packing.pack_documents(docs)
 
 
@@ -56,6 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed corpus of ``documents``.
+
+    Each stage takes any rows: null texts and ids, repeated rows, ties and further columns as its
+    operator states; an empty table gives an empty corpus. What the stages write stays in a folder
+    of its own under the shared one, for its owner to remove.
+    """
     folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4()}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
