@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemerge.llm.common import batches_of, keep, map_rows
-from tidemerge.operators.spread import spread_join
 
 #: Hashed pairs of bytes; labelled rows that the classifier is fitted on at most, and those that each domain has besides; its steps.
 WIDTH, FIT_ROWS, DOMAIN_ROWS, FIT_STEPS = 1024, 2000, 20, 150
@@ -105,7 +104,8 @@ def fit_classifier(documents: DataFrame, labelled: DataFrame, rows: int = FIT_RO
         return Mixture(domains, np.zeros((WIDTH + 1, 1)))
     drawn = _drawn(known, sizes, rows)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(known.sparkSession.createDataFrame([(i,) for i in drawn], "doc_id long"), "doc_id", "left_semi")
+    # so many ids as the driver holds already: FIT_ROWS and DOMAIN_ROWS of each domain
+    texts = texts.join(F.broadcast(known.sparkSession.createDataFrame([(i,) for i in drawn], "doc_id long")), "doc_id", "left_semi")
     known = drawn
     seen = map_rows(
         texts, "doc_id long, x array<float>",
@@ -128,8 +128,8 @@ def _drawn(known: DataFrame, sizes: dict[str, int], rows: int) -> dict[int, str]
     """
     place = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
     bounds = [(d, max(4.0 * DOMAIN_ROWS / n, 4.0 * rows / sum(sizes.values()))) for d, n in sizes.items()]
-    limits = known.sparkSession.createDataFrame(bounds, "domain string, bound double")
-    passed = spread_join(known, limits, ["domain"], "inner").withColumn("h", F.xxhash64("doc_id")).where(place <= F.col("bound"))
+    limits = F.broadcast(known.sparkSession.createDataFrame(bounds, "domain string, bound double"))  # a row for each domain
+    passed = known.join(limits, "domain").withColumn("h", F.xxhash64("doc_id")).where(place <= F.col("bound"))
     by_hash = sorted((r["h"], r["doc_id"], r["domain"]) for r in passed.select("h", "doc_id", "domain").collect())
     out = {i: d for _, i, d in by_hash[:rows]}
     held = dict.fromkeys(sizes, 0)
