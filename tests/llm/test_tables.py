@@ -74,6 +74,46 @@ def test_unwanted_blocks_are_not_decoded(tmp_path):
         source.block(0, False)
 
 
+def test_members_are_passed_over_by_their_length():
+    """Unwanted members are sought past, not read; other tools unpack them; members that state no length run through."""
+    import gzip
+    import io
+
+    bodies = [bytes(np.random.default_rng(k).integers(0, 256, 400_000, dtype=np.uint8)) for k in range(4)]
+    records = [warc.record("response", k, "u", b, len(b), warc.digest(b), None) for k, b in enumerate(bodies)]
+    packed = b"".join(map(warc.gzipped, records))
+    assert gzip.decompress(packed) == b"".join(records)
+    assert [warc.member_length(warc.gzipped(r)[:1024]) for r in records] == [len(warc.gzipped(r)) for r in records]
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            Counted.taken += len(data)
+            return data
+
+    for data, least, most in ((packed, 0, 5 * warc.READ_SIZE + 400_500), (b"".join(gzip.compress(r) for r in records), 1_600_000, 10**9)):
+        Counted.taken, source, got = 0, warc.Members(Counted(data)), []
+        for k in range(4):
+            head = warc.fields(source.head())
+            got.append(source.block(int(head["content-length"]), k == 2))
+            assert warc.columns_of(head)["page_id"] == k
+        assert source.head() is None and got[:2] == [None, None] and got[2].endswith(bodies[2])
+        assert least <= Counted.taken <= most
+
+
+def test_archives_equal_their_sql(spark, small, monkeypatch):
+    import oracle
+    from tidemerge.llm.queries import ORACLE, QUERIES
+
+    monkeypatch.setitem(oracle.ORACLE, "op5_warc", ORACLE["op5_warc"])
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    assert oracle.difference(spark, oracle.connect(small), small, "op5_warc", QUERIES["op5_warc"](spark, small)) is None
+    assert spark.conf.get(setting) == before
+
+
 def test_no_pages_no_files(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archived_pages(empty, f"file://{tmp_path}").count() == 0

@@ -93,6 +93,18 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+#: Base32 of a SHA-1: five bits at a time, each from two hexadecimal digits.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+    ((strpos('0123456789abcdef', substr(sha, (5 * i // 4 + 1)::BIGINT, 1)) - 1) * 16 + strpos('0123456789abcdef', substr(sha, (5 * i // 4 + 2)::BIGINT, 1)) - 1)
+    // CASE 5 * i % 4 WHEN 0 THEN 8 WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 1 END % 32), 1)), '')"""
+
+ORACLE["op5_warc"] = f"""
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS sha, max(page_id) OVER (PARTITION BY html) AS last
+      FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
+"""
+
 #: crc32 of an id's decimals, a byte and a bit at a time.
 _CRC32 = """xor(4294967295::UBIGINT, list_reduce(
     list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::UBIGINT)),
@@ -102,7 +114,8 @@ ORACLE["op13_prefix_trie"] = rf"""
 WITH given AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 turns AS (
-    SELECT *, left(sha256(length(role) || ':' || role || text), 32) AS tid, len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM given),
+    SELECT *, left(sha256(length(role) || ':' || role || text), 32) AS tid, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words FROM given),
 numbered AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tid) AS i FROM turns),
 convs AS (

@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -25,8 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, WriterCommitMessage
 
+from tidemerge.operators.spread import spread_join
+
 SCHEMA = "record_type string, page_id long, url string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 READ_SIZE, PLAN_BYTES, BATCH_BYTES = 1 << 16, 64 << 20, 8 << 20
+#: What is looked at of a gzip header.
+LONGEST_HEAD = 1 << 10
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -58,9 +63,30 @@ def record(kind: str, page: int | None, url: str | None, payload: bytes, size: i
     return ("WARC/1.1\r\n" + "\r\n".join(head) + "\r\n\r\n").encode("ascii") + block + b"\r\n\r\n"
 
 
+#: Names the extra field of a gzip header that holds the length of its member.
+LENGTH = b"TM"
+
+
 def gzipped(data: bytes, level: int = 1) -> bytes:
-    maker = zlib.compressobj(level, zlib.DEFLATED, 31)
-    return maker.compress(data) + maker.flush()
+    """A gzip member that states its own length, so a reader can pass over it without unpacking."""
+    maker = zlib.compressobj(level, zlib.DEFLATED, -15)
+    body = maker.compress(data) + maker.flush()
+    extra = LENGTH + struct.pack("<HQ", 8, 12 + 12 + len(body) + 8)
+    head = b"\x1f\x8b\x08\x04" + bytes(5) + b"\xff" + struct.pack("<H", len(extra)) + extra
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
+def member_length(head: bytes) -> int | None:
+    """The length that the start of a gzip member states, if it does."""
+    if len(head) < 12 or head[:3] != b"\x1f\x8b\x08" or not head[3] & 4:
+        return None
+    extra, at = head[12 : 12 + int.from_bytes(head[10:12], "little")], 0
+    while at + 4 <= len(extra):
+        name, size = extra[at : at + 2], int.from_bytes(extra[at + 2 : at + 4], "little")
+        if name == LENGTH and size == 8:
+            return int.from_bytes(extra[at + 4 : at + 12], "little")
+        at += 4 + size
+    return None
 
 
 class Plain:
@@ -103,10 +129,10 @@ class Plain:
 
 
 class Members:
-    """Records of an archive of one gzip member each: headers are unpacked first; the rest of an unwanted member runs through in small pieces, none kept."""
+    """Records of an archive of one gzip member each: headers are unpacked first. The rest of an unwanted member is passed over by its stated length; where it states none, it runs through in small pieces, none kept."""
 
     def __init__(self, file: BinaryIO) -> None:
-        self.file, self.raw, self.out, self.unpack = file, b"", b"", None
+        self.file, self.raw, self.out, self.unpack, self.end = file, b"", b"", None, None
 
     def _more(self, room: int) -> bytes:
         """Up to ``room`` bytes of the member, b'' at its end."""
@@ -125,10 +151,12 @@ class Members:
         if self.unpack is not None:
             while self._more(READ_SIZE):
                 pass
-        if not self.raw:
-            self.raw = self.file.read(READ_SIZE)
+        if len(self.raw) < LONGEST_HEAD:
+            self.raw += self.file.read(READ_SIZE)
         if not self.raw:
             return None
+        length = member_length(self.raw[:LONGEST_HEAD])
+        self.end = None if length is None else self.file.tell() - len(self.raw) + length
         self.unpack, self.out = zlib.decompressobj(31), b""
         while (end := self.out.find(b"\r\n\r\n")) < 0:
             more = self._more(1024)
@@ -140,6 +168,11 @@ class Members:
 
     def block(self, n: int, wanted: bool) -> bytes | None:
         if not wanted:
+            if self.end is not None:
+                ahead = self.end - (self.file.tell() - len(self.raw))
+                if ahead > len(self.raw):
+                    self.file.seek(self.end)
+                self.raw, self.unpack = self.raw[max(0, ahead) :], None
             return None
         parts, got = [self.out], len(self.out)
         while got < n and (more := self._more(n - got)):
@@ -351,20 +384,25 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
     """
     spark = pages.sparkSession
     register(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("payload"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha", F.sha1("payload"))
     last = rows.where(F.col("payload_bytes") >= least).groupBy("payload_bytes", "sha").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").drop("n")
-    # only pages that repeat an earlier payload need a partner, so these alone are joined with digests; ids, not pages, move
-    rows = rows.join(last.withColumnRenamed("payload_bytes", "size").withColumnRenamed("sha", "same"), (F.col("sha") == F.col("same")) & (F.col("payload_bytes") == F.col("size")), "left")
+    # pages move to their partner once, unless the list of repeated payloads is small enough for Spark to broadcast; a very common payload is spread
+    rows = spread_join(rows, last, ["sha", "payload_bytes"], spread_by=["page_id"])
     again = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     out = rows.select(
         F.when(again, "revisit").otherwise("response").alias("record_type"), "page_id", "url", "payload_bytes",
         F.col("sha").alias("payload_digest"), F.when(again, F.col("last")).alias("refers_to"),
         F.when(~again, F.col("payload")).alias("payload"),
     )
-    out.write.format("warc").mode("append").save(path)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1000")
+    try:
+        out.write.format("warc").mode("append").save(path)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def read_archives(spark, path: str, payload: str = "none") -> DataFrame:
