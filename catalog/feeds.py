@@ -39,11 +39,11 @@ CLOCK = hm("o_orderkey % 24", "o_custkey % 60")
 DUMMY = f"concat('12/30/1899 ', {CLOCK}, ':00')"
 STATION = "concat('ST', o_custkey % 120)"
 DMS = """
-  38.0 AS LatD0, CAST(37 + s_suppkey % 2 AS DOUBLE) AS LatD, CAST(s_suppkey % 60 AS DOUBLE) AS LatM,
+  CAST(37 + s_suppkey % 2 AS DOUBLE) AS LatD, CAST(s_suppkey % 60 AS DOUBLE) AS LatM,
   CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE CAST(s_suppkey * 7 % 60 AS DOUBLE) END AS LatS,
   CAST(121 + s_suppkey % 2 AS DOUBLE) AS LonD, CAST(s_suppkey * 3 % 60 AS DOUBLE) AS LonM,
   CAST(s_suppkey * 13 % 60 AS DOUBLE) AS LonS
-""".replace("  38.0 AS LatD0, ", "  ")
+"""
 
 # --- DJFMP
 _DJFMP = f"""

@@ -60,10 +60,14 @@ def strict(fn: str, col: str) -> str:
     return f"CASE WHEN count(*) OVER w = count({col}) OVER w THEN {fn}({col}) OVER w END"
 
 
-def dms_stations(view: str, station: str = "Station") -> str:
-    return f"""SELECT {station} AS Station, LatD + LatM / 60 + LatS / 3600 AS Latitude,
-      (LonD + LonM / 60 + LonS / 3600) * -1 AS Longitude FROM {view}
-      WHERE {station} IS NOT NULL AND LatD + LatM / 60 + LatS / 3600 IS NOT NULL AND LonD + LonM / 60 + LonS / 3600 IS NOT NULL"""
+def dms_stations(view: str, station: str = "Station", latitude=("LatD", "LatM", "LatS"), longitude=("LonD", "LonM", "LonS")) -> str:
+    """Positions in degrees, minutes and seconds of the named columns."""
+    def degrees(parts):
+        return "{} + {} / 60 + {} / 3600".format(*parts)
+
+    return f"""SELECT {station} AS Station, {degrees(latitude)} AS Latitude,
+      ({degrees(longitude)}) * -1 AS Longitude FROM {view}
+      WHERE {station} IS NOT NULL AND {degrees(latitude)} IS NOT NULL AND {degrees(longitude)} IS NOT NULL"""
 
 
 FIELD_COORDS = """(s.Latitude IS NULL AND v.Latitude IS NOT NULL) OR (s.Longitude IS NULL AND v.Longitude IS NOT NULL) AS Field_coords,
@@ -154,7 +158,7 @@ def dirty(col: str) -> str:
 
 
 survey("SKT", "survey_skt", "skt", f"""
-WITH st AS ({dms_stations('skt_stations').replace('LatD', 'LatDeg').replace('LatM ', 'LatMin ').replace('LatS ', 'LatSec ').replace('LonD', 'LongDec').replace('LonM ', 'LongMin ').replace('LonS ', 'LongSec ')}),
+WITH st AS ({dms_stations('skt_stations', latitude=('LatDeg', 'LatMin', 'LatSec'), longitude=('LongDec', 'LongMin', 'LongSec'))}),
 p AS (SELECT *, {stamp('SampleDate')} AS d FROM skt_sample),
 c AS (SELECT *, CASE WHEN CAST(d AS DATE) = DATE '2018-03-06' AND StationCode = '519' THEN TIMESTAMP '1899-12-30 12:00:00'
   ELSE {stamp('SampleTimeStart')} END AS t,
