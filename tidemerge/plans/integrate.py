@@ -6,12 +6,13 @@ import datetime
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemerge.functions.clock import month_start, season
 from tidemerge.functions.text import paste
 from tidemerge.functions.units import add_practical_salinity
+from tidemerge.sources.registry import stored
 
 # The sources, in the order they are combined.
 SOURCES = (
@@ -115,3 +116,15 @@ def integrate(
     if "Field_coords" in df.columns:
         df = df.withColumn("Field_coords", F.coalesce("Field_coords", F.lit(False)))
     return fill_salinity(fill_salinity(df), "_bottom")
+
+
+def integrated(
+    spark: SparkSession, cleaned: str, sources: Iterable[str] | None = None, start_year: int | None = None, end_year: int | None = None,
+    *, as_of: int | None = None,
+) -> DataFrame:
+    """The integrated table straight from the stored tables in ``cleaned``, their latest versions or those of ``as_of``.
+
+    Nothing is cleaned, so the first task starts as soon as the manifest is read.
+    """
+    chosen = check_sources(sources)
+    return integrate(stored(spark, cleaned, chosen, as_of), chosen, start_year, end_year)

@@ -82,6 +82,6 @@ def store(
     return store_tables(spark, cleaned, {n: cleaner(s) for n, s in surveys.items()}, made_from)
 
 
-def stored(spark: SparkSession, cleaned: str, names: Iterable[str]) -> dict[str, Callable[[], DataFrame]]:
-    """Openers of the cleaned tables in their latest whole versions; a table is only looked at when it is opened."""
-    return open_tables(spark, cleaned, names)
+def stored(spark: SparkSession, cleaned: str, names: Iterable[str], as_of: int | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """Openers of the cleaned tables in their latest whole versions, or those of ``as_of``; a table is only looked at when it is opened."""
+    return open_tables(spark, cleaned, names, as_of)
