@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemerge.llm.common import keep
+from tidemerge.operators.spread import spread_join
 
 
 class Forest:
@@ -76,7 +77,8 @@ def components(links: DataFrame) -> DataFrame:
         before = state
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # the hub of a large component holds a link of every node: such keys are spread
+        large = spread_join(both, least, ["u"], "inner").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
+        small = spread_join(large, least, ["u"], "inner").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
         links = keep(small.distinct())
