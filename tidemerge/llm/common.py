@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import DataType, LongType, StructField, StructType
 
 SETTING = "spark.checkpoint.dir"
 
@@ -61,21 +61,22 @@ def map_rows(df: DataFrame, schema: str, function: Callable[..., list[tuple]], *
 
 
 def written_with(documents: DataFrame, name: str, kind: DataType, function: Callable[[list[str | None]], list]) -> DataFrame:
-    """(doc, ``name``): each row of ``documents`` as a struct, whatever its columns are called, and what ``function`` computes from its texts.
+    """(doc, place, ``name``): each row of ``documents`` as a struct, whatever its columns are called, its number, and what ``function`` computes from its text.
 
     Written once as Parquet in the shared folder and read again, so that later steps read the
-    columns they need and compute nothing twice.
+    columns they need, compute nothing twice and can name a row by its number.
     """
-    schema = StructType([StructField("doc", documents.schema), StructField(name, kind)])
+    schema = StructType([StructField("doc", documents.schema), StructField("place", LongType()), StructField(name, kind)])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(0).field("text").to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(function(texts), arrow.field(name).type)], names=["doc", name])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(function(texts), arrow.field(name).type)], names=["doc", "place", name])
 
     path = f"{shared_folder(documents.sparkSession).rstrip('/')}/rows-{uuid.uuid4()}"
-    documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")).mapInArrow(run, schema).write.parquet(path)
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"), F.monotonically_increasing_id().alias("place"))
+    rows.mapInArrow(run, schema).write.parquet(path)
     return documents.sparkSession.read.parquet(path)
 
 

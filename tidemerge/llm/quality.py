@@ -215,6 +215,6 @@ def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESH
     def good(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield b.filter(pa.array(model.score(matrix(b.column(1))) >= threshold))
+                yield b.filter(pa.array(model.score(matrix(b.column(2))) >= threshold))
 
     return rows.mapInArrow(good, schema).select("doc.*")

@@ -184,13 +184,14 @@ def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     An empty table gives an empty one.
     """
     rows = written_with(documents, "fp", LongType(), lambda texts: [fingerprint(t, shingle) for t in texts])
-    rows = rows.withColumn("id", F.col("doc.doc_id").cast("long"))
-    found = groups_of(rows.select(F.col("id").alias("doc_id"), "fp"), radius, shard).select("fp", "component")
-    grouped = spread_join(rows, found, ["fp"], "inner", spread_by=["id"])
     whole = F.xxhash64(*[F.col(f"doc.`{c}`") for c, t in documents.dtypes if "map<" not in t and t != "variant"])
+    light = rows.select("place", "fp", F.col("doc.doc_id").cast("long").alias("doc_id"), whole.alias("whole"))
+    found = groups_of(light.select("doc_id", "fp"), radius, shard).select("fp", "component")
+    grouped = spread_join(light, found, ["fp"], "inner", spread_by=["place"])
     # the rank filter is pushed below the shuffle: a map task sends one row of a group at most
-    order = Window.partitionBy("component").orderBy(F.col("id").asc_nulls_last(), "fp", whole)
-    return grouped.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("doc.*")
+    order = Window.partitionBy("component").orderBy(F.col("doc_id").asc_nulls_last(), "fp", "whole", "place")
+    first = grouped.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("place")
+    return rows.join(first, "place", "left_semi").select("doc.*")
 
 
 def hexadecimal(column: str = "fp") -> F.Column:
