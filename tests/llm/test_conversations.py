@@ -174,7 +174,11 @@ def test_repairs(spark, monkeypatch, seed, held):
     assert sorted(map(tuple, cr.repairs(df, texts=True).collect()), key=str) == turns
 
 
-def test_repair_query(spark, small):
+def test_repair_query(spark, small, monkeypatch):
+    import oracle
+
+    monkeypatch.setitem(oracle.ORACLE, "op11_conversation_repair", ORACLE["op11_conversation_repair"])
+    assert oracle.difference(spark, oracle.connect(small), small, "op11_conversation_repair", QUERIES["op11_conversation_repair"](spark, small)) is None
     rows = [tuple(r) for r in spark.read.parquet(f"{small}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     want, _ = expected({r[0] for r in rows}, damaged(rows))
     assert sorted(map(tuple, QUERIES["op11_conversation_repair"](spark, small).collect()), key=str) == want

@@ -185,6 +185,19 @@ def test_a_link_found_in_any_shared_cluster_counts_once(spark, monkeypatch):
     assert links(missed, five) == {10: 2, 11: 1}
 
 
+def test_near_duplicates_equal_their_sql(spark, small, tmp_path, monkeypatch):
+    import oracle
+    from tidemerge.llm.queries import ORACLE, QUERIES
+
+    monkeypatch.setitem(oracle.ORACLE, "op7_embedding_near_dedup", ORACLE["op7_embedding_near_dedup"])
+    x, df = vectors(spark, n=440)
+    df.where("vec_id IS NOT NULL").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = oracle.duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert oracle.difference(spark, con, str(tmp_path), "op7_embedding_near_dedup", QUERIES["op7_embedding_near_dedup"](spark, str(tmp_path))) is None
+    assert oracle.difference(spark, oracle.connect(small), small, "op7_embedding_near_dedup", QUERIES["op7_embedding_near_dedup"](spark, small)) is None
+
+
 @pytest.mark.parametrize("clusters", [2048, 4])
 def test_links_come_from_graphs_of_many_clusters(spark, monkeypatch, clusters):
     """Several clusters, on one level and on two: nearly all links are found by graphs, without the exact way."""

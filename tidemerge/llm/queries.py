@@ -93,6 +93,22 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+# every pair compared: where the operator finds all links, as it does at small sizes, both agree
+ORACLE["op7_embedding_near_dedup"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, x FROM (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings)
+    WHERE len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+reached AS (
+    SELECT vec_id AS a, vec_id AS b FROM usable
+    UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+groups AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, coalesce(g.component_id, e.vec_id) AS component_id, e.vec_id = coalesce(g.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN groups g ON g.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
 #: Base32 of a SHA-1: five bits at a time, each from two hexadecimal digits.
 _BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
     ((strpos('0123456789abcdef', substr(sha, (5 * i // 4 + 1)::BIGINT, 1)) - 1) * 16 + strpos('0123456789abcdef', substr(sha, (5 * i // 4 + 2)::BIGINT, 1)) - 1)
@@ -105,11 +121,81 @@ FROM (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS sha, max(page
       FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
 """
 
-#: crc32 of an id's decimals, a byte and a bit at a time.
-_CRC32 = """xor(4294967295::UBIGINT, list_reduce(
-    list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::UBIGINT)),
+
+def _crc32(text: str) -> str:
+    """crc32 of a text of ASCII, a byte and a bit at a time."""
+    return f"""xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split({text}, ''), lambda x: ord(x)::UBIGINT)),
     lambda a, b: xor(a >> 8, list_reduce([xor(a & 255, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda p, q: CASE WHEN p & 1 = 1 THEN xor(3988292384, p >> 1) ELSE p >> 1 END))))"""
 
+
+def _edit(state: str, cost: str, letter: str) -> str:
+    """A state, its cost in seven digits and its audit, after one more edit."""
+    return f"(lpad((left({state}, 7)::INT + {cost})::VARCHAR, 7, '0') || substr({state}, 8) || '{letter}')"
+
+
+def _stay(initial: str, state: str) -> str:
+    return f"CASE WHEN NOT gone AND initial = '{initial}' THEN {_edit(state, 'extra', 'K')} END"
+
+
+def _role(state: str) -> str:
+    return f"CASE WHEN NOT gone THEN {_edit(state, '3 + extra', 'R')} END"
+
+
+# the least of cost and audit of each state (nothing, system, user, assistant), row by row; inserted turns in between
+ORACLE["op11_conversation_repair"] = rf"""
+WITH RECURSIVE given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM given WHERE kind <> 0),
+numbered AS (
+    SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM numbered),
+rows_ AS (
+    SELECT conv_id, i, initial, role, text, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM judged),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (
+    SELECT conv_id, 0::BIGINT AS i, '0000000' AS s0, '1000000' AS s1, '0000003I' AS s2, '0000006II' AS s3 FROM convs
+    UNION ALL
+    SELECT conv_id, i, n0, n1, least(m2, {_edit('m3', '3', 'I')}), m3 FROM (
+        SELECT *, least(n3, {_edit('m2', '3', 'I')}) AS m3 FROM (
+            SELECT *, least(n2, {_edit('n0', '3', 'I')}, {_edit('n1', '3', 'I')}, {_edit('n3', '3', 'I')}) AS m2 FROM (
+                SELECT r.conv_id, r.i, {_edit('s0', '4', 'D')} AS n0,
+                       least({_edit('s1', '4', 'D')}, {_stay('s', 's0')}) AS n1,
+                       least({_edit('s2', '4', 'D')}, {_role('s0')}, {_role('s1')}, {_role('s3')}, {_stay('u', 's0')}, {_stay('u', 's1')}, {_stay('u', 's3')}) AS n2,
+                       least({_edit('s3', '4', 'D')}, {_role('s2')}, {_stay('a', 's2')}) AS n3
+                FROM walk w JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1)))),
+best AS (
+    SELECT conv_id, left(best, 7)::BIGINT AS cost, substr(best, 8) AS audit
+    FROM (SELECT conv_id, arg_max(least(s0, s3), i) AS best FROM walk GROUP BY conv_id)),
+edits AS (
+    SELECT conv_id, j, substr(audit, j, 1) AS letter, length(replace(left(audit, j), 'I', '')) AS i
+    FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j FROM best)),
+kept AS (
+    SELECT e.conv_id, j, letter, r.role, initial, CASE WHEN letter = 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY e.conv_id ORDER BY j) AS place
+    FROM edits e LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.i = e.i WHERE letter <> 'D'),
+lines AS (
+    SELECT *, place - max((place = 1 AND letter = 'K' AND initial = 's')::INT) OVER (PARTITION BY conv_id) AS turn_ FROM kept),
+repaired AS (
+    SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN turn_ % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j)) AS sha
+    FROM lines GROUP BY conv_id),
+counts AS (
+    SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, cost, audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
 ORACLE["op13_prefix_trie"] = rf"""
 WITH given AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
@@ -119,7 +205,7 @@ turns AS (
 numbered AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tid) AS i FROM turns),
 convs AS (
-    SELECT conv_id, conv_id - conv_id % 20 AS leader, {_CRC32} % 4 AS shared FROM (SELECT DISTINCT conv_id FROM given)),
+    SELECT conv_id, conv_id - conv_id % 20 AS leader, {_crc32('conv_id::VARCHAR')} % 4 AS shared FROM (SELECT DISTINCT conv_id FROM given)),
 rebuilt AS (
     SELECT c.conv_id, 0 AS own, i, tid, words FROM convs c JOIN numbered n ON n.conv_id = c.leader AND n.i <= c.shared
     UNION ALL SELECT c.conv_id, 1, i, tid, words FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.i > c.shared),

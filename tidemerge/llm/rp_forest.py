@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from tidemerge.llm.common import keep
 from tidemerge.llm.vectors import cosine, lengths, matrix, packed, sample, unit, unpacked, usable
 
-#: Trees, vectors aimed at for each leaf, the depth at most, rows that the splits are fitted on.
-TREES, LEAF, DEPTH, FIT_ROWS = 4, 1024, 11, 16384
+#: Trees, vectors aimed at for each leaf, the depth at most, rows that the splits are fitted on: so many, or eight for each leaf of a tree.
+TREES, LEAF, DEPTH, FIT_ROWS = 4, 1024, 14, 16384
 #: Rows of a leaf, or queries, that a task holds at once; sampled queries; the recall that these must reach.
 LEAF_ROWS, AUDIT, RECALL = 8192, 128, 0.97
 SEED = 17
@@ -69,9 +69,10 @@ class Forest:
 
 def fit(rows: DataFrame, n: int, trees: int = TREES, leaf: int = LEAF) -> Forest:
     """Directions between two sampled vectors of a node, cut at the median of its sample."""
-    _, x = sample(rows, FIT_ROWS)
+    depth = int(np.clip(np.ceil(np.log2(max(1, n) / leaf)), 0, DEPTH))
+    _, x = sample(rows, max(FIT_ROWS, 8 << depth))
     x = unit(x)
-    depth = int(np.clip(np.ceil(np.log2(max(1, n) / leaf)), 0, min(DEPTH, np.log2(max(1, len(x) / 8)))))
+    depth = min(depth, int(np.log2(max(1, len(x) / 8))))
     draw = np.random.default_rng(SEED)
     inner = 2**depth - 1
     turn, cut = np.zeros((trees, inner, x.shape[1])), np.zeros((trees, inner))
