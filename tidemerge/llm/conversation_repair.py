@@ -110,7 +110,7 @@ def hashed(turns: Iterable[tuple[str, str]]) -> str:
 
 
 def judged(rows: list[tuple]) -> tuple:
-    """The summary of a whole conversation (turn, role, text, fault), and its turns."""
+    """The summary of a whole conversation from its rows (turn, role, text, fault)."""
     facts, seen, lattice = Facts(), set(), []
     for turn, role, text, fault in rows:
         if fault != BLANK and (role, text) in seen:
