@@ -51,7 +51,7 @@ WINDOW w AS (PARTITION BY sample)
 QUALIFY depth = CASE WHEN count(*) OVER w = count(depth) OVER w THEN max(depth) OVER w END
 """)
 def keep_deepest_strict(tows):
-    kept = dedup.keep_extreme(tows, ["sample"], "depth", largest=True)
+    kept = dedup.keep_extreme(tows, ["sample"], "depth", largest=True, few_ties=True)
     return kept.select("sample", "station", "gear", "tow", "depth")
 
 
@@ -63,7 +63,7 @@ SELECT sample, gear, tow, depth, measure FROM s1 WINDOW w AS (PARTITION BY sampl
 QUALIFY measure = CASE WHEN count(*) OVER w = count(measure) OVER w THEN min(measure) OVER w END
 """)
 def first_tow_two_stage(tows):
-    kept = dedup.keep_extreme(tows, ["sample"], "depth", "measure")
+    kept = dedup.keep_extreme(tows, ["sample"], "depth", "measure", few_ties=True)
     return kept.select("sample", "gear", "tow", "depth", "measure")
 
 

@@ -430,14 +430,15 @@ class TestHotOnBothSides:
         assert sorted(r.i for r in dedup.keep_extreme(df, ["k"], "v", hot_rows=hot_rows).collect()) == [*range(60), 83]
         assert sorted(r.i for r in dedup.keep_extreme(df, ["k"], "v", largest=True, hot_rows=hot_rows).collect()) == [*range(60, 80), 82]
 
-    def test_extremes_read_once(self, spark, tmp_path):
-        """What repeats in the plan is one shuffle that runs once."""
-        spark.range(9).selectExpr("id % 3 AS k", "id AS v").write.parquet(str(tmp_path / "t"))
-        df = dedup.keep_extreme(spark.read.parquet(str(tmp_path / "t")), ["k"], "v")
-        assert df.count() == 3
-        df.collect()
-        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        assert final.count("FileScan") == 1 and "ReusedExchange" in final and "WindowGroupLimit" in final
+    def test_extremes_of_few_ties_in_one_read(self, spark, skewed, tmp_path):
+        """Ranked: one scan, one shuffle, the rank below it; the same rows as by aggregation, missing values or not."""
+        spark.createDataFrame([(k, v, None if i % 11 == 0 else i % 5, i) for k, v, i in skewed] + [(f"n{i}", i % 2, i % 3, 200 + i % 40) for i in range(80)], "k string, v int, w int, i int").write.parquet(str(tmp_path / "t"))
+        df = spark.read.parquet(str(tmp_path / "t"))
+        for columns, more in ((["v"], {}), (["w"], {"largest": True}), (["v", "w"], {}), (["w", "v"], {})):
+            ranked = dedup.keep_extreme(df, ["k"], *columns, few_ties=True, **more)
+            plan = ranked._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+            assert rows(ranked) == rows(dedup.keep_extreme(df, ["k"], *columns, **more)) != []
 
     def test_repaired_repeats(self, spark):
         data = [("one", "R", 1, 5.0), ("two", "R", 2, 1.0), ("two", "K", 3, 2.0), ("two", "K", 4, 4.0), ("gone", "R", 5, 1.0), ("gone", None, 6, 1.0), (None, "K", 7, None)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemerge.functions.nulls import strict_max, strict_min
-from tidemerge.operators.spread import attach_group, row_hash
+from tidemerge.operators.spread import attach_group
 
 ROW = "_row"
 
@@ -23,42 +23,36 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence | None = None
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
-#: Shares over which the candidates of one key are spread while they are ranked.
-SHARES = 64
-
-
 def keep_extreme(
-    df: DataFrame, keys: Sequence[str], *columns: str, largest: bool = False, hot_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], *columns: str, largest: bool = False, few_ties: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Rows at the group's extreme value, ties included.
 
     A group with a missing value among its candidates has no extreme and is
     dropped whole. Several columns compare one after the other.
 
-    Rows are ranked within shares of their key. The rank filter is pushed below the
-    shuffle, so a map task sends the rows at its own extreme only, and ties of a key that
-    makes up a large part of the table stay spread. The extreme of the key is taken from
-    these few; where they are many all the same, ``attach_group`` keeps them apart.
+    Where any number of rows may tie, the extremes are aggregated and attached, which reads
+    ``df`` twice and spreads hot keys. ``few_ties`` says that few rows of a key share its
+    extreme, as few tows of a visit start at one time: rows are then ranked, in one read and
+    one shuffle, and a map task sends its own extremes only. One row with a missing value is
+    enough to drop a group, so a task sends one of these at most.
     """
     if largest and len(columns) > 1:
         raise ValueError("several columns are only compared for the smallest")
-    order = [F.col(c).desc_nulls_first() if largest else F.col(c).asc_nulls_first() for c in columns]
-    near = df.withColumn("_share", F.pmod(row_hash(df), SHARES))
-    near = near.withColumn("_rank", F.rank().over(Window.partitionBy(*keys, "_share").orderBy(*order)))
-    near = near.filter("_rank = 1").drop("_rank", "_share")
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    if few_ties:
+        order = [F.col(c).desc_nulls_first() if largest else F.col(c).asc_nulls_first() for c in columns]
+        apart = F.when(~known, F.monotonically_increasing_id())
+        ranked = df.withColumn("_apart", apart).withColumn("_rank", F.rank().over(Window.partitionBy(*keys).orderBy(*order, "_apart")))
+        return ranked.filter("_rank = 1").filter(known).drop("_rank", "_apart")
     if len(columns) == 1:
         col = F.col(columns[0])
         best = strict_max(col) if largest else strict_min(col)
-        return attach_group(near, keys, hot_rows=hot_rows, _best=best).filter(col == F.col("_best")).drop("_best")
+        return attach_group(df, keys, hot_rows=hot_rows, _best=best).filter(col == F.col("_best")).drop("_best")
     key = F.struct(*columns)
-    known = F.lit(True)
-    for c in columns:
-        known = known & F.col(f"_best.{c}").isNotNull()
-    return (
-        attach_group(near, keys, hot_rows=hot_rows, _best=F.min(key))
-        .filter(key.eqNullSafe(F.col("_best")) & known)
-        .drop("_best")
-    )
+    return attach_group(df, keys, hot_rows=hot_rows, _best=F.min(key)).filter(key.eqNullSafe(F.col("_best")) & known).drop("_best")
 
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "n", *, hot_rows: int | None = None) -> DataFrame:

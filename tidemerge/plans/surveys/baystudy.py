@@ -55,7 +55,7 @@ def clean(feeds: Feeds) -> DataFrame:
     visits = spread_join(boat_stations, feeds["salin_temp"].drop("_row"), VISIT)
     visits = _with_tide(visits, codes, "Tidestation")
     tows = feeds["boat_tow"].withColumn("Time", parse(F.col("Time"), STAMP))
-    tows = _with_tide(keep_extreme(tows, VISIT, "Time"), codes, "Tidetow")
+    tows = _with_tide(keep_extreme(tows, VISIT, "Time", few_ties=True), codes, "Tidetow")
 
     decimal = F.col("Date") >= F.lit(FIRST_DECIMAL_DAY)
     towed = spread_join(tows, visits, VISIT, counted=feeds["boat_tow"])

@@ -39,7 +39,7 @@ def first_tows(tows: DataFrame) -> DataFrame:
     timed = tows.select("StationID", clock.alias("Time"), "Tide", "BottomDepth", "TowNum")
     time = F.col("Time")
     timed = timed.withColumn("Time", F.when(F.hour(time).isin(*AFTERNOON_HOURS), add_hours(time, 12)).otherwise(time))
-    return keep_extreme(timed, ["StationID"], "Time", "TowNum").drop("TowNum")
+    return keep_extreme(timed, ["StationID"], "Time", "TowNum", few_ties=True).drop("TowNum")
 
 
 def clean(feeds: Feeds) -> DataFrame:
