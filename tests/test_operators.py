@@ -264,6 +264,15 @@ class TestAudit:
             met = audit.differing_values(l, r, ["k"], "f", hot_rows=hot)
             assert {(x.left_value, x.right_value): x.n for x in met.collect()} == counted
 
+    def test_field_equivalence_holds_values_once(self, spark):
+        l = spark.createDataFrame([("a", "x", 1), ("a", None, 2), (None, "x", 3)], "k string, f string, g int")
+        r = spark.createDataFrame([("a", "y", 1), (None, "x", 3), ("b", "x", 1)], "k string, f string, g int")
+        got = audit.field_equivalence(l, r, ["k"], ["f", "g"])
+        assert rows(got) == [("f", 3, 1, 1), ("g", 3, 1, 0)]
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        # one aggregation by value, one by key and one by field
+        assert plan.count("Aggregate [") == 3
+
     def test_reconcile(self, spark):
         l, r = spark.createDataFrame([("a",), ("a",), (None,)], "k string"), spark.createDataFrame([("b",), (None,)], "k string")
         assert rows(audit.reconcile(l, r, ["k"])) == [("a", "left"), ("b", "right"), (None, "both")]

@@ -114,14 +114,11 @@ def field_equivalence(left: DataFrame, right: DataFrame, keys: Sequence[str], fi
     both are there and unequal.
     """
     def long(df, l, r):
-        return (
-            df.select(*keys, *[F.col(f).cast("string").alias(f) for f in fields])
-            .unpivot(list(keys), list(fields), "Field", "Value")
-            .groupBy(*keys, "Field", "Value")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .select(*keys, "Field", "Value", (F.col("_n") * l).alias("_l"), (F.col("_n") * r).alias("_r"))
-        )
+        """A row per field, known by its number, which takes less of an aggregate's memory than its name."""
+        texts = [F.struct(F.lit(i).alias("Field"), F.col(f).cast("string").alias("Value")) for i, f in enumerate(fields)]
+        return df.select(*keys, F.inline(F.array(*texts)), F.lit(l).alias("_l"), F.lit(r).alias("_r"))
 
+    # both sides meet in one aggregation, so a task holds each value of its keys once
     per_value = (
         long(left, 1, 0).unionByName(long(right, 0, 1))
         .groupBy(*keys, "Field", "Value").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
@@ -136,11 +133,13 @@ def field_equivalence(left: DataFrame, right: DataFrame, keys: Sequence[str], fi
     )
     pairs = F.col("_all_l") * F.col("_all_r")
     known = F.col("_l") * F.col("_r")
-    return per_key.filter("_all_l > 0 AND _all_r > 0").groupBy("Field").agg(
+    per_field = per_key.filter("_all_l > 0 AND _all_r > 0").groupBy("Field").agg(
         F.sum(pairs).alias("pairs"),
         F.sum(known - F.col("_equal")).alias("different"),
         F.sum(pairs - known).alias("unknown"),
     )
+    name = F.element_at(F.array(*[F.lit(f) for f in fields]), F.col("Field") + 1)
+    return per_field.withColumn("Field", name)
 
 
 def differing_values(
