@@ -16,17 +16,26 @@ true (its own scan started at a true one), and the right chunk, starting a word
 there too, goes on like the text. Where an overlap holds none, as within one word
 longer than it, both chunks are encoded again with twice the overlap.
 
+Most word starts need no encoding to be seen: a space, tab or line end before a
+character that is none and that begins no added token starts a word, alone or with
+that character, as a run of white space leaves its last character to what follows. Cut
+there, a text's tokens are those of its runs, each encoded alone. A run that recurs is
+encoded once and its count kept; where most runs are new, their texts are encoded. Only
+what holds no such start for longer than a chunk and its overlap is spliced.
+
 The proof needs a ``tokenizers`` file without normalizer whose words the byte-level
-pattern cuts. Texts for other files (``.json``, or ``.model`` for ``sentencepiece``)
-are encoded whole.
+pattern cuts, and no white space in its added tokens for the latter. Texts for other
+files (``.json``, or ``.model`` for ``sentencepiece``) are encoded whole.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +46,9 @@ CHUNK = 1 << 16
 OVERLAP = 1 << 10
 #: Characters encoded in one call: an encoding takes some hundred bytes a token.
 AT_ONCE = 1 << 20
+#: Runs whose counts a worker keeps, some hundred bytes each, before it starts afresh, and the characters of the longest kept.
+KNOWN = 1 << 18
+LONGEST = 64
 
 
 class Tokens:
@@ -61,6 +73,10 @@ class Tokens:
             and not any(a["lstrip"] or a["rstrip"] or a["single_word"] for a in added)
         )
         self.margin = 2 + max([len(a["content"]) for a in added], default=0)
+        first = "".join(sorted({re.escape(a["content"][:1]) for a in added}))
+        #: Where a run starts. White space as ``re`` has it includes all that the byte-level pattern has.
+        self.starts = re.compile(rf"(?=[ \t\r\n][^\s{first}])") if self.stable and not any(re.search(r"\s", a["content"]) for a in added) else None
+        self.known: dict[str, int] = {}
 
     def encoded(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -68,6 +84,32 @@ class Tokens:
     def counts(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def parts(self, text: str, chunk: int) -> Iterator[str]:
+        """``text`` in order, cut at the first start of a run after each ``chunk`` characters."""
+        start = 0
+        while start < len(text):
+            found = self.starts.search(text, start + chunk) if self.starts else None
+            end = found.start() if found else len(text)
+            yield text[start:end]
+            start = end
+
+    def counts_by_run(self, texts: list[str]) -> list[int]:
+        """``counts(texts)``, of each run that is not known once."""
+        if self.starts is None:
+            return self.counts(texts)
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        runs = [self.starts.split(text) for text in texts]
+        new = [run for run in set(chain.from_iterable(runs)) if run not in self.known]
+        if 2 * len(new) > sum(map(len, runs)):
+            return self.counts(texts)  # an encoding alone takes up to twice the time
+        self.known.update(zip(new, self.counts(new), strict=True))
+        counts = [sum(map(self.known.__getitem__, r)) for r in runs]
+        for run in new:
+            if len(run) > LONGEST:
+                del self.known[run]
+        return counts
+
 
 class Pieces:
     """A ``sentencepiece`` file."""
@@ -82,6 +124,12 @@ class Pieces:
     def counts(self, texts: list[str]) -> list[int]:
         return [len(ids) for ids in self.model.encode(texts, num_threads=1)]
 
+    counts_by_run = counts
+
+    def parts(self, text: str, chunk: int) -> Iterator[str]:
+        if text:
+            yield text
+
 
 @lru_cache(maxsize=4)
 def tokens_of(path: str) -> Tokens | Pieces:
@@ -150,25 +198,26 @@ def spliced_count(tokens: Tokens, text: str, chunk: int = CHUNK, overlap: int =
 
 
 def count_tokens(tokens: Tokens | Pieces, texts: list[str], chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
-    """The tokens of each text: short ones several in one call, long ones chunk by chunk."""
+    """The tokens of each text: long ones part by part, short parts several in one call."""
     counts = [0] * len(texts)
     held, size = [], 0
     for i, text in enumerate(texts):
-        if tokens.stable and len(text) > chunk + overlap:
-            counts[i] = spliced_count(tokens, text, chunk, overlap)
-        elif text:
-            if held and size + len(text) > AT_ONCE:
-                _count_into(counts, tokens, texts, held)
+        for part in tokens.parts(text, chunk):
+            if tokens.stable and len(part) > chunk + overlap:
+                counts[i] += spliced_count(tokens, part, chunk, overlap)
+                continue
+            if held and size + len(part) > AT_ONCE:
+                _add_counts(counts, tokens, held)
                 held, size = [], 0
-            held.append(i)
-            size += len(text)
-    _count_into(counts, tokens, texts, held)
+            held.append((i, part))
+            size += len(part)
+    _add_counts(counts, tokens, held)
     return counts
 
 
-def _count_into(counts: list[int], tokens: Tokens | Pieces, texts: list[str], held: list[int]) -> None:
-    for i, n in zip(held, tokens.counts([texts[i] for i in held]) if held else (), strict=True):
-        counts[i] = n
+def _add_counts(counts: list[int], tokens: Tokens | Pieces, held: list[tuple[int, str]]) -> None:
+    for (i, _), n in zip(held, tokens.counts_by_run([part for _, part in held]) if held else (), strict=True):
+        counts[i] += n
 
 
 def token_counter(path: str, chunk: int, overlap: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
