@@ -21,6 +21,28 @@ def null(kind="string"):
     return F.lit(None).cast(kind)
 
 
+class TestParse:
+    FORMATS = ("M/d/yyyy H:mm:ss", "yyyy-MM-dd H:mm:ss", "yyyy-MM-dd", "M/d/yyyy", "M/d/yyyy H:mm", "H:m", "M/d/yyyy HHmm")
+
+    def test_texts_read_as_the_formatter_reads_them(self, spark):
+        days = ["2015-01-01", "2016-02-29", "2015-02-29", "2015-13-01", "2015-01-00", "0000-01-01", "0001-01-01", "9999-12-31", "12015-01-01", "-2015-01-01",
+                "1883-11-18", "2015-03-08", "2015-1-1", "1/2/2015", "01/02/2015", "2/30/2015", "13/1/2015", "1/2/15", "1/2/0000", "001/2/2015", "", " "]
+        times = ["", "1:02:03", "01:02:03", "02:30:00", "23:59:59", "24:00:00", "10:60:00", "10:00:60", "10:00", "7:5", "0730", "10:00:00Z", "10:00:00.5",
+                 "10:00:00+01:00", "10", "1:2:3"]
+        texts = [d + between + t + end for d in days for t in times for between in (" ", "T", "  ", "") for end in ("", " ", "\n")]
+        df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+        for fmt in self.FORMATS:
+            plain = F.try_to_timestamp("t", F.lit(fmt)).cast("timestamp_ntz")
+            got = df.select("t", plain.alias("a"), clock.parse(F.col("t"), fmt).alias("b"))
+            assert got.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+            assert got.filter("a IS NOT NULL").count() > 0
+
+    def test_a_day_alone_does_not_reach_the_formatter(self, spark):
+        df = spark.range(1).select(F.concat(F.lit("2015-01-0"), F.col("id") + 1).alias("t"))
+        plan = df.select(clock.parse(F.col("t"), "yyyy-MM-dd H:mm:ss"))._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.index("contains(") < plan.index("gettimestamp(") and plan.index("rlike") < plan.index("gettimestamp(")
+
+
 class TestNulls:
     def test_if_else_keeps_unknown_conditions_unknown(self, spark):
         got = one(spark, *[nulls.if_else(c, F.lit(1), F.lit(2)) for c in (F.lit(True), F.lit(False), null("boolean"))])

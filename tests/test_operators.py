@@ -92,6 +92,13 @@ class TestSpread:
         got = null_safe_join(facts, dim, [("k", "other")])
         assert got.columns == ["k", "v", "i", "d"] and got.filter("k IS NULL AND d = 2").count() == 40
 
+    @HOT
+    def test_all_rows_count_though_some_are_returned(self, spark, hot_rows):
+        df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 9.0), ("b", 3, 1.0), (None, 4, 2.0), (None, 1, 7.0)], "k string, i int, v double")
+        got = attach_group(df, ["k"], hot_rows=hot_rows, only=F.col("i") < 3, without=["v"], best=F.max("v"))
+        assert got.columns == ["k", "i", "best"]
+        assert rows(got) == [("a", 1, 9.0), ("a", 2, 9.0), (None, 1, 7.0)]
+
 
 class TestDedup:
     @HOT
@@ -204,6 +211,16 @@ class TestDepth:
         got = depth.bin_daily(df, ["k"], "d", 3, hot_rows=hot_rows)
         assert rows(got, "k", "d", depth.BIN) == [("v", 2.0, "surface"), ("x", 1.0, "surface"), ("x", 30.0, "bottom"), ("z", 5.0, "bottom")]
 
+    def test_times_of_a_profile_do_not_travel(self, spark):
+        df = spark.range(40).select((F.col("id") % 4).alias("k"), (F.col("id") / 4).alias("d"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("t"))
+        binned = depth.bin_daily(df, ["k"], "d", 3, "t")
+        assert binned.columns == ["k", "d", "t", depth.BIN]
+        plan = binned._jdf.queryExecution().optimizedPlan().toString()
+        # the spreading number is made from all that travels with a row
+        hashed = re.findall(r"xxhash64\(([^)]*\)[^)]*)\)", plan)
+        assert hashed and all("d#" in h and "t#" not in h for h in hashed)
+        assert sorted((r.k, r.d, r.t.second) for r in binned.collect()) == sorted((k, d, 18 + k) for k in range(4) for d in (k / 4, 9 + k / 4))
+
 
 class TestJoins:
     def test_suffix(self, spark):

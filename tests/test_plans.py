@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import QUERIES
 from helpers import rows
 from tidemerge.operators import quality
 from tidemerge.plans import compare, publish
@@ -336,6 +337,13 @@ class TestRawFiles:
         assert [r.A if i % 2 == 0 else r.B for i, r in enumerate(got)] == [str(i) for i in range(6)]
 
 
+@pytest.mark.parametrize("name, texts", [("survey_stn", 2), ("survey_skt", 2), ("survey_usbr", 5)])
+def test_texts_are_read_once(spark, small, name, texts):
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    # usbr reads its days in three places and its times in two: the totals of a day stand for hot days and for others
+    assert plan.count("gettimestamp(") == texts
+
+
 class TestSurveyQuirks:
     def test_djfmp_rows_without_time_become_one(self, spark):
         tows = [{"StationCode": "a", "SampleDate": f"2020-01-0{i}", "Secchi": i} for i in (1, 2, 3)]
